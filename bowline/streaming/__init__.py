@@ -1,0 +1 @@
+"""Intentionally empty: every job in scope fits and scores whole batches of documents."""
