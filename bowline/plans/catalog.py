@@ -381,3 +381,17 @@ SELECT CAST(sum(support) AS BIGINT) AS num_docs, round(sum(correct) / CAST(sum(s
   round(sum(f * support) / sum(support), {DIGITS}) AS f1 FROM report""")
 def metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(evaluate.metrics(toxic_as_prediction(spark, sf)), "accuracy", "precision", "recall", "f1")
+
+
+# --- jobs ----------------------------------------------------------------------------------------------------------
+
+
+def split_bow(spark: SparkSession, sf: str, label: str = "quality") -> tuple[DataFrame, DataFrame]:
+    """Training: the labelled documents not marked toxic. Validation: the ones marked toxic."""
+    docs = read_table(spark, sf, "documents", "doc_id", "lang", "text")
+    labels = read_table(spark, sf, "labels")
+    unique = ids_unique(docs, "doc_id") and ids_unique(labels, "doc_id")
+    joined = spread_scan(docs, *(["doc_id"] if unique else [])).join(labels, "doc_id")
+    joined = joined.withColumnRenamed(label, "label")
+    bow = stage(bow_from_text(joined, keep=["label", "toxic"], unique=unique), "bow")
+    return bow.filter("toxic = 0").drop("toxic"), bow.filter("toxic = 1").drop("toxic")
