@@ -8,7 +8,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bowline.staging import TableSize, broadcast_if_small, stage
+from bowline.staging import BROADCAST_ROWS, TableSize, broadcast_if_small, measure, size_columns, stage
 
 # A key is hot when it holds at least one part in HOT_SHARE of the total weight, so at most HOT_SHARE keys are.
 HOT_SHARE = 10_000
@@ -29,28 +29,32 @@ def number_rows(
         "numbered",
     )
     piece = F.shiftright("_place", _ROW_BITS).cast("int")
-    total = F.sum(weight) if weight else F.lit(0)
-    sizes = (
-        placed.groupBy(piece.alias("piece"))
-        .agg(
-            F.count("*").alias("rows"),
-            F.sum(F.octet_length(F.col(key).cast("string"))).alias("bytes"),
-            total.alias("weight"),
-        )
-        .collect()  # one row per partition
-    )
+    sizes = placed.groupBy(piece.alias("piece")).agg(*size_columns(key, weight)).collect()  # one row per partition
     by_piece = {r["piece"]: r["rows"] for r in sizes}
     counts = [by_piece.get(p, 0) for p in range(max(by_piece, default=0) + 1)]
     offsets = ",".join(str(n) for n in accumulate(counts, initial=0))
     # A foldable expression: one array literal after constant folding.
     offset = F.element_at(F.split(F.lit(offsets), ",").cast("array<bigint>"), piece + 1)
     numbered = placed.withColumn(index, offset + F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-    size = TableSize(
-        sum(counts), sum(r["bytes"] or 0 for r in sizes), sum(r["weight"] or 0 for r in sizes)
-    )
+    size = TableSize(*(sum(r[part] for r in sizes) for part in ("rows", "key_bytes", "weight")))
     return numbered.drop("_place"), size
 
 
+def number_top(
+    ranked: DataFrame, k: int, key: str, index: str, weight: str | None = None
+) -> tuple[DataFrame, TableSize]:
+    """The first ``k`` rows of a sorted plan, written once and numbered in ascending order of ``key``.
+
+    A limit leaves one partition. With ``k`` small enough to broadcast, its rows are numbered right there.
+    """
+    top = ranked.limit(k)
+    if k > BROADCAST_ROWS:
+        return number_rows(top, key, index, weight)
+    numbered = top.coalesce(1).sortWithinPartitions(key).withColumn(index, F.monotonically_increasing_id())
+    table = stage(numbered, "top")
+    return table, measure(table, key, weight)
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bowline.operators.lookup import number_rows
-from bowline.staging import broadcast_if_small, measure, stage
+from bowline.operators.lookup import number_top
+from bowline.operators.vocabulary import WordTable
 
 
 def class_totals(docs: DataFrame, label: str = "label", doc: str = "doc_id") -> DataFrame:
@@ -49,36 +49,45 @@ def chi2_from_cells(cells: Column, present: Column, num_docs: int) -> Column:
     return F.when((present > 0) & (present < num_docs), (observed + unobserved) * scale).otherwise(0.0)
 
 
+def fit_class_totals(docs: DataFrame, label: str = "label", doc: str = "doc_id") -> dict[object, int]:
+    """Documents per class, as a dictionary: one entry per class, as in the classifier that is to follow."""
+    return {row[label]: row["class_docs"] for row in class_totals(docs, label, doc).collect()}
+
+
+def with_class_docs(cells: Column | str, totals: dict[object, int]) -> Column:
+    """``array<struct<label, present>>`` to ``array<struct<present, class_docs>>``."""
+    class_docs = F.create_map(*[F.lit(x) for pair in totals.items() for x in pair])
+    return F.transform(
+        cells,
+        lambda c: F.struct(c["present"].alias("present"), F.element_at(class_docs, c["label"]).alias("class_docs")),
+    )
+
+
 def chi2_statistics(
-    presence: DataFrame, totals: DataFrame, index: str = "word_index", label: str = "label"
+    presence: DataFrame, totals: dict[object, int], index: str = "word_index", label: str = "label"
 ) -> DataFrame:
     """``(word_index, doc_freq, chi2)`` for every feature of ``presence``.
 
-    ``totals`` has one row per class. The cells gathered per feature are at most one per class.
+    The cells gathered per feature are at most one per class.
     """
-    num_docs = totals.agg(F.coalesce(F.sum("class_docs"), F.lit(0))).first()[0]
-    cell = F.struct(F.col("present"), F.col("class_docs"))
-    by_feature = presence.join(totals, label).groupBy(index).agg(
+    cell = F.struct(F.col(label).alias("label"), F.col("present"))
+    by_feature = presence.groupBy(index).agg(
         F.sum("present").alias("doc_freq"), F.collect_list(cell).alias("_cells")
     )
-    statistic = chi2_from_cells(F.col("_cells"), F.col("doc_freq"), num_docs)
+    if not totals:
+        return by_feature.select(index, "doc_freq", F.lit(0.0).alias("chi2"))
+    cells = with_class_docs("_cells", totals)
+    statistic = chi2_from_cells(cells, F.col("doc_freq"), sum(totals.values()))
     return by_feature.select(index, "doc_freq", statistic.alias("chi2"))
 
 
-def fit_class_totals(docs: DataFrame, label: str = "label", doc: str = "doc_id") -> DataFrame:
-    """Class totals written once; broadcast in later joins when their measured size allows."""
-    totals = stage(class_totals(docs, label, doc), "classes")
-    return broadcast_if_small(totals, measure(totals, label))
-
-
-def top_features(
-    scores: DataFrame, k: int = 8000, index: str = "word_index", score: str = "chi2", digits: int = 6
-) -> DataFrame:
-    """The ``k`` best rows: highest rounded score first, lowest index among equals."""
-    return scores.orderBy(F.round(score, digits).desc(), F.col(index)).limit(k)
+def rank_features(scores: DataFrame, index: str = "word_index", score: str = "chi2", digits: int = 6) -> DataFrame:
+    """Highest rounded score first, lowest index among equals."""
+    return scores.orderBy(F.round(score, digits).desc(), F.col(index))
 
 
-def fit_selection(scores: DataFrame, k: int = 8000, index: str = "word_index", score: str = "chi2"):
-    """The selected rows with ``feature`` = 0, 1, ... in ascending order of their old index, and their number."""
-    table, size = number_rows(top_features(scores, k, index, score), index, "feature")
-    return table, size
+def fit_selection(
+    scores: DataFrame, k: int = 8000, index: str = "word_index", score: str = "chi2", weight: str = "doc_freq"
+) -> WordTable:
+    """The ``k`` best rows with ``feature`` = 0, 1, ... in ascending order of their index."""
+    return WordTable(*number_top(rank_features(scores, index, score), k, index, "feature", weight))

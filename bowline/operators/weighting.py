@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bowline.operators.lookup import lookup_join
 from bowline.operators.vocabulary import WordTable
-from bowline.staging import measure, stage
+from bowline.staging import TableSize, measure, stage
 
 
 def binarize(features: DataFrame, threshold: float = 0.0, value: str = "value") -> DataFrame:
@@ -40,9 +40,21 @@ def idf_weights(
     return frequencies.withColumn("idf", idf("doc_freq", num_docs, min_doc_freq))
 
 
-def fit_idf(features: DataFrame, min_doc_freq: int = 2, index: str = "word_index", **columns: str) -> WordTable:
-    """The weights, written once and measured."""
-    weights = stage(idf_weights(features, min_doc_freq, index=index, **columns), "idf")
+def fit_idf(
+    features: DataFrame,
+    min_doc_freq: int = 2,
+    bound: TableSize | None = None,
+    index: str = "word_index",
+    **columns: str,
+) -> WordTable:
+    """The weights with their size: ``bound`` where it is known, such as the dictionary's, else measured.
+
+    They are written once unless they are small enough to broadcast, which needs them only once.
+    """
+    weights = idf_weights(features, min_doc_freq, index=index, **columns)
+    if bound is not None and bound.fits_broadcast:
+        return WordTable(weights, bound)
+    weights = stage(weights, "idf")
     return WordTable(weights, measure(weights, index, "doc_freq"))
 
 

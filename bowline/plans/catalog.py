@@ -5,17 +5,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bowline.functions.labels import base26_code, label_from_path
 from bowline.operators import docvectors, evaluate, selection, vocabulary, weighting
+from bowline.operators.stages import CommonElementFilter, WordCountToVec
 from bowline.operators.vocabulary import WordTable
-from bowline.plans.preprocessing import preprocess
+from bowline.plans.classification import classify, classify_directory
+from bowline.plans.preprocessing import fit_preprocessing, preprocess
 from bowline.sources.processed import read_processed, write_processed
-from bowline.sources.raw import fit_labels, parse_lines
+from bowline.sources.raw import TRAINING, VALIDATION, fit_labels, parse_lines
 from bowline.sources.text import bow_from_text, document_bow, ids_unique, labelled_bow, read_table, spread_scan
-from bowline.staging import measure, stage, staging_root
+from bowline.staging import stage, staging_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -105,6 +108,10 @@ chosen AS (
 # --- Spark building blocks -----------------------------------------------------------------------------------------
 
 
+def rounded(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.round(n, DIGITS) for n in names})
+
+
 def all_features(spark: SparkSession, sf: str) -> tuple[DataFrame, WordTable]:
     """Features of every document, label where there is one."""
     bow = stage(labelled_bow(spark, sf, "quality", "left"), "bow")
@@ -124,7 +131,7 @@ def scored_features(bow: DataFrame) -> tuple[DataFrame, WordTable]:
     """Chi-square of every vocabulary word, by the stand-alone operators on the long feature table."""
     dictionary = vocabulary.fit_vocabulary(bow, DROP_FREQ)
     features = stage(weighting.binarize(docvectors.document_features(bow, dictionary, merged=True)), "features")
-    weighted = weighting.apply_idf(features, weighting.fit_idf(features, MIN_DOC_FREQ))
+    weighted = weighting.apply_idf(features, weighting.fit_idf(features, MIN_DOC_FREQ, dictionary.size))
     totals = selection.fit_class_totals(features)
     scores = selection.chi2_statistics(selection.presence_by_class(weighted), totals)
     return scores.withColumn("chi2", F.round("chi2", DIGITS)), dictionary
@@ -252,8 +259,9 @@ SELECT f.doc_id, f.label, f.word_index,
   round(w.idf * CASE WHEN f.value > 0 THEN 1.0 ELSE 0.0 END, {DIGITS}) AS value
 FROM features f JOIN weights w USING (word_index)""")
 def tfidf(spark: SparkSession, sf: str) -> DataFrame:
-    features = stage(weighting.binarize(all_features(spark, sf)[0]), "features")
-    weighted = weighting.apply_idf(features, weighting.fit_idf(features, MIN_DOC_FREQ))
+    features, fitted = all_features(spark, sf)
+    features = stage(weighting.binarize(features), "features")
+    weighted = weighting.apply_idf(features, weighting.fit_idf(features, MIN_DOC_FREQ, fitted.size))
     return weighted.withColumn("value", F.round("value", DIGITS))
 
 
@@ -265,19 +273,32 @@ def chi2_stat(spark: SparkSession, sf: str) -> DataFrame:
     return scored_features(quality_bow(spark, sf))[0]
 
 
-@query(f"""WITH {labelled_features_sql('quality', 'labels')}
+@query(f"""WITH {labelled_features_sql('lang', 'documents')}
 SELECT word_index, doc_freq, chi2, row_number() OVER (ORDER BY word_index) - 1 AS feature FROM chosen""")
+def chi2_topk_operators(spark: SparkSession, sf: str) -> DataFrame:
+    """Four classes, every document labelled; one stand-alone operator after the other."""
+    return selection.fit_selection(scored_features(lang_bow(spark, sf))[0], NUM_TOP_FEATURES).table
+
+
+TOPK_COLUMNS_SQL = f"""
+SELECT c.word, w.doc_freq, round(w.idf, {DIGITS}) AS idf, c.chi2,
+  row_number() OVER (ORDER BY c.word_index) - 1 AS feature FROM chosen c JOIN weights w USING (word_index)"""
+
+
+def selected_features(bow: DataFrame) -> DataFrame:
+    """The same selection by the one-plan fit, which needs neither a dictionary nor a feature table."""
+    model = fit_preprocessing(bow, "doc_id", "label", DROP_FREQ, MIN_DOC_FREQ, NUM_TOP_FEATURES)
+    return rounded(model.selected.table.select("word", "doc_freq", "idf", "chi2", "feature"), "idf", "chi2")
+
+
+@query(f"WITH {labelled_features_sql('quality', 'labels')} {TOPK_COLUMNS_SQL}")
 def chi2_topk(spark: SparkSession, sf: str) -> DataFrame:
-    scores, _ = scored_features(quality_bow(spark, sf))
-    return selection.fit_selection(scores, NUM_TOP_FEATURES)[0]
+    return selected_features(quality_bow(spark, sf))
 
 
-@query(f"""WITH {labelled_features_sql('lang', 'documents')}
-SELECT word_index, doc_freq, chi2, row_number() OVER (ORDER BY word_index) - 1 AS feature FROM chosen""")
+@query(f"WITH {labelled_features_sql('lang', 'documents')} {TOPK_COLUMNS_SQL}")
 def chi2_topk_lang(spark: SparkSession, sf: str) -> DataFrame:
-    """Four classes, every document labelled."""
-    scores, _ = scored_features(lang_bow(spark, sf))
-    return selection.fit_selection(scores, NUM_TOP_FEATURES)[0]
+    return selected_features(lang_bow(spark, sf))
 
 
 # --- labels --------------------------------------------------------------------------------------------------------
@@ -358,10 +379,6 @@ def toxic_as_prediction(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.confusion(labels)
 
 
-def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, DIGITS) for n in names})
-
-
 @query(f"WITH {PAIRS_SQL} SELECT label, prediction, num_docs FROM pairs")
 def confusion(spark: SparkSession, sf: str) -> DataFrame:
     return toxic_as_prediction(spark, sf)
@@ -395,3 +412,93 @@ def split_bow(spark: SparkSession, sf: str, label: str = "quality") -> tuple[Dat
     joined = joined.withColumnRenamed(label, "label")
     bow = stage(bow_from_text(joined, keep=["label", "toxic"], unique=unique), "bow")
     return bow.filter("toxic = 0").drop("toxic"), bow.filter("toxic = 1").drop("toxic")
+
+
+JOB_SQL = f"""
+WITH {labelled_features_sql('quality', '(SELECT * FROM labels WHERE toxic = 0)')},
+numbered AS (
+  SELECT c.word, w.idf, row_number() OVER (ORDER BY c.word_index) - 1 AS feature
+  FROM chosen c JOIN weights w USING (word_index)),
+every AS (
+  SELECT DISTINCT l.doc_id, l.quality, l.toxic, p.word FROM labels l JOIN (
+    SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \\n\\t\\r]+')) AS word FROM documents) p USING (doc_id)),
+known AS (SELECT DISTINCT doc_id, quality, toxic FROM every JOIN dictionary USING (word)),
+hit AS (SELECT e.doc_id, n.feature, n.idf FROM every e JOIN numbered n USING (word))
+SELECT CASE WHEN k.toxic = 0 THEN 'training' ELSE 'validation' END AS split, k.doc_id, k.quality AS label,
+  CAST((SELECT count(*) FROM numbered) AS INTEGER) AS num_features,
+  coalesce(string_agg(CAST(h.feature AS VARCHAR), ',' ORDER BY h.feature), '') AS word_indices_str,
+  round(coalesce(sum(h.idf), 0.0), {DIGITS}) AS value_sum
+FROM known k LEFT JOIN hit h USING (doc_id) GROUP BY k.toxic, k.doc_id, k.quality"""
+
+
+@query(JOB_SQL)
+def job_preprocess(spark: SparkSession, sf: str) -> DataFrame:
+    """Fit on the training set, transform both; the values are compared by their sum."""
+    model, *sets = preprocess(*split_bow(spark, sf))
+    parts = [
+        docvectors.to_csv_columns(
+            packed.withColumn("split", F.lit(name)), model.num_features, keys=["split", "doc_id", "values"]
+        )
+        for name, packed in zip(("training", "validation"), sets)
+    ]
+    total = F.round(F.aggregate("values", F.lit(0.0), lambda total, v: total + v), DIGITS).alias("value_sum")
+    return parts[0].unionByName(parts[1]).select(
+        "split", "doc_id", "label", "num_features", "word_indices_str", total
+    )
+
+
+def trained(spark: SparkSession, sf: str, kind: str, epochs: int, num_top_features: int = NUM_TOP_FEATURES, **options):
+    model, training, validation = preprocess(*split_bow(spark, sf), num_top_features=num_top_features)
+    return classify(training, validation, model.num_features, kind, epochs, **options)
+
+
+@query()
+def train_softmax(spark: SparkSession, sf: str) -> DataFrame:
+    return trained(spark, sf, "softmax", 10).metrics()
+
+
+@query()
+def train_softmax_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    return trained(spark, sf, "softmax", 10, sparse=True).metrics()
+
+
+@query()
+def train_shallow(spark: SparkSession, sf: str) -> DataFrame:
+    return trained(spark, sf, "shallow", 5).metrics()
+
+
+@query()
+def train_average(spark: SparkSession, sf: str) -> DataFrame:
+    return trained(spark, sf, "average", 5).metrics()
+
+
+@query()
+def train_deep(spark: SparkSession, sf: str) -> DataFrame:
+    """1,000 features, so that the middle layer is 500 wide."""
+    return trained(spark, sf, "deep", 5, num_top_features=1000).metrics()
+
+
+@query()
+def predict_softmax(spark: SparkSession, sf: str) -> DataFrame:
+    return trained(spark, sf, "softmax", 10).validation.select("doc_id", "label", "prediction")
+
+
+@query()
+def job_classify(spark: SparkSession, sf: str) -> DataFrame:
+    """Processed CSV files of both sets, classified from their directory; the report is the confusion table."""
+    model, *sets = preprocess(*split_bow(spark, sf))
+    folder = f"{staging_root(spark)}/bowline-job-{uuid.uuid4().hex}"
+    for name, packed in zip((TRAINING, VALIDATION), sets):
+        write_processed(docvectors.to_csv_columns(packed, model.num_features), f"{folder}/{name}")
+    return classify_directory(spark, folder, "shallow", 5).confusion()
+
+
+@query(CSV_SQL.format(columns="doc_id,"))
+def stage_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The two ML stages in a pipeline, and their vectors taken apart again."""
+    bow = stage(labelled_bow(spark, sf, "quality", "left").withColumn("doc_id", F.col("doc_id").cast("string")), "bow")
+    columns = {"fileCol": "doc_id"}
+    stages = [CommonElementFilter(dropFreq=DROP_FREQ, **columns), WordCountToVec(**columns)]
+    fitted = Pipeline(stages=stages).fit(bow)
+    packed = docvectors.from_vector(fitted.transform(bow)).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    return docvectors.to_csv_columns(packed, fitted.stages[1].getDictionarySize(), keys=["doc_id"])

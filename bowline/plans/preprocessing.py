@@ -9,7 +9,7 @@ task, both small by construction and both measured: the common words and the sel
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import astuple, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +20,13 @@ from bowline.operators.docvectors import (
     pack_documents,
     to_csv_columns,
 )
-from bowline.operators.lookup import drop_matching, lookup_join, number_rows
-from bowline.operators.selection import chi2_from_cells, class_totals, top_features
+from bowline.operators.lookup import drop_matching, lookup_join
+from bowline.operators.selection import chi2_from_cells, fit_class_totals, fit_selection, with_class_docs
 from bowline.operators.vocabulary import WordTable, document_count, filter_common, is_rare
 from bowline.operators.weighting import idf
 from bowline.sources.processed import write_processed
 from bowline.sources.raw import TRAINING, VALIDATION, encode_labels, fit_labels, read_raw
-from bowline.staging import measure, stage
+from bowline.staging import TableSize, measure, size_columns, stage
 
 
 @dataclass(frozen=True)
@@ -59,8 +59,7 @@ class PreprocessModel:
             packed = stage(pack_documents(matched, keys, "feature", "idf"), "vectors")
         else:
             matched = lookup_join(
-                rows.filter(seen), selected_weighted(self.selected), "word", ["feature", "idf"],
-                self.selected.size, "doc_freq",
+                rows.filter(seen), self.selected.table, "word", ["feature", "idf"], self.selected.size, "doc_freq"
             )
             packed = stage(pack_documents(matched, keys, "feature", "idf"), "vectors")
             packed = packed.unionByName(empty_documents(rows, packed, keys))
@@ -91,10 +90,6 @@ class PreprocessModel:
         )
 
 
-def selected_weighted(selected: WordTable) -> DataFrame:
-    return selected.table.select("word", "feature", "idf", "doc_freq")
-
-
 def fit_preprocessing(
     bow: DataFrame,
     doc: str = "doc_id",
@@ -120,16 +115,20 @@ def fit_preprocessing(
         "words",
     )
     # At most (distinct words per document) / drop_freq words are common.
-    common = statistics.filter("not keep")
-    survivors = drop_matching(bow, common, "word", measure(common, "word"))
-    totals = {row[label]: row["class_docs"] for row in class_totals(survivors, label, doc).collect()}
+    sizes = {
+        row["keep"]: TableSize(*row[1:])
+        for row in statistics.groupBy("keep").agg(*size_columns("word", "num_docs")).collect()
+    }
+    common = sizes.get(False, TableSize(0, 0))
+    survivors = drop_matching(bow, statistics.filter("not keep"), "word", common) if common.rows else bow
+    totals = fit_class_totals(survivors.filter("word is not null"), label, doc)
     if not totals:
         raise ValueError("no words are left to select features from")
     scored = score_words(statistics.filter("keep"), totals, min_doc_freq)
-    selected, size = number_rows(top_features(scored, num_top_features, "word"), "word", "feature", "doc_freq")
-    check_vector_size(size.rows)
-    words = statistics.select("word", "num_docs", "keep")
-    return PreprocessModel(WordTable(words, measure(words, "word", "num_docs")), WordTable(selected, size))
+    selected = fit_selection(scored, num_top_features, "word")
+    check_vector_size(selected.size.rows)
+    every = TableSize(*(sum(parts) for parts in zip(*(astuple(size) for size in sizes.values()), strict=True)))
+    return PreprocessModel(WordTable(statistics.select("word", "num_docs", "keep"), every), selected)
 
 
 def score_words(words: DataFrame, totals: dict[object, int], min_doc_freq: int) -> DataFrame:
@@ -138,11 +137,7 @@ def score_words(words: DataFrame, totals: dict[object, int], min_doc_freq: int)
     Runs row by row, without a shuffle. A word whose weight is 0 is a constant feature: it scores 0.
     """
     num_docs = sum(totals.values())
-    class_docs = F.create_map(*[F.lit(x) for pair in totals.items() for x in pair])
-    cells = F.transform(
-        "cells",
-        lambda c: F.struct(c["present"].alias("present"), F.element_at(class_docs, c["label"]).alias("class_docs")),
-    )
+    cells = with_class_docs("cells", totals)
     weighted = words.withColumn("idf", idf("doc_freq", num_docs, min_doc_freq))
     chi2 = F.when(F.col("idf") != 0, chi2_from_cells(cells, F.col("doc_freq"), num_docs)).otherwise(0.0)
     return weighted.select("word", "doc_freq", "idf", chi2.alias("chi2"))

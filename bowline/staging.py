@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -70,14 +70,18 @@ class TableSize:
         return self.rows <= BROADCAST_ROWS and self.key_bytes + 64 * self.rows <= BROADCAST_BYTES
 
 
-def measure(df: DataFrame, key: str, weight: str | None = None) -> TableSize:
+def size_columns(key: str, weight: str | None = None) -> list[Column]:
+    """Aggregates for the fields of ``TableSize``."""
     total = F.coalesce(F.sum(weight), F.lit(0)) if weight else F.lit(0)
-    row = df.agg(
+    return [
         F.count("*").alias("rows"),
         F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)).alias("key_bytes"),
         total.alias("weight"),
-    ).first()
-    return TableSize(row["rows"], row["key_bytes"], row["weight"])
+    ]
+
+
+def measure(df: DataFrame, key: str, weight: str | None = None) -> TableSize:
+    return TableSize(*df.agg(*size_columns(key, weight)).first())
 
 
 def broadcast_if_small(df: DataFrame, size: TableSize) -> DataFrame:
