@@ -1,0 +1,212 @@
+"""IDF, chi-square and the selection against Spark ML and against brute force."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+from pyspark.ml.feature import IDF, UnivariateFeatureSelector
+from pyspark.ml.stat import ChiSquareTest
+from pyspark.sql import functions as F
+
+from bowline.operators import selection, vocabulary, weighting
+from bowline.operators.docvectors import document_features, pack_documents, with_vector
+from bowline.operators.stages import idf_chi2_pipeline
+from bowline.plans.preprocessing import PreprocessModel, fit_preprocessing, preprocess
+from tests.conftest import rows_of
+
+SCHEMA = "doc_id string, label int, word string, word_count int"
+
+
+def corpus(seed: int, docs: int = 60, words: int = 80, classes: int = 3) -> list[tuple]:
+    """Words follow a steep distribution and lean towards a class; some counts are explicit zeros."""
+    rng = random.Random(seed)
+    rows = []
+    for d in range(docs):
+        label = rng.randrange(classes)
+        for w in {int(words * rng.random() ** 3) for _ in range(rng.randrange(1, 25))}:
+            if w % classes != label or rng.random() < 0.6:
+                rows.append((f"d{d:03}", label, f"w{w:03}", rng.choice([0, 1, 1, 2, 5])))
+    return rows + [("only-common", 0, "w000", 3)]
+
+
+@pytest.fixture(scope="module")
+def features(spark):
+    df = spark.createDataFrame(corpus(1), SCHEMA)
+    dictionary = vocabulary.fit_vocabulary(df, 0.4)
+    return df, dictionary, weighting.binarize(document_features(df, dictionary, merged=True))
+
+
+def test_idf_equals_ml(spark, features):
+    _, dictionary, long = features
+    vectors = with_vector(pack_documents(long), dictionary.size.rows, "v")
+    model = IDF(inputCol="v", outputCol="o", minDocFreq=2).fit(vectors)
+    ours = {r["word_index"]: r["idf"] for r in weighting.idf_weights(long, 2).collect()}
+    assert len(ours) == dictionary.size.rows
+    for i, weight in ours.items():
+        assert weight == pytest.approx(model.idf[i], abs=1e-12)
+
+
+def test_idf_applied_with_and_without_broadcast(spark, features, monkeypatch):
+    _, dictionary, long = features
+    small = rows_of(weighting.apply_idf(long, weighting.fit_idf(long, 2, dictionary.size)))
+    monkeypatch.setattr("bowline.staging.BROADCAST_ROWS", -1)
+    assert rows_of(weighting.apply_idf(long, weighting.fit_idf(long, 2, dictionary.size))) == small
+
+
+def weighted_and_scores(long, dictionary):
+    weighted = weighting.apply_idf(long, weighting.fit_idf(long, 2, dictionary.size))
+    totals = selection.fit_class_totals(long)
+    return weighted, selection.chi2_statistics(selection.presence_by_class(weighted), totals)
+
+
+def test_chi2_equals_ml(features):
+    _, dictionary, long = features
+    weighted, scores = weighted_and_scores(long, dictionary)
+    vectors = with_vector(pack_documents(weighted), dictionary.size.rows, "v")
+    expected = ChiSquareTest.test(vectors, "v", "label").first()["statistics"]
+    ours = {r["word_index"]: r["chi2"] for r in scores.collect()}
+    assert len(ours) == dictionary.size.rows
+    for i, value in ours.items():
+        assert value == pytest.approx(expected[i], abs=1e-9)
+
+
+@pytest.mark.parametrize("k", [5, 20, 10_000])
+def test_selection_equals_ml(features, k):
+    _, dictionary, long = features
+    weighted, scores = weighted_and_scores(long, dictionary)
+    selected = selection.fit_selection(scores, k)
+    vectors = with_vector(pack_documents(weighted), dictionary.size.rows, "v")
+    selector = UnivariateFeatureSelector(featuresCol="v", labelCol="label", selectionMode="numTopFeatures")
+    model = selector.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(k).fit(vectors)
+    ours = [(r["feature"], r["word_index"]) for r in selected.table.orderBy("feature").collect()]
+    assert ours == list(enumerate(sorted(model.selectedFeatures)))
+
+
+def brute_force(rows, drop_freq, min_df, k):
+    """The whole chain in plain Python: {(doc, label): [(feature, value)]} of the training set, and the words."""
+    docs = {r[0] for r in rows}
+    count = {}
+    for r in rows:
+        count[r[2]] = count.get(r[2], 0) + 1
+    keep = {w for w, n in count.items() if n < drop_freq * len(docs)}
+    left = [r for r in rows if r[2] in keep]
+    label = {r[0]: r[1] for r in left}
+    m = len(label)
+    scored = []
+    for w in sorted(keep):
+        holders = {r[0] for r in left if r[2] == w and r[3] > 0}
+        df = len(holders)
+        idf = math.log((m + 1) / (df + 1)) if df >= min_df else 0.0
+        chi2 = 0.0
+        if idf:
+            for c in set(label.values()):
+                n = sum(1 for v in label.values() if v == c)
+                o = sum(1 for d in holders if label[d] == c)
+                e = df * n / m
+                chi2 += (o - e) ** 2 / e + ((n - o) - (n - e)) ** 2 / (n - e)
+        scored.append((-round(chi2, 6), w, idf))
+    chosen = {w: idf for _, w, idf in sorted(scored)[:k]}
+    feature = {w: i for i, w in enumerate(sorted(chosen))}
+    vectors = {(d, c): [] for d, c in label.items()}
+    for d, c, w, n in left:
+        if w in feature and n > 0:
+            vectors[d, c].append((feature[w], chosen[w]))
+    return {key: sorted(v) for key, v in vectors.items()}, keep, chosen
+
+
+def as_dict(packed) -> dict:
+    return {
+        (r["doc_id"], r["label"]): list(zip(r["indices"], r["values"], strict=True)) for r in packed.collect()
+    }
+
+
+@pytest.mark.parametrize(("seed", "classes", "k"), [(1, 2, 10), (2, 3, 25), (3, 4, 8000)])
+def test_preprocessing_equals_brute_force(spark, seed, classes, k):
+    rows = corpus(seed, classes=classes)
+    df = spark.createDataFrame(rows, SCHEMA)
+    expected, keep, chosen = brute_force(rows, 0.3, 2, k)
+    model = fit_preprocessing(df, drop_freq=0.3, num_top_features=k)
+    assert model.num_features == len(chosen)
+    got = as_dict(model.transform(df))
+    assert got.keys() == expected.keys() and ("only-common", 0) not in got
+    for key, vector in expected.items():
+        assert [i for i, _ in got[key]] == [i for i, _ in vector]
+        assert [v for _, v in got[key]] == pytest.approx([v for _, v in vector], abs=1e-12)
+
+
+def test_transform_of_another_set(spark, tmp_path, monkeypatch):
+    model = fit_preprocessing(spark.createDataFrame(corpus(4), SCHEMA), drop_freq=0.3, num_top_features=5)
+    chosen = {r["word"]: (r["feature"], r["idf"]) for r in model.selected.table.collect()}
+    plain = sorted({r[0] for r in model.words.table.filter("keep").select("word").collect()} - chosen.keys())[0]
+    common = model.words.table.filter("not keep").first()["word"]
+    one = sorted(chosen)[0]
+    other = spark.createDataFrame(
+        [
+            ("selected", 1, one, 2), ("selected", 1, "unseen", 1), ("zero", 1, one, 0), ("plain", 0, plain, 1),
+            ("common", 0, common, 1), ("unseen", 2, "unseen", 1), ("null", 2, None, 1),
+        ],
+        SCHEMA,
+    )
+    feature, idf = chosen[one]
+    expected = {("selected", 1): [(feature, idf)], ("zero", 1): [], ("plain", 0): []}
+    everything = expected | {("common", 0): [], ("unseen", 2): [], ("null", 2): []}
+    model.save(str(tmp_path / "m"))
+    loaded = PreprocessModel.load(spark, str(tmp_path / "m"))
+    assert (loaded.words.size, loaded.selected.size) == (model.words.size, model.selected.size)
+    for fitted in (model, loaded):
+        assert as_dict(fitted.transform(other)) == expected
+        assert as_dict(fitted.transform(other, keep_empty=True)) == everything
+    unlabelled = model.transform(other.drop("label"))
+    assert sorted(r["doc_id"] for r in unlabelled.collect()) == ["plain", "selected", "zero"]
+    monkeypatch.setattr("bowline.staging.BROADCAST_ROWS", -1)
+    assert as_dict(model.transform(other)) == expected
+    assert as_dict(model.transform(other, keep_empty=True)) == everything
+
+
+def test_plan_equals_ml_pipeline(spark):
+    """The one-plan fit and the stage pipeline agree on features and values, training and validation."""
+    df = spark.createDataFrame([r for r in corpus(6) if r[3] > 0], SCHEMA)
+    other = spark.createDataFrame([r for r in corpus(7) if r[3] > 0], SCHEMA)
+    model, *sets = preprocess(df, other, drop_freq=0.3, num_top_features=30)
+    pipeline = idf_chi2_pipeline(0.3, 2, 30)
+    named = [d.withColumnRenamed("doc_id", "input_file") for d in (df, other)]
+    fitted = pipeline.fit(named[0])
+    for source, ours in zip(named, sets, strict=True):
+        rows = fitted.transform(source).select("input_file", "label", "chi_sel_features").collect()
+        expected = {
+            (r[0], r[1]): [(i, v) for i, v in enumerate(r[2].toArray().tolist()) if v] for r in rows
+        }
+        got = {key: [(i, v) for i, v in vector if v] for key, vector in as_dict(ours).items()}
+        assert got.keys() == expected.keys()
+        for key, vector in expected.items():
+            assert [i for i, _ in got[key]] == [i for i, _ in vector]
+            assert [v for _, v in got[key]] == pytest.approx([v for _, v in vector], abs=1e-12)
+
+
+def test_empty_training_set_is_a_clear_error(spark):
+    with pytest.raises(ValueError, match="no words are left"):
+        fit_preprocessing(spark.createDataFrame([], SCHEMA))
+    with pytest.raises(ValueError, match="no words are left"):
+        fit_preprocessing(spark.createDataFrame([("d", None, "a", 1)], SCHEMA))
+
+
+def test_one_hot_word_and_one_hot_document(spark):
+    """One word in every document and one document with a third of all rows change nothing in the result."""
+    rows = corpus(8) + [("huge", 1, f"h{i}", 1) for i in range(2000)]
+    rows += [(d, c, "everywhere", 1) for d, c in {(r[0], r[1]) for r in rows}]
+    expected, _, _ = brute_force(rows, 0.3, 2, 50)
+    model = fit_preprocessing(spark.createDataFrame(rows, SCHEMA).repartition(7), drop_freq=0.3, num_top_features=50)
+    got = as_dict(model.transform(spark.createDataFrame(rows, SCHEMA).repartition(3)))
+    assert {k: [i for i, _ in v] for k, v in got.items()} == {k: [i for i, _ in v] for k, v in expected.items()}
+
+
+def test_long_table_chi2_ignores_missing_labels(spark):
+    df = spark.createDataFrame([("a", 0, 0, 1.0), ("b", 1, 0, 1.0), ("c", 1, 1, 1.0), ("d", None, 1, 1.0)],
+                               "doc_id string, label int, word_index int, value double")
+    totals = selection.fit_class_totals(df)
+    assert totals == {0: 1, 1: 2}
+    scores = selection.chi2_statistics(selection.presence_by_class(df), totals)
+    assert {r["word_index"]: r["doc_freq"] for r in scores.collect()} == {0: 2, 1: 1}
+    assert scores.filter(F.col("chi2") < 0).isEmpty()
