@@ -83,7 +83,9 @@ def chi2_statistics(
 
 def rank_features(scores: DataFrame, index: str = "word_index", score: str = "chi2", digits: int = 6) -> DataFrame:
     """Highest rounded score first, lowest index among equals."""
-    return scores.orderBy(F.round(score, digits).desc(), F.col(index))
+    # Rounded in a column of its own: a sort evaluates its expressions at every comparison.
+    rounded = scores.withColumn("_rank", F.round(score, digits))
+    return rounded.orderBy(F.col("_rank").desc(), F.col(index)).drop("_rank")
 
 
 def fit_selection(

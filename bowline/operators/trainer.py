@@ -11,14 +11,19 @@ proportion to their documents. The result depends on the partitioning, by design
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Tasks carry this module's code along, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK = 16_384  # parameters per block of the distributed sum
 CELLS = 1 << 22  # numbers in a temporary array of one gradient step
 MAX_PARAMETERS = 1 << 27  # 1 GiB of doubles, broadcast every epoch

@@ -200,8 +200,7 @@ def keep_words_join(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH {BOW_SQL}, {KEEP_SQL}, {DICTIONARY_SQL} SELECT word, word_index FROM dictionary")
 def dictionary(spark: SparkSession, sf: str) -> DataFrame:
     bow = stage(document_bow(spark, sf), "bow")
-    kept = vocabulary.drop_common(bow, DROP_FREQ)
-    return vocabulary.fit_dictionary(kept).table.select("word", "word_index")
+    return vocabulary.fit_vocabulary(bow, DROP_FREQ).table.select("word", "word_index")
 
 
 # --- vectors -------------------------------------------------------------------------------------------------------

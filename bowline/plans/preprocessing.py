@@ -22,12 +22,14 @@ from bowline.operators.docvectors import (
 )
 from bowline.operators.lookup import drop_matching, lookup_join
 from bowline.operators.selection import chi2_from_cells, fit_class_totals, fit_selection, with_class_docs
-from bowline.operators.vocabulary import WordTable, document_count, filter_common, is_rare
+from bowline.operators.vocabulary import WordTable, filter_common, is_rare
 from bowline.operators.weighting import idf
 from bowline.sources.processed import write_processed
 from bowline.sources.raw import TRAINING, VALIDATION, encode_labels, fit_labels, read_raw
 from bowline.staging import TableSize, measure, size_columns, stage
 
+MAX_CLASS_COLUMNS = 64
+
 
 @dataclass(frozen=True)
 class PreprocessModel:
@@ -71,7 +73,8 @@ class PreprocessModel:
         # Only documents without a selected word need the full vocabulary.
         doubtful = rows.join(bare.select(doc), doc, "left_semi")
         known = filter_common(doubtful, self.words).select(doc).distinct()
-        return packed.filter(F.size("indices") > 0).unionByName(bare.join(known, doc, "left_semi"))
+        kept = stage(bare.join(known, doc, "left_semi"), "bare")
+        return packed.filter(F.size("indices") > 0).unionByName(kept)
 
     def save(self, path: str) -> None:
         self.words.table.write.mode("overwrite").parquet(f"{path}/words")
@@ -100,21 +103,14 @@ def fit_preprocessing(
 ) -> PreprocessModel:
     """Fit on a bag of words with one row per (document, word); rows without a label are left out.
 
-    ``bow`` is read three times: pass a written table.
+    ``bow`` is read three times, for the classes, for the words, and for the class totals: pass a written table.
     """
     bow = bow.filter(F.col(label).isNotNull())
-    num_docs = document_count(bow, doc).first()[0]
-    by_class = bow.filter("word is not null").groupBy("word", label).agg(
-        F.count("*").alias("rows"), F.count_if(F.col("word_count") > 0).alias("present")
-    )
-    cells = F.collect_list(F.struct(F.col(label).alias("label"), "present"))  # at most one per class
-    statistics = stage(
-        by_class.groupBy("word")
-        .agg(F.sum("rows").alias("num_docs"), F.sum("present").alias("doc_freq"), cells.alias("cells"))
-        .withColumn("keep", is_rare("num_docs", drop_freq, num_docs)),
-        "words",
-    )
-    # At most (distinct words per document) / drop_freq words are common.
+    num_docs, classes = bow.agg(F.count_distinct(doc), F.collect_set(label)).first()  # one entry per class
+    if not classes:
+        raise ValueError("no words are left to select features from")
+    counted = count_by_class(bow.filter("word is not null"), sorted(classes), label)
+    statistics = stage(counted.withColumn("keep", is_rare("num_docs", drop_freq, num_docs)), "words")
     sizes = {
         row["keep"]: TableSize(*row[1:])
         for row in statistics.groupBy("keep").agg(*size_columns("word", "num_docs")).collect()
@@ -131,6 +127,28 @@ def fit_preprocessing(
     return PreprocessModel(WordTable(statistics.select("word", "num_docs", "keep"), every), selected)
 
 
+def count_by_class(rows: DataFrame, classes: list, label: str) -> DataFrame:
+    """``(word, num_docs, doc_freq, cells)``: rows, documents, and documents per class, of every word.
+
+    Up to ``MAX_CLASS_COLUMNS`` classes are counted side by side, in one aggregation by word; more of them in two,
+    by (word, class) and then by word. Either way ``cells`` holds at most one entry per class.
+    """
+    positive = F.col("word_count") > 0
+    if len(classes) > MAX_CLASS_COLUMNS:
+        by_class = rows.groupBy("word", label).agg(
+            F.count("*").alias("rows"), F.count_if(positive).alias("present")
+        )
+        cell = F.struct(F.col(label).alias("label"), "present")
+        return by_class.groupBy("word").agg(
+            F.sum("rows").alias("num_docs"), F.sum("present").alias("doc_freq"), F.collect_list(cell).alias("cells")
+        )
+    present = [F.count_if(positive & (F.col(label) == c)).alias(f"present_{i}") for i, c in enumerate(classes)]
+    counted = rows.groupBy("word").agg(F.count("*").alias("num_docs"), F.count_if(positive).alias("doc_freq"), *present)
+    cells = [F.struct(F.lit(c).alias("label"), F.col(f"present_{i}").alias("present")) for i, c in enumerate(classes)]
+    observed = F.filter(F.array(*cells), lambda cell: cell["present"] > 0)
+    return counted.select("word", "num_docs", "doc_freq", observed.alias("cells"))
+
+
 def score_words(words: DataFrame, totals: dict[object, int], min_doc_freq: int) -> DataFrame:
     """``(word, doc_freq, idf, chi2)`` from ``(word, doc_freq, cells)`` and the documents per class.
 

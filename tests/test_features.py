@@ -122,8 +122,10 @@ def as_dict(packed) -> dict:
     }
 
 
+@pytest.mark.parametrize("columns", [64, 1])
 @pytest.mark.parametrize(("seed", "classes", "k"), [(1, 2, 10), (2, 3, 25), (3, 4, 8000)])
-def test_preprocessing_equals_brute_force(spark, seed, classes, k):
+def test_preprocessing_equals_brute_force(spark, monkeypatch, seed, classes, k, columns):
+    monkeypatch.setattr("bowline.plans.preprocessing.MAX_CLASS_COLUMNS", columns)
     rows = corpus(seed, classes=classes)
     df = spark.createDataFrame(rows, SCHEMA)
     expected, keep, chosen = brute_force(rows, 0.3, 2, k)
