@@ -12,6 +12,8 @@ from bowline.staging import BROADCAST_ROWS, TableSize, broadcast_if_small, measu
 
 # A key is hot when it holds at least one part in HOT_SHARE of the total weight, so at most HOT_SHARE keys are.
 HOT_SHARE = 10_000
+# Longer keys are left to the shuffle, so that the hot keys of a table take at most 40 MB.
+HOT_KEY_BYTES = 4096
 
 _ROW_BITS = 33  # monotonically_increasing_id() keeps the row's position in the low 33 bits
 
@@ -76,7 +78,8 @@ def lookup_join(
     if size.fits_broadcast:
         return rows.join(F.broadcast(members.select(key, *carry)), key)
     payload = F.struct(*[F.col(c) for c in carry], (F.col(known) if known else F.lit(True)).alias("_known"))
-    hot = table.filter(F.col(weight) * HOT_SHARE >= size.weight).select(key, payload.alias("_hot"))
+    short = F.octet_length(F.col(key).cast("string")) <= HOT_KEY_BYTES
+    hot = table.filter((F.col(weight) * HOT_SHARE >= size.weight) & short).select(key, payload.alias("_hot"))
     tagged = rows.join(F.broadcast(hot), key, "left").filter(F.coalesce(F.col("_hot._known"), F.lit(True)))
     others = [c for c in rows.columns if c != key]
     salt = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*others), F.lit(1 << 20)))

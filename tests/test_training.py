@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -109,6 +113,13 @@ def test_full_batch_training_is_exact_and_independent_of_partitions(spark, monke
         assert model.losses == sorted(model.losses, reverse=True)
 
 
+def test_tasks_do_not_need_the_package_installed():
+    payload = cloudpickle.dumps((Network((3, 2)), fit_network))
+    code = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read())[0].num_parameters)"
+    done = subprocess.run([sys.executable, "-I", "-c", code], input=payload, capture_output=True, cwd="/", check=True)
+    assert done.stdout.strip() == b"8"
+
+
 def test_nesterov_step():
     network = Network((1, 1), learning_rate=0.5, momentum=0.9)
     flat, velocity = np.array([1.0, 0.0]), np.array([0.1, 0.0])
