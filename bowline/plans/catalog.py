@@ -242,7 +242,7 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {FEATURES_SQL}
-SELECT doc_id, label, word_index, CASE WHEN value > 0 THEN 1.0 ELSE 0.0 END AS value FROM features""")
+SELECT doc_id, label, word_index, CAST(CASE WHEN value > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS value FROM features""")
 def binarized(spark: SparkSession, sf: str) -> DataFrame:
     return weighting.binarize(all_features(spark, sf)[0])
 

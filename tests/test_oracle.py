@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import duckdb
 import pandas as pd
 import pytest
@@ -14,6 +12,7 @@ from tests.conftest import DATA
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 )
+TYPES = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
 WITHOUT_SQL = {
     "train_softmax",
     "train_softmax_sparse",
@@ -35,7 +34,7 @@ def duck():
 
 def canonical(frame: pd.DataFrame) -> tuple[list[str], list[tuple]]:
     names = sorted(frame.columns)
-    plain = lambda v: None if v is None or (isinstance(v, float) and math.isnan(v)) else v
+    plain = lambda v: None if pd.isna(v) else v
     rows = [tuple(plain(v) for v in row) for row in frame[names].astype(object).itertuples(index=False)]
     return names, sorted(rows, key=lambda row: [(v is None, v if v is not None else 0) for v in row])
 
@@ -47,8 +46,12 @@ def test_every_query_has_sql_or_a_reason():
 
 @pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query_matches_sql(spark, duck, name):
-    got = canonical(driver.queries()[name](spark, DATA).toPandas())
-    assert got == canonical(duck.execute(driver.oracle_sql()[name]).df())
+    df = driver.queries()[name](spark, DATA)
+    expected = duck.sql(driver.oracle_sql()[name])
+    types = {c: TYPES[str(t)] for c, t in zip(expected.columns, expected.types, strict=True)}
+    assert dict(df.dtypes) == types
+    got = canonical(df.toPandas())
+    assert got == canonical(expected.df())
     assert got[1]
 
 
