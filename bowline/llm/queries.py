@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.llm import exact_dedup, mixing, quality_rules, sharding
+from bowline.llm import bpe, exact_dedup, mixing, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -69,3 +69,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select(
         "doc_id", "size", "source_size", "target", "taken", F.array_join("shards.shard", ",").alias("shards")
     )
+
+
+@query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and, decoded from them, texts of all documents, as digests."""
+    coded = bpe.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return coded.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("token_ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded_text", 256).alias("decoded_sha256"),
+    )
