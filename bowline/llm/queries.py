@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.llm import bpe, exact_dedup, mixing, quality_rules, sharding
+from bowline.llm import bpe, exact_dedup, jaccard_join, mixing, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,6 +71,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word sets are 90 per cent similar."""
+    return jaccard_join.link(table(spark, sf_dir, "documents"), ngram=3, threshold=90)
+
+
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and, decoded from them, texts of all documents, as digests."""
