@@ -55,13 +55,16 @@ def chain(first: np.ndarray, *others: np.ndarray) -> np.ndarray:
 
 
 class WordHasher:
-    """Word boundaries and hashes of byte strings."""
+    """Word boundaries and hashes of byte strings.
+
+    ``word_bytes`` has a number for each byte: 0 is no part of a word, and a word is a run of one other number.
+    """
 
     def __init__(self, word_bytes: np.ndarray, lower: bool):
         self.fold = np.arange(256, dtype=np.uint8)
         if lower:
             self.fold[65:91] += 32
-        self.word = word_bytes[self.fold]
+        self.word = np.asarray(word_bytes, np.uint8)[self.fold]
         self.value = mix(np.arange(1, 257, dtype=U64) * U64(BASE))[self.fold]
         self.powers = np.ones(1, U64)
         self.inverses = np.ones(1, U64)
@@ -81,12 +84,13 @@ class WordHasher:
         if not n:
             return np.zeros(0, U64), np.zeros(0, np.int64)
         w = self.word[data]
-        first, last = w.copy(), w.copy()
-        first[1:] &= ~w[:-1]
-        last[:-1] &= ~w[1:]
+        inside, changes = w > 0, w[1:] != w[:-1]
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= changes
+        last[:-1] &= changes
         inner = breaks[(breaks > 0) & (breaks < n)]
-        first[inner] |= w[inner]
-        last[inner - 1] |= w[inner - 1]
+        first[inner] |= inside[inner]
+        last[inner - 1] |= inside[inner - 1]
         starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         self.grow(n + 1)
         sums = np.zeros(n + 1, U64)
@@ -100,7 +104,7 @@ class WordHasher:
         while at < len(data):
             end, step = min(len(data), at + SLICE), SLICE
             while end < len(data):
-                gaps = np.flatnonzero(~self.word[data[at:end]])
+                gaps = np.flatnonzero(self.word[data[at:end]] == 0)
                 if len(gaps):
                     end = at + int(gaps[-1]) + 1
                     break

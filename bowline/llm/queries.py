@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.llm import bpe, exact_dedup, jaccard_join, mixing, quality_rules, sharding
+from bowline.llm import (
+    bpe,
+    exact_dedup,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,6 +58,21 @@ FROM normal WINDOW same AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of ``labels.quality``, learned on those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    weights = quality_classifier.fit(docs, labels.filter(~quality_classifier.held_out()))
+    scored = quality_classifier.score(docs, weights)
+    return scored.select(
+        "doc_id",
+        quality_classifier.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffled = sharding.shuffle_into_shards(table(spark, sf_dir, "documents"), shards=8)
@@ -62,6 +87,43 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without the lines that are boilerplate of their hosts, as counts and a digest."""
+    cleaned = line_dedup.drop_boilerplate(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return cleaned.select(
+        "page_id", "host", "n_lines", "n_dropped", F.sha2("clean_text", 256).alias("clean_sha256")
+    )
+
+
+ORACLE["op5_line_dedup"] = r"""
+WITH shown AS (
+    SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) AS host,
+           regexp_replace(regexp_replace(coalesce(html, ''),
+               '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>|<template\b.*?</template\s*>',
+               chr(10), 'g'), '(?s)<[^>]*>', chr(10), 'g') AS body
+    FROM pages
+), paged AS (
+    SELECT page_id, host, list_filter(list_transform(string_split(body, chr(10)),
+               lambda x: trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'))), lambda x: x <> '') AS lines
+    FROM shown
+), hosts AS (SELECT host, count(*) AS host_pages FROM paged GROUP BY host
+), counted AS (
+    SELECT host, line, count(DISTINCT page_id) AS pages
+    FROM (SELECT page_id, host, unnest(list_distinct(lines)) AS line FROM paged) GROUP BY host, line
+), boilerplate AS (
+    SELECT host, list(line) AS gone FROM counted JOIN hosts USING (host)
+    WHERE pages >= 3 AND pages > host_pages * 0.2 GROUP BY host
+), stay AS (
+    SELECT page_id, host, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(gone, []), x)) AS kept
+    FROM paged LEFT JOIN boilerplate USING (host)
+)
+SELECT page_id, host, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(kept) AS BIGINT) AS n_dropped,
+       sha256(coalesce(array_to_string(kept, chr(10)), '')) AS clean_sha256
+FROM stay
+"""
+
+
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document, and the output shards of its draws."""
@@ -77,6 +139,15 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(table(spark, sf_dir, "documents"), ngram=3, threshold=90)
 
 
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases, labels and scores of all documents."""
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents")).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
+    )
+
+
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and, decoded from them, texts of all documents, as digests."""
