@@ -13,6 +13,7 @@ from bowline.llm import (
     jaccard_join,
     license_scan,
     line_dedup,
+    lm,
     mixing,
     quality_classifier,
     quality_rules,
@@ -158,3 +159,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("token_ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded_text", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by the attention model and by the unigram base."""
+    scored = lm.score_documents(table(spark, sf_dir, "documents"))
+    return scored.withColumn("doc_id", F.col("doc_id").cast("long"))
