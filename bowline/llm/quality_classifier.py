@@ -18,7 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bowline.llm.bytewords import U64, WordHasher, chain, list_array
+from bowline.llm.bytewords import U64, WordHasher, chain
+from bowline.llm.common import unused
 from bowline.staging import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -26,7 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BUCKETS = 1 << 18
 # At most about so many labelled documents are used for training, those of the lowest hashes.
 MAX_TRAINING = 200_000
-PER_LEARNER = 20_000
+PER_LEARNER = 4_000
 
 
 @dataclass(frozen=True)
@@ -72,9 +73,9 @@ def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], options: Ftrl) ->
     def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
         return np.where(np.abs(z) <= o.l1, 0.0, (np.sign(z) * o.l1 - z) / ((o.beta + np.sqrt(n)) / o.alpha + o.l2))
 
-    rows = [(np.append(f, BUCKETS), np.append(v, 1.0), y) for f, v, y in rows]
     for _ in range(o.passes):
-        for places, values, label in rows:
+        for features, known, label in rows:
+            places, values = np.append(features, BUCKETS), np.append(known, 1.0)
             zi, ni = z[places], n[places]
             w = weights(zi, ni)
             p = 1 / (1 + np.exp(-np.clip(w @ values, -35, 35)))
@@ -100,23 +101,19 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(known), "doc_id")
     rows = rows.select("text", "label", "draw")
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(token_classes(), lower=False)
-        for batch in batches:
-            for lo, hi, places, values, firsts in features_of(hasher, batch.column(0)):
-                columns = [list_array(places, firsts, pa.int32()), list_array(values, firsts, pa.float64())]
-                columns += [batch.column(i).slice(lo, hi - lo) for i in (1, 2)]
-                yield pa.RecordBatch.from_arrays(columns, names=["features", "vals", "label", "draw"])
-
     def learn(table: pa.Table) -> pa.Table:
         table = table.sort_by("draw").combine_chunks()
-        features, values, labels = (table.column(c).to_pylist() for c in ("features", "vals", "label"))
-        weights = train_ftrl([(np.array(f, np.int64), np.array(v), y) for f, v, y in zip(features, values, labels, strict=True)], options)
+        hasher, examples = WordHasher(token_classes(), lower=False), []
+        known = table.column("label").to_numpy()
+        for lo, hi, places, values, firsts in features_of(hasher, table.column("text").combine_chunks()):
+            for i in range(lo, hi):
+                part = slice(firsts[i - lo], firsts[i - lo + 1])
+                examples.append((places[part], values[part].astype(np.float32), int(known[i])))
+        weights = train_ftrl(examples, options)
         used = np.flatnonzero(weights)
         return pa.table({"place": pa.array(used, pa.int32()), "weight": pa.array(weights[used])})
 
-    featured = rows.mapInArrow(extract, "features array<int>, vals array<double>, label int, draw double")
-    parted = featured.withColumn("learner", F.floor(F.col("draw") * total / max(1, min(total, most)) * learners).cast("int"))
+    parted = rows.withColumn("learner", F.floor(F.col("draw") * total / max(1, min(total, most)) * learners).cast("int"))
     trained = parted.groupBy("learner").applyInArrow(learn, "place int, weight double")
     mean = trained.groupBy("place").agg((F.sum("weight") / learners).alias("weight"))
     out = np.zeros(BUCKETS + 1)
@@ -126,7 +123,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", column: str = "score") -> DataFrame:
-    """``docs``, without the text, with the probability of label 1. Empty and null texts get that of the constant."""
+    """``docs``, without the text, with the probability of label 1.
+
+    Empty and null texts get that of the constant. Repeated rows get equal scores, an empty table gives no rows. A
+    ``column`` whose name is taken gets underscores.
+    """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(weights)  # of fixed size
     others = [c for c in docs.columns if c != text]
@@ -146,7 +147,7 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", column: str
 
     columns = [F.col(f"`{c}`").alias(n) for c, n in zip(others, names, strict=False)]
     scored = docs.select(*columns, F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, schema)
-    return scored.toDF(*others, column)
+    return scored.toDF(*others, *unused(docs.select(*[f"`{c}`" for c in others]), column))
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 5):
