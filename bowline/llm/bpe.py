@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bowline.llm.bytewords import list_array
+from bowline.llm.common import unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -367,10 +368,9 @@ def encode_and_decode(docs: DataFrame, text: str = "text", path: str | None = No
     """``docs`` with ``token_ids`` (array of int) and, from these ids, ``decoded_text``.
 
     Added tokens written in a text are single ids, as they are for the tokenizers library; nothing is added, cut or
-    padded. A null text counts as empty: no ids. The result has the columns of ``docs`` but for the text.
+    padded. A null text counts as empty: no ids. The result has the columns of ``docs`` but for the text; a new column
+    whose name is taken gets underscores. Repeated rows are coded each; an empty table gives no rows.
     """
-    if clash := {"token_ids", "decoded_text"} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"columns of the result in the input: {sorted(clash)}")
     others = [c for c in docs.columns if c != text]
     spark = docs.sparkSession
     file = spark.sparkContext.broadcast(vocabulary(path))  # a few MB, of fixed size
@@ -395,4 +395,4 @@ def encode_and_decode(docs: DataFrame, text: str = "text", path: str | None = No
     )
     columns = [F.col(f"`{c}`").alias(n) for c, n in zip(others, inside, strict=True)]
     out = docs.select(*columns, F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, schema)
-    return out.toDF(*others, *names[len(others) :])
+    return out.toDF(*others, *unused(docs.select(*[f"`{c}`" for c in others]), *names[len(others) :]))

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from bowline.llm import bytewords
 from bowline.llm.bytewords import U64, WordHasher, chain, mix, signed
+from bowline.llm.common import unused
 from bowline.llm.components import components
 from bowline.staging import broadcast_if_small, measure, stage
 
@@ -300,5 +301,6 @@ def link(
 def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` of which none with a smaller identifier is in the same component; all without one."""
     linked = link(docs, text, doc_id, **options)
-    gone = linked.filter("component_id < doc_id").select(F.col("doc_id").alias("linked_id")).distinct()
-    return docs.join(gone, F.col(doc_id).cast("long") == gone["linked_id"], "left_anti")
+    (gone_id,) = unused(docs, "gone_id")
+    gone = linked.filter("component_id < doc_id").select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(gone, F.col(doc_id).cast("long") == F.col(gone_id), "left_anti")

@@ -170,12 +170,11 @@ def judge(
     ``labels`` has doc_id and quality (1: good). An identifier with several labels is good only if all say so;
     labels that are null or without a document do not count. Null strata form a stratum. Documents of a stratum
     without labels meet the base rules only. An empty or null text fails the base rules. Repeated rows are judged
-    alike. Empty tables of either kind do no harm.
+    alike. Empty tables of either kind do no harm. A column of the result whose name is taken gets underscores.
     """
     counts = base_counts(text)
-    names = dict(zip(counts, unused(docs.select(*keep), *counts), strict=True))
-    if any(a != b for a, b in names.items()):
-        raise ValueError(f"columns of the result in the input: {sorted(a for a, b in names.items() if a != b)}")
+    added = (*COUNTS, "base_failed", "rejected_by", "kept")
+    names = dict(zip(added, unused(docs.select(*keep), *added), strict=True))
     own = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")]
     own += [F.col(doc_id).alias("id"), F.col(stratum).cast("string").alias("stratum")]
     counted = stage(docs.select(*own, *[c.alias(k) for k, c in counts.items()]), "quality-counts")
@@ -194,10 +193,9 @@ def judge(
     reasons = F.array_compact(F.array(*[F.when(F.col(s) >= F.col(f"cut_{s}"), F.lit(s)) for s in SIGNALS]))
     return joined.select(
         "row.*",
-        *COUNTS,
-        "base_failed",
-        reasons.alias("rejected_by"),
-        (~F.col("base_failed") & (F.size(reasons) == 0)).alias("kept"),
+        *[F.col(c).alias(names[c]) for c in (*COUNTS, "base_failed")],
+        reasons.alias(names["rejected_by"]),
+        (~F.col("base_failed") & (F.size(reasons) == 0)).alias(names["kept"]),
     )
 
 
