@@ -8,8 +8,9 @@ its segment subset. If m > H, two linked sets have an equal segment subset, so s
 * cost-based allocation: subsets of few tokens are shared by unrelated sets. The plan of a level may skip subsets of
   up to c tokens, for which it adds s segments (m > H + s): a set with at most s such subsets still has an equal larger
   one with each partner; a set with more of them indexes them all the same.
-* or it may halve the segments (2m > H) and index the one-deletion neighbourhood too: each subset without one of its
-  tokens. Then some segment differs in at most one token, so a subset equals the other's or the other's less a token.
+* or it may halve the segments (2m > H + 2s) and index the one-deletion neighbourhood too: each subset without one of
+  its tokens. Then some segment differs in at most one token, so a subset equals the other's or the other's less a
+  token. Here subsets of c tokens are indexed, as others less a token may equal them, but not without a token.
 
 The plan with the lowest expected cost, from the number of sets and their size, is taken. Every plan finds all links.
 
@@ -42,7 +43,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 NGRAM = 5
 THRESHOLD = 80  # per cent
 # The chance that a token of a set is also in an unrelated set of the band, for the cost model only.
-SHARED = 0.2
+SHARED = 0.005
 PAIR_COST = 20.0  # of verifying a pair, in index rows
 
 
@@ -81,26 +82,28 @@ def level_plan(low: int, top: int, sets: int, threshold: int) -> tuple[int, int,
     size = (low + top) / 2
 
     def shared(segments: int, skipped: int) -> float:
+        """The chance that an unrelated set has the same indexed subset: all its tokens and no other."""
         mean = size / segments
         chances = [math.exp(-mean + j * math.log(mean) - math.lgamma(j + 1)) for j in range(skipped + 1)]
-        return math.exp(-mean * (1 - SHARED)) - sum(p * SHARED**j for j, p in enumerate(chances))
+        return math.exp(-mean) * (math.exp(-mean * (1 - SHARED)) - sum(p * SHARED**j for j, p in enumerate(chances)))
 
     plans = []
-    for skip in (-1, 0, 1, 2):  # -1: nothing is skipped
-        slack = 0
-        for _ in range(20):  # enough segments for all but a few sets: mean and three deviations
-            m = differ + 1 + slack
-            mean = size / m
-            few = m * sum(math.exp(-mean + j * math.log(mean) - math.lgamma(j + 1)) for j in range(skip + 1))
-            wanted = math.ceil(few + 3 * math.sqrt(few)) if skip >= 0 else 0
-            if wanted <= slack:
-                break
-            slack = wanted
-        if slack <= 2 * (differ + 1):
-            cost = m + PAIR_COST * sets * m * max(0.0, shared(m, skip))
-            plans.append((cost, (m, skip, slack, False)))
-    half = differ // 2 + 1
-    plans.append((half + size + PAIR_COST * sets * half * shared(half, -1), (half, -1, 0, True)))
+    for deletions in (False, True):
+        least = differ // 2 + 1 if deletions else differ + 1
+        for skip in (-1, 0, 1, 2, 3):  # -1: nothing is skipped
+            slack = 0
+            for _ in range(50 if skip >= 0 else 0):  # enough segments for most sets: mean and three deviations
+                mean = size / (least + slack)
+                few = (least + slack) * sum(math.exp(-mean + j * math.log(mean) - math.lgamma(j + 1)) for j in range(skip + 1))
+                wanted = math.ceil(few + 3 * math.sqrt(few))
+                if wanted <= slack:
+                    break
+                slack = wanted
+            m = least + slack
+            if slack <= 2 * least:
+                entries = m + (size if deletions else 0)
+                alike = max(0.0, shared(m, skip - 1 if deletions else skip))
+                plans.append((entries + PAIR_COST * sets * m * alike, (m, skip, slack, deletions)))
     return min(plans)[1]
 
 
@@ -119,13 +122,14 @@ def signatures(tokens: np.ndarray, level: int, plan: tuple[int, int, int, bool])
     def entries(s: np.ndarray, total: np.ndarray, n: np.ndarray) -> np.ndarray:
         return chain(total, s.astype(U64) + U64(level << 32), n.astype(U64))
 
-    every = np.arange(segments)
-    few = count <= skip
-    kept = every if few.sum() > slack else every[~few]
+    if (count <= skip).sum() > slack:
+        skip = -1
+    kept = np.flatnonzero(count >= skip if deletions else count > skip)
     out = entries(kept, sums[kept], count[kept])
     if deletions:
         s = segment[order]
-        out = np.concatenate([out, entries(s, sums[s] - values, count[s] - 1)])
+        less = entries(s, sums[s] - values, count[s] - 1)
+        out = np.concatenate([out, less[count[s] > skip]])
     return out
 
 
