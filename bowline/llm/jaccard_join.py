@@ -43,7 +43,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 NGRAM = 5
 THRESHOLD = 80  # per cent
 # The chance that a token of a set is also in an unrelated set of the band, for the cost model only.
-SHARED = 0.005
+SHARED = 0.0001
 PAIR_COST = 20.0  # of verifying a pair, in index rows
 
 
