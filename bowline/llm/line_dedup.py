@@ -36,20 +36,19 @@ def lines_of(html: Column) -> Column:
     return F.filter(folded, lambda line: line != "")
 
 
-def line_table(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(row, host, lines) of every page, written down."""
-    rows = pages.select("row", host_of(F.col(url)).alias("host"), lines_of(F.col(html)).alias("lines"))
-    return stage(rows, "page-lines")
+def keys_of(lines: Column) -> Column:
+    """Two hashes of each line, 128 bits in all, stand for it."""
+    return F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(1), x).alias("h2")))
 
 
 def boilerplate(lines: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, key, line, pages): lines that more than ``ratio`` of the host's pages contain, and not fewer than
-    ``min_pages`` pages. Lines are told apart by a hash and themselves."""
+    """(host, h1, h2, pages): lines that more than ``ratio`` of the host's pages contain, and not fewer than
+    ``min_pages`` pages. ``lines`` has a row per page: host, lines."""
     hosts = lines.groupBy("host").agg(F.count("*").alias("host_pages"))
-    each = lines.select("host", F.explode(F.array_distinct("lines")).alias("line"))
-    counted = each.groupBy("host", "line").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages)
+    each = lines.select("host", F.inline(keys_of(F.array_distinct("lines"))))
+    counted = each.groupBy("host", "h1", "h2").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages)
     joined = counted.join(hosts, "host")
-    return joined.filter(F.col("pages") > F.col("host_pages") * ratio).select("host", "line", "pages")
+    return joined.filter(F.col("pages") > F.col("host_pages") * ratio).select("host", "h1", "h2", "pages")
 
 
 def drop_boilerplate(
@@ -58,28 +57,37 @@ def drop_boilerplate(
     html: str = "html",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
+    keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """``pages`` with ``host``, ``clean_text`` (the lines that stay, by line feeds), ``n_lines`` and ``n_dropped``.
 
-    Pages without a host share the empty one. A null page has no lines and stays with an empty text. Repeated rows
-    count as pages of their own; a line that a page repeats counts once and goes or stays as a whole. An empty table
-    gives no rows.
+    ``keep``: the columns of ``pages`` in the result, all of them by default. A new column whose name is taken gets
+    underscores. Pages without a host share the empty one. A null page has no lines and stays with an empty text.
+    Repeated rows count as pages of their own; a line that a page repeats counts once and goes or stays as a whole.
+    An empty table gives no rows.
     """
-    row, host, clean, n_lines, n_dropped = unused(pages, "row", "host", "clean_text", "n_lines", "n_dropped")
-    numbered = stage(pages.withColumn(row, F.monotonically_increasing_id()), "pages")
-    lines = line_table(numbered.select(F.col(row).alias("row"), F.col(url).alias("url"), F.col(html).alias("html")))
+    kept = [F.col(f"`{c}`") for c in (pages.columns if keep is None else keep)]
+    names = unused(pages.select(*kept), "host", "clean_text", "n_lines", "n_dropped")
+    lines = stage(
+        pages.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.struct(*kept).alias("page"),
+            host_of(F.col(url)).alias("host"),
+            lines_of(F.col(html)).alias("lines"),
+        ),
+        "page-lines",
+    )
     drop = stage(boilerplate(lines, ratio, min_pages), "boilerplate")
     total = lines.agg(F.sum(F.size("lines"))).first()[0] or 0
-    each = lines.select("row", "host", F.explode(F.array_distinct("lines")).alias("line"))
-    hits = join_split_hot(each, drop, ["host", "line"], "pages", total)
-    by_row = hits.groupBy("row").agg(F.collect_set("line").alias("gone"))
-    none = F.array().cast("array<string>")
-    kept = lines.join(by_row, "row", "left").select(
-        "row", F.col("host").alias(host), F.size("lines").cast("long").alias(n_lines), "lines", F.coalesce("gone", none).alias("gone")
-    )
+    each = lines.select("row", "host", F.inline(keys_of(F.array_distinct("lines"))))
+    hits = join_split_hot(each, drop, ["host", "h1", "h2"], "pages", total)
+    gone = hits.groupBy("row").agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
+    none = F.array().cast("array<struct<h1:bigint,h2:bigint>>")
+    found = lines.join(gone, "row", "left").withColumn("gone", F.coalesce("gone", none))
     # In the row itself: lines that are not among the page's boilerplate, in their order.
-    stay = F.filter("lines", lambda line: ~F.array_contains(F.col("gone"), line))
-    kept = kept.withColumn("stay", stay).select(
-        F.col("row").alias(row), host, F.array_join("stay", "\n").alias(clean), n_lines, (F.col(n_lines) - F.size("stay")).cast("long").alias(n_dropped)
-    )
-    return numbered.join(kept, row).drop(row)
+    both = F.filter(F.arrays_zip(F.col("lines").alias("line"), keys_of(F.col("lines")).alias("key")), lambda x: ~F.array_contains(F.col("gone"), x["key"]))
+    found = found.withColumn("stay", both)
+    clean = F.array_join("stay.line", "\n")
+    n_lines = F.size("lines").cast("long")
+    columns = (F.col("host"), clean, n_lines, n_lines - F.size("stay"))
+    return found.select("page.*", *[c.alias(n) for c, n in zip(columns, names, strict=True)])

@@ -91,7 +91,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages without the lines that are boilerplate of their hosts, as counts and a digest."""
-    cleaned = line_dedup.drop_boilerplate(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    cleaned = line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"), keep=("page_id",))
     return cleaned.select(
         "page_id", "host", "n_lines", "n_dropped", F.sha2("clean_text", 256).alias("clean_sha256")
     )
