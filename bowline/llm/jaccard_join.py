@@ -16,8 +16,10 @@ The plan with the lowest expected cost, from the number of sets and their size,
 
 Equal sets count once. Members of an index entry, in order of size, are paired with the member before them and with
 the first; these pairs are verified on the whole texts, and components are formed. Then, for every entry that still
-has members of several components, pairs across components are verified too; so entries full of near copies cost a
-multiple of their length and no link between components is missed.
+has members of several components, those outside its main component are held against all members of other components.
+That is done inside the tasks, in blocks, on sketches: a sketch adds up the tokens of a set in some buckets, so two
+sets differ in at least as many tokens as their sketches in buckets, and only pairs that may still be linked come out
+and are verified. So no entry sends out all its pairs, and no link between components is missed.
 """
 
 from __future__ import annotations
@@ -45,6 +47,7 @@ THRESHOLD = 80  # per cent
 # The chance that a token of a set is also in an unrelated set of the band, for the cost model only.
 SHARED = 0.0001
 PAIR_COST = 20.0  # of verifying a pair, in index rows
+BLOCK = 2000  # members of an entry that are in one task together, twice
 
 
 def sets_of(hasher: WordHasher, column: pa.Array, ngram: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -229,6 +232,92 @@ def candidate_texts(docs: DataFrame, text: str, doc_id: str, pairs: DataFrame) -
     return stage(rows.join(broadcast_if_small(ids, measure(ids, "doc_id")), "doc_id", "left_semi"), "pair-texts")
 
 
+def sketches(docs: DataFrame, text: str, doc_id: str, placed: DataFrame, ngram: int, threshold: int) -> DataFrame:
+    """(rep, n_texts, sketch) of the documents in ``placed``, written down."""
+    ids = stage(placed.select(F.col("rep").alias("doc_id")).distinct(), "sketch-ids")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = rows.join(broadcast_if_small(ids, measure(ids, "doc_id")), "doc_id", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher(bytewords.not_spaces(), lower=True)
+        for batch in batches:
+            out = []
+            for _, tokens in sets_of(hasher, batch.column(1), ngram):
+                buckets = buckets_of(len(tokens), threshold)
+                mixed = mix(tokens ^ U64(0x3C6EF372))
+                sums = np.bincount((mixed & U64(buckets - 1)).astype(np.int64), (mixed >> U64(40)) % U64(255) + U64(1), buckets)
+                out.append((sums.astype(np.int64) & 255).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["rep", "sketch"])
+
+    drawn = rows.mapInArrow(run, "rep long, sketch binary")
+    # A document of several texts has no one sketch: null lets all its pairs pass.
+    grouped = drawn.groupBy("rep").agg(F.when(F.count("*") == 1, F.first("sketch")).alias("sketch"))
+    return stage(grouped, "sketches")
+
+
+def buckets_of(n: int, threshold: int) -> int:
+    """Buckets of a sketch: a power of two, at least twice the tokens that two linked sets of this size differ in."""
+    return 1 << max(5, (2 * (100 - threshold) * 2 * n // (100 + threshold)).bit_length())
+
+
+def across(placed: DataFrame, drawn: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): pairs of entries' members in different components that sizes and sketches allow to be linked."""
+    rows = placed.join(drawn, "rep").withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    columns = ["rep", "n", "component", "sketch"]
+    left = rows.filter("component != major").select("entry", own.alias("i"), every.alias("j"), F.lit(0).alias("side"), *columns)
+    right = rows.select("entry", every.alias("i"), own.alias("j"), F.lit(1).alias("side"), *columns)
+    dealt = left.unionByName(right).repartition("entry", "i", "j").sortWithinPartitions("entry", "i", "j", "side", "rep")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            table = pa.Table.from_batches([*held, batch]).combine_chunks()
+            keys = np.stack([table.column(c).to_numpy() for c in ("entry", "i", "j")])
+            new = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
+            done = int(new[-1]) if len(new) else 0
+            held = table.slice(done).to_batches()
+            if done:
+                yield allowed(table.slice(0, done), [0, *new.tolist()], threshold)
+        if held:
+            table = pa.Table.from_batches(held).combine_chunks()
+            yield allowed(table, [0, table.num_rows], threshold)
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def allowed(table: pa.Table, bounds: list[int], threshold: int) -> pa.RecordBatch:
+    """Pairs of side 0 and side 1 in each group of rows, bounds[k] to bounds[k + 1]."""
+    side, rep, n, component = (table.column(c).to_numpy() for c in ("side", "rep", "n", "component"))
+    n = n.astype(np.int64)
+    drawn = table.column("sketch").to_pylist()
+    out = [np.zeros((2, 0), np.int64)]
+    for lo, hi in zip(bounds, bounds[1:], strict=False):
+        cut = lo + int(np.searchsorted(side[lo:hi], 1))
+        if cut == lo or cut == hi:
+            continue
+        known = [x for x in drawn[lo:hi] if x is not None]
+        size = min(map(len, known), default=1)
+        folded = np.zeros((hi - lo, size), np.uint8)
+        for k, x in enumerate(drawn[lo:hi]):
+            if x is not None:
+                folded[k] = np.frombuffer(x, np.uint8).reshape(-1, size).sum(0, dtype=np.uint8)
+        blind = np.array([x is None for x in drawn[lo:hi]])
+        right = slice(cut, hi)
+        for i in range(lo, cut):
+            fits = (component[right] != component[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * threshold)
+            at = np.flatnonzero(fits)
+            if len(at):
+                apart = (folded[cut - lo :][at] != folded[i - lo]).sum(1)
+                most = (100 - threshold) * (n[right][at] + n[i]) // (100 + threshold)
+                at = at[(apart <= most) | blind[cut - lo :][at] | blind[i - lo]]
+                other = rep[right][at]
+                out.append(np.stack([np.minimum(other, rep[i]), np.maximum(other, rep[i])]))
+    a, b = np.unique(np.concatenate(out, 1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
 def link(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ngram: int = NGRAM, threshold: int = THRESHOLD
 ) -> DataFrame:
@@ -284,13 +373,16 @@ def link(
         parts.select(F.col("node").alias("rep"), "component"), "rep", "left"
     )
     placed = placed.select("entry", "rep", "n", F.coalesce("component", "rep").alias("component")).distinct()
-    open_ = placed.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = stage(placed.join(open_.filter("low != high").select("entry"), "entry", "left_semi"), "index-open")
-    one, two = (placed.select("entry", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component")]) for s in "ab")
-    across = one.join(two, "entry").filter("component_a < component_b")
-    across = across.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold)
-    across = across.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
-    rest = stage(across.join(tested, ["a", "b"], "left_anti"), "pairs-across")
+    # The component that most of an entry's members are in needs no pairs inside: the others meet all members.
+    sizes = placed.groupBy("entry", "component").agg(F.count("*").alias("members"))
+    major = sizes.groupBy("entry").agg(
+        F.max_by("component", F.struct("members", "component")).alias("major"),
+        F.sum("members").alias("all"),
+        F.count("*").alias("kinds"),
+    )
+    placed = stage(placed.join(major.filter("kinds > 1"), "entry"), "index-placed")
+    drawn = sketches(docs, text, doc_id, placed, ngram, threshold)
+    rest = stage(across(placed, drawn, threshold).join(tested, ["a", "b"], "left_anti"), "pairs-across")
     more = stage(verify(rest, candidate_texts(docs, text, doc_id, rest), ngram, threshold), "links-across")
 
     # A document with several texts joins the classes of all of them.
