@@ -5,29 +5,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bowline.staging import BROADCAST_ROWS, TableSize, broadcast_if_small, measure, size_columns, stage
+from bowline.staging import TableSize, size_columns, stage
 
-# A key is hot when it holds at least one part in HOT_SHARE of the total weight, so at most HOT_SHARE keys are.
+# A key is hot when it holds at least one part in HOT_SHARE of the joined rows, so at most HOT_SHARE keys are.
 HOT_SHARE = 10_000
-# Longer keys are left to the shuffle, so that the hot keys of a table take at most 40 MB.
-HOT_KEY_BYTES = 4096
+# The rows of a hot key are spread over so many salts, and the table's row for it is repeated for each.
+SALTS = 64
 
 _ROW_BITS = 33  # monotonically_increasing_id() keeps the row's position in the low 33 bits
 
 
-def number_rows(
-    df: DataFrame, key: str, index: str = "word_index", weight: str | None = None
-) -> tuple[DataFrame, TableSize]:
-    """Add ``index`` = 0, 1, 2, ... in ascending order of the unique, non-null ``key``; also return the size.
+def place_rows(df: DataFrame, order: Sequence[Column | str], index: str, key: str, weight: str | None) -> tuple[DataFrame, list]:
+    """Add ``index`` = 0, 1, 2, ... in ``order``; also the size columns of every partition.
 
     Rows are range-partitioned and sorted, each one's position in its partition is written down with it, and one
     offset per partition (a running sum of the partitions' sizes) is added. No step holds all rows in one task.
     """
     placed = stage(
-        df.repartitionByRange(key).sortWithinPartitions(key).withColumn("_place", F.monotonically_increasing_id()),
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()),
         "numbered",
     )
     piece = F.shiftright("_place", _ROW_BITS).cast("int")
@@ -38,57 +36,68 @@ def number_rows(
     # A foldable expression: one array literal after constant folding.
     offset = F.element_at(F.split(F.lit(offsets), ",").cast("array<bigint>"), piece + 1)
     numbered = placed.withColumn(index, offset + F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-    size = TableSize(*(sum(r[part] for r in sizes) for part in ("rows", "key_bytes", "weight")))
-    return numbered.drop("_place"), size
+    return numbered.drop("_place"), sizes
+
+
+def number_rows(
+    df: DataFrame, key: str, index: str = "word_index", weight: str | None = None
+) -> tuple[DataFrame, TableSize]:
+    """Add ``index`` = 0, 1, 2, ... in ascending order of the unique, non-null ``key``; also return the size."""
+    numbered, sizes = place_rows(df, [key], index, key, weight)
+    return numbered, TableSize(*(sum(r[part] for r in sizes) for part in ("rows", "key_bytes", "weight")))
 
 
 def number_top(
-    ranked: DataFrame, k: int, key: str, index: str, weight: str | None = None
+    rows: DataFrame, order: Sequence[Column | str], k: int, key: str, index: str, weight: str | None = None
 ) -> tuple[DataFrame, TableSize]:
-    """The first ``k`` rows of a sorted plan, written once and numbered in ascending order of ``key``.
+    """The first ``k`` rows in ``order``, numbered in ascending order of ``key``.
 
-    A limit leaves one partition. With ``k`` small enough to broadcast, its rows are numbered right there.
+    Rows get their ordinals in ``order`` without a limit, and those below ``k`` are numbered again.
     """
-    top = ranked.limit(k)
-    if k > BROADCAST_ROWS:
-        return number_rows(top, key, index, weight)
-    numbered = top.coalesce(1).sortWithinPartitions(key).withColumn(index, F.monotonically_increasing_id())
-    table = stage(numbered, "top")
-    return table, measure(table, key, weight)
+    ranked, _ = place_rows(rows, order, "_ordinal", key, weight)
+    return number_rows(ranked.filter(F.col("_ordinal") < k).drop("_ordinal"), key, index, weight)
+
+
+def salt_hot(rows: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_salt``: rows of hot keys are spread, and the table's rows for them repeated.
+
+    Hot keys are measured on ``rows`` themselves, by a hash of the key: keys that share a hash share its salts.
+    """
+    others = [c for c in rows.columns if c != key]
+    hashed = rows.withColumn("_hash", F.xxhash64(key))
+    counts = stage(hashed.groupBy("_hash").agg(F.count("*").alias("_rows")), "key-counts")
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    # At most HOT_SHARE rows of two numbers.
+    hot = F.broadcast(counts.filter(F.col("_rows") * HOT_SHARE >= total).select("_hash", F.lit(True).alias("_hot")))
+    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*others), F.lit(SALTS))).otherwise(0).cast("int")
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    tagged = table.withColumn("_hash", F.xxhash64(key)).join(hot, "_hash", "left")
+    return (
+        hashed.join(hot, "_hash", "left").withColumn("_salt", spread).drop("_hash", "_hot"),
+        tagged.withColumn("_salt", F.explode(every)).drop("_hash", "_hot"),
+    )
 
 
 def lookup_join(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    carry: Sequence[str],
-    size: TableSize,
-    weight: str,
-    known: str | None = None,
+    rows: DataFrame, table: DataFrame, key: str, carry: Sequence[str], size: TableSize, known: str | None = None
 ) -> DataFrame:
     """Inner join of ``rows`` with ``table`` (unique on ``key``), adding the ``carry`` columns.
 
-    A table of checked size is broadcast. A larger one is shuffled, but its hot keys (by ``weight``, the rows
-    each is expected to match) are still matched by a broadcast, and their rows travel under a salt instead of
-    under the one hot key. ``known`` names a boolean column of the table; rows matching a false one are dropped,
-    before the shuffle when the key is hot.
+    A table of checked size is broadcast. A larger one is shuffled, the hot keys of ``rows`` under salts. ``known``
+    names a boolean column of the table; rows matching a false one are dropped.
     """
     rows = rows.filter(F.col(key).isNotNull())
-    members = table.filter(known) if known else table
+    members = (table.filter(known) if known else table).select(key, *carry)
     if size.fits_broadcast:
-        return rows.join(F.broadcast(members.select(key, *carry)), key)
-    payload = F.struct(*[F.col(c) for c in carry], (F.col(known) if known else F.lit(True)).alias("_known"))
-    short = F.octet_length(F.col(key).cast("string")) <= HOT_KEY_BYTES
-    hot = table.filter((F.col(weight) * HOT_SHARE >= size.weight) & short).select(key, payload.alias("_hot"))
-    tagged = rows.join(F.broadcast(hot), key, "left").filter(F.coalesce(F.col("_hot._known"), F.lit(True)))
-    others = [c for c in rows.columns if c != key]
-    salt = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*others), F.lit(1 << 20)))
-    cold = members.select(key, F.lit(0).cast("bigint").alias("_salt"), payload.alias("_cold"))
-    joined = tagged.withColumn("_salt", salt.cast("bigint")).join(cold, [key, "_salt"], "left")
-    found = joined.withColumn("_hit", F.coalesce("_hot", "_cold")).filter(F.col("_hit").isNotNull())
-    return found.select(*rows.columns, *[F.col(f"_hit.{c}").alias(c) for c in carry])
+        return rows.join(F.broadcast(members), key).select(*rows.columns, *carry)
+    left, right = salt_hot(rows, members, key)
+    return left.join(right, [key, "_salt"]).select(*rows.columns, *carry)
 
 
 def drop_matching(rows: DataFrame, table: DataFrame, key: str, size: TableSize) -> DataFrame:
-    """Rows with a non-null key that ``table`` does not hold."""
-    return rows.filter(F.col(key).isNotNull()).join(broadcast_if_small(table.select(key), size), key, "left_anti")
+    """Rows with a non-null key that ``table`` does not hold; a large table is met as in ``lookup_join``."""
+    rows = rows.filter(F.col(key).isNotNull())
+    if size.fits_broadcast:
+        return rows.join(F.broadcast(table.select(key)), key, "left_anti").select(*rows.columns)
+    left, right = salt_hot(rows, table.select(key), key)
+    return left.join(right, [key, "_salt"], "left_anti").select(*rows.columns)

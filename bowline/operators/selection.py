@@ -81,15 +81,21 @@ def chi2_statistics(
     return by_feature.select(index, "doc_freq", statistic.alias("chi2"))
 
 
+def rank_order(index: str = "word_index") -> list[Column]:
+    """Highest rounded score, in ``_rank``, first; lowest index among equals."""
+    return [F.col("_rank").desc(), F.col(index).asc()]
+
+
 def rank_features(scores: DataFrame, index: str = "word_index", score: str = "chi2", digits: int = 6) -> DataFrame:
-    """Highest rounded score first, lowest index among equals."""
+    """The features in the order in which they are selected."""
     # Rounded in a column of its own: a sort evaluates its expressions at every comparison.
-    rounded = scores.withColumn("_rank", F.round(score, digits))
-    return rounded.orderBy(F.col("_rank").desc(), F.col(index)).drop("_rank")
+    return scores.withColumn("_rank", F.round(score, digits)).orderBy(*rank_order(index)).drop("_rank")
 
 
 def fit_selection(
     scores: DataFrame, k: int = 8000, index: str = "word_index", score: str = "chi2", weight: str = "doc_freq"
 ) -> WordTable:
     """The ``k`` best rows with ``feature`` = 0, 1, ... in ascending order of their index."""
-    return WordTable(*number_top(rank_features(scores, index, score), k, index, "feature", weight))
+    ranked = scores.withColumn("_rank", F.round(score, 6))
+    table, size = number_top(ranked, rank_order(index), k, index, "feature", weight)
+    return WordTable(table.drop("_rank"), size)

@@ -26,7 +26,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 16_384  # parameters per block of the distributed sum
 CELLS = 1 << 22  # numbers in a temporary array of one gradient step
-MAX_PARAMETERS = 1 << 27  # 1 GiB of doubles, broadcast every epoch
+# Weights go to every task and their gradient comes back through the driver as doubles: 512 MiB, half of Spark's
+# default spark.driver.maxResultSize. Averaging brings back twice as much.
+MAX_PARAMETERS = 1 << 26
 
 
 @dataclass(frozen=True)
@@ -262,22 +264,32 @@ def fit_network(
     epochs: int,
     sync: str = "gradient",
     batch_size: int = 16,
+    workers: int = 8,
+    initial: np.ndarray | None = None,
 ) -> TrainedNetwork:
     """Train on ``(indices, values, class_id)``, class ids from 0, each row's indices distinct.
 
-    ``data`` is read once per epoch: pass a written table. ``batch_size`` matters to ``sync="average"`` only.
+    ``data`` is read once per epoch: pass a written table. ``batch_size`` and ``workers`` matter to
+    ``sync="average"`` only: documents go to so many learners by a hash of what is in them, and each learner takes them
+    in the order of that hash, so the model does not depend on files or cores. ``initial``: weights to begin with.
     """
     if sync not in ("gradient", "average"):
         raise ValueError("sync must be 'gradient' or 'average'")
     data = data.select("indices", "values", "class_id")
     context = data.sparkSession.sparkContext
-    flat, velocity, losses = network.initial(), np.zeros(network.num_parameters), []
+    flat = network.initial() if initial is None else np.array(initial, float)
+    velocity, losses = np.zeros(network.num_parameters), []
+    if sync == "average":
+        dealt = data.withColumn("_order", F.xxhash64("indices", "values", "class_id"))
+        dealt = dealt.repartition(workers, F.pmod("_order", F.lit(workers)))
+        data = dealt.sortWithinPartitions("_order").drop("_order")
     width = max(network.layers[1:])
     for _ in range(epochs):
-        shared = context.broadcast((flat, velocity))
+        # Full batches need the weights alone; learners go on with the velocity too.
+        shared = context.broadcast(flat if sync == "gradient" else (flat, velocity))
 
         def full_batch(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            weights, _ = shared.value
+            weights = shared.value
             gradient, loss, docs = np.zeros(network.num_parameters), 0.0, 0
             for batch in batches:
                 for rows in batch_rows(batch).slices(width):

@@ -63,7 +63,7 @@ def fit_common_words(
 
 def filter_common(bow: DataFrame, words: WordTable, word: str = "word") -> DataFrame:
     """Rows whose word is a keep-word of ``words``; words it never saw are dropped too."""
-    return lookup_join(bow, words.table, word, [], words.size, "num_docs", known="keep")
+    return lookup_join(bow, words.table, word, [], words.size, known="keep")
 
 
 def drop_common(
@@ -106,4 +106,4 @@ def dictionary_size(dictionary: DataFrame, index: str = "word_index") -> DataFra
 
 def add_word_index(bow: DataFrame, dictionary: WordTable, word: str = "word", index: str = "word_index") -> DataFrame:
     """Rows with their word's index; rows of unknown words are dropped."""
-    return lookup_join(bow, dictionary.table, word, [index], dictionary.size, "num_docs")
+    return lookup_join(bow, dictionary.table, word, [index], dictionary.size)

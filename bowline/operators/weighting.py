@@ -62,5 +62,5 @@ def apply_idf(
     features: DataFrame, weights: WordTable, index: str = "word_index", value: str = "value"
 ) -> DataFrame:
     """Values multiplied by the weight of their index."""
-    joined = lookup_join(features, weights.table, index, ["idf"], weights.size, "doc_freq")
+    joined = lookup_join(features, weights.table, index, ["idf"], weights.size)
     return joined.withColumn(value, F.col(value) * F.col("idf")).select(*features.columns)

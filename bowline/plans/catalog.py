@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
@@ -13,12 +12,13 @@ from bowline.functions.labels import base26_code, label_from_path
 from bowline.operators import docvectors, evaluate, selection, vocabulary, weighting
 from bowline.operators.stages import CommonElementFilter, WordCountToVec
 from bowline.operators.vocabulary import WordTable
+from bowline.plans.classification import class_count as count_classes
 from bowline.plans.classification import classify, classify_directory
 from bowline.plans.preprocessing import fit_preprocessing, preprocess
 from bowline.sources.processed import read_processed, write_processed
-from bowline.sources.raw import TRAINING, VALIDATION, fit_labels, parse_lines
-from bowline.sources.text import bow_from_text, document_bow, ids_unique, labelled_bow, read_table, spread_scan
-from bowline.staging import stage, staging_root
+from bowline.sources.raw import TRAINING, VALIDATION, encode_labels, fit_labels, parse_lines
+from bowline.sources.text import bow_from_text, document_bow, ids_unique, labelled_bow, read_labels, read_table
+from bowline.staging import stage, staged_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -157,7 +157,7 @@ SELECT doc_id, nullif(trim(lower(f[1]), ' '), '') AS word, TRY_CAST(f[2] AS INTE
 WHERE len(f) = 2 AND regexp_full_match(f[2], '[+-]?[0-9]+') AND TRY_CAST(f[2] AS INTEGER) IS NOT NULL""")
 def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The line rule of the raw scan on lines made from the documents: "word count" lines and plain prose."""
-    docs = spread_scan(read_table(spark, sf, "documents", "doc_id", "text"))
+    docs = read_table(spark, sf, "documents", "doc_id", "text")
     prose = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     words = docs.select("doc_id", F.explode(F.split("text", "[ \n\t\r]+")).alias("word")).filter("word <> ''")
     counted = words.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
@@ -233,7 +233,7 @@ def doc_vectors_csv(spark: SparkSession, sf: str) -> DataFrame:
 @query(CSV_SQL.format(columns=""))
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Written as CSV, read back, parsed to arrays, wrapped as ML vectors, unwrapped and joined again."""
-    folder = f"{staging_root(spark)}/bowline-csv-{uuid.uuid4().hex}"
+    folder = staged_folder(spark, "csv")
     write_processed(csv_ready(spark, sf), folder)
     arrays = docvectors.from_csv_columns(read_processed(spark, folder))
     size = docvectors.feature_count(arrays)
@@ -338,11 +338,26 @@ def label_dense(spark: SparkSession, sf: str) -> DataFrame:
     return fit_labels(lettered_documents(spark, sf), "letters")
 
 
+@query("""SELECT lang AS label_str, CAST(CASE lang WHEN 'en' THEN 0 WHEN 'es' THEN 1 WHEN 'fr' THEN 2 ELSE -1 END AS INTEGER) AS label,
+  count(*) AS num_docs FROM documents GROUP BY lang""")
+def label_unseen(spark: SparkSession, sf: str) -> DataFrame:
+    """Class ids from documents without the German ones, given to all: a class that was not seen is -1."""
+    docs = read_table(spark, sf, "documents", "doc_id", F.col("lang").alias("label_str"), F.lit(None).cast("int").alias("label"))
+    encoded = encode_labels(docs, fit_labels(docs.filter("label_str <> 'de'")))
+    return encoded.groupBy("label_str", "label").agg(F.count("*").alias("num_docs"))
+
+
+@query(f"WITH {BOW_SQL} SELECT doc_id, quality AS label, word, word_count FROM bow JOIN labels USING (doc_id)")
+def repeated_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """A label table that says everything twice changes no count."""
+    labels = read_table(spark, sf, "labels", "doc_id", "quality")
+    return labelled_bow(spark, sf, labels=labels.unionByName(labels))
+
+
 @query("SELECT count(DISTINCT quality) AS num_classes FROM documents JOIN labels USING (doc_id)")
 def class_count(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents", "doc_id")
-    labels = read_table(spark, sf, "labels", "doc_id", "quality")
-    return docs.join(labels, "doc_id").agg(F.count_distinct("quality").alias("num_classes"))
+    return count_classes(docs.join(read_labels(spark, sf, "quality"), "doc_id"), "quality")
 
 
 @query(f"WITH {FEATURES_SQL} SELECT max(word_index) + 1 AS dictionary_size FROM features")
@@ -403,31 +418,32 @@ def metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_bow(spark: SparkSession, sf: str, label: str = "quality") -> tuple[DataFrame, DataFrame]:
-    """Training: the labelled documents not marked toxic. Validation: the ones marked toxic."""
+    """Training and validation, every fifth document, with a class from ``labels`` or, ``lang``, the table itself."""
     docs = read_table(spark, sf, "documents", "doc_id", "lang", "text")
-    labels = read_table(spark, sf, "labels")
-    unique = ids_unique(docs, "doc_id") and ids_unique(labels, "doc_id")
-    joined = spread_scan(docs, *(["doc_id"] if unique else [])).join(labels, "doc_id")
-    joined = joined.withColumnRenamed(label, "label")
-    bow = stage(bow_from_text(joined, keep=["label", "toxic"], unique=unique), "bow")
-    return bow.filter("toxic = 0").drop("toxic"), bow.filter("toxic = 1").drop("toxic")
+    unique = ids_unique(docs, "doc_id")
+    if label == "lang":
+        docs = docs.withColumnRenamed("lang", "label")
+    else:
+        docs = docs.join(read_labels(spark, sf, label).withColumnRenamed(label, "label"), "doc_id")
+    bow = stage(bow_from_text(docs, keep=["label"], unique=unique), "bow")
+    return bow.filter("doc_id % 5 <> 0"), bow.filter("doc_id % 5 = 0")
 
 
 JOB_SQL = f"""
-WITH {labelled_features_sql('quality', '(SELECT * FROM labels WHERE toxic = 0)')},
+WITH {labelled_features_sql('quality', '(SELECT * FROM labels WHERE doc_id % 5 <> 0)')},
 numbered AS (
   SELECT c.word, w.idf, row_number() OVER (ORDER BY c.word_index) - 1 AS feature
   FROM chosen c JOIN weights w USING (word_index)),
 every AS (
-  SELECT DISTINCT l.doc_id, l.quality, l.toxic, p.word FROM labels l JOIN (
+  SELECT DISTINCT l.doc_id, l.quality, p.word FROM labels l JOIN (
     SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \\n\\t\\r]+')) AS word FROM documents) p USING (doc_id)),
-known AS (SELECT DISTINCT doc_id, quality, toxic FROM every JOIN dictionary USING (word)),
+known AS (SELECT DISTINCT doc_id, quality FROM every JOIN dictionary USING (word)),
 hit AS (SELECT e.doc_id, n.feature, n.idf FROM every e JOIN numbered n USING (word))
-SELECT CASE WHEN k.toxic = 0 THEN 'training' ELSE 'validation' END AS split, k.doc_id, k.quality AS label,
+SELECT CASE WHEN k.doc_id % 5 <> 0 THEN 'training' ELSE 'validation' END AS split, k.doc_id, k.quality AS label,
   CAST((SELECT count(*) FROM numbered) AS INTEGER) AS num_features,
   coalesce(string_agg(CAST(h.feature AS VARCHAR), ',' ORDER BY h.feature), '') AS word_indices_str,
   round(coalesce(sum(h.idf), 0.0), {DIGITS}) AS value_sum
-FROM known k LEFT JOIN hit h USING (doc_id) GROUP BY k.toxic, k.doc_id, k.quality"""
+FROM known k LEFT JOIN hit h USING (doc_id) GROUP BY k.doc_id, k.quality"""
 
 
 @query(JOB_SQL)
@@ -446,8 +462,8 @@ def job_preprocess(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def trained(spark: SparkSession, sf: str, kind: str, epochs: int, num_top_features: int = NUM_TOP_FEATURES, **options):
-    model, training, validation = preprocess(*split_bow(spark, sf), num_top_features=num_top_features)
+def trained(spark: SparkSession, sf: str, kind: str, epochs: int, label: str = "quality", **options):
+    model, training, validation = preprocess(*split_bow(spark, sf, label), num_top_features=NUM_TOP_FEATURES)
     return classify(training, validation, model.num_features, kind, epochs, **options)
 
 
@@ -473,20 +489,31 @@ def train_average(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def train_deep(spark: SparkSession, sf: str) -> DataFrame:
-    """1,000 features, so that the middle layer is 500 wide."""
-    return trained(spark, sf, "deep", 5, num_top_features=1000).metrics()
+    """All selected features, and a middle layer of half as many."""
+    return trained(spark, sf, "deep", 2).metrics()
+
+
+@query()
+def train_languages(spark: SparkSession, sf: str) -> DataFrame:
+    """Four classes."""
+    return trained(spark, sf, "shallow", 5, label="lang").confusion()
 
 
 @query()
 def predict_softmax(spark: SparkSession, sf: str) -> DataFrame:
-    return trained(spark, sf, "softmax", 10).validation.select("doc_id", "label", "prediction")
+    found = trained(spark, sf, "softmax", 10)
+    parts = [
+        df.select(F.lit(name).alias("split"), "doc_id", "label", "prediction")
+        for name, df in (("training", found.training), ("validation", found.validation))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query()
 def job_classify(spark: SparkSession, sf: str) -> DataFrame:
     """Processed CSV files of both sets, classified from their directory; the report is the confusion table."""
     model, *sets = preprocess(*split_bow(spark, sf))
-    folder = f"{staging_root(spark)}/bowline-job-{uuid.uuid4().hex}"
+    folder = staged_folder(spark, "job")
     for name, packed in zip((TRAINING, VALIDATION), sets):
         write_processed(docvectors.to_csv_columns(packed, model.num_features), f"{folder}/{name}")
     return classify_directory(spark, folder, "shallow", 5).confusion()

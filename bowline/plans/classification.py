@@ -16,8 +16,7 @@ from bowline.operators.docvectors import feature_count, from_csv_columns
 from bowline.operators.trainer import Network, TrainedNetwork, fit_network
 from bowline.sources.processed import read_processed
 from bowline.sources.raw import TRAINING, VALIDATION
-from bowline.sources.text import spread_scan
-from bowline.staging import stage
+from bowline.staging import staged_folder
 
 KINDS = ("softmax", "shallow", "deep", "average")
 
@@ -48,6 +47,11 @@ class Classification:
         return parts[0].unionByName(parts[1])
 
 
+def class_count(rows: DataFrame, label: str = "label") -> DataFrame:
+    """``(num_classes)``: how many classes the labelled rows have."""
+    return rows.agg(F.count_distinct(label).alias("num_classes"))
+
+
 def classify(
     training: DataFrame,
     validation: DataFrame,
@@ -58,6 +62,7 @@ def classify(
     hidden: int | None = None,
     sparse: bool = False,
     batch_size: int = 16,
+    workers: int = 8,
     **constants: float,
 ) -> Classification:
     """Train on ``(label, indices, values)``; other columns are carried along to the predictions.
@@ -66,14 +71,15 @@ def classify(
     into dense rows; with ``sparse=True`` the same model, multinomial logistic regression, is fitted by MLlib on
     sparse rows instead, for tables too wide or long to densify.
     ``shallow``: features -> classes -> classes. ``deep``: features -> ``hidden`` (half the features) -> classes ->
-    classes. ``average``: ``shallow``, trained by averaging the partitions' weights.
+    classes. ``average``: ``shallow``, trained by averaging the weights of ``workers`` learners.
     ``constants`` go to ``Network``. Training rows without a label are left out; a validation label unknown to
     training stays as it is and counts as an error.
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {', '.join(KINDS)}")
     training = training.filter(F.col(label).isNotNull())
-    classes = sorted(row[0] for row in training.select(label).distinct().collect())  # one row per class
+    found = training.select(label).distinct()  # one row per class
+    classes = sorted(row[0] for row in found.collect())
     if not classes:
         raise ValueError("there are no labelled training documents")
     sets = {
@@ -86,7 +92,7 @@ def classify(
         middle = (num_features // 2 if hidden is None else hidden,) if kind == "deep" else ()
         network = Network((num_features, *middle, len(classes), len(classes)), **constants)
         sync = "average" if kind == "average" else "gradient"
-        model, scored = run_network(sets, network, epochs, sync, batch_size)
+        model, scored = run_network(sets, network, epochs, sync, batch_size, workers)
     names = F.array(*[F.lit(c) for c in classes])
     predictions = [
         df.withColumn("prediction", F.get(names, F.col("prediction").cast("int"))).drop("class_id") for df in scored
@@ -94,7 +100,26 @@ def classify(
     return Classification(kind, model, classes, *predictions)
 
 
-def stage_vectors(df: DataFrame, num_features: int, classes: list, label: str, name: str) -> DataFrame:
+@dataclass(frozen=True)
+class StagedVectors:
+    """A folder of Parquet files in the layout of ML vectors, read with or without that type."""
+
+    spark: SparkSession
+    path: str
+    schema: StructType
+
+    def as_ml_vectors(self) -> DataFrame:
+        """``features`` as ML vectors."""
+        fields = [StructField(f.name, VectorUDT() if f.name == "features" else f.dataType) for f in self.schema]
+        return self.spark.read.schema(StructType(fields)).parquet(self.path)
+
+    def as_arrays(self) -> DataFrame:
+        """``features`` as the columns ``indices`` and ``values``."""
+        table = self.spark.read.schema(self.schema).parquet(self.path)
+        return table.select("*", "features.indices", "features.values").drop("features")
+
+
+def stage_vectors(df: DataFrame, num_features: int, classes: list, label: str, name: str) -> StagedVectors:
     """Write ``features`` in the layout of an ML vector, so that reading it back is all it takes to get one."""
     class_ids = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, i)])
     vectors = df.withColumns(
@@ -102,23 +127,14 @@ def stage_vectors(df: DataFrame, num_features: int, classes: list, label: str, n
             "class_id": F.element_at(class_ids, F.col(label)),
             "features": vector_struct(F.lit(num_features), F.col("indices"), F.col("values")),
         }
-    )
-    return stage(vectors.drop("indices", "values"), name)
-
-
-def as_ml_vectors(staged: DataFrame) -> DataFrame:
-    """The same files, ``features`` read as ML vectors."""
-    fields = [StructField(f.name, VectorUDT() if f.name == "features" else f.dataType) for f in staged.schema]
-    return staged.sparkSession.read.schema(StructType(fields)).parquet(*staged.inputFiles())
-
-
-def as_arrays(staged: DataFrame) -> DataFrame:
-    """The same files, ``features`` as the columns ``indices`` and ``values``."""
-    return staged.select("*", "features.indices", "features.values").drop("features")
+    ).drop("indices", "values")
+    path = staged_folder(df.sparkSession, name)
+    vectors.write.parquet(path)
+    return StagedVectors(df.sparkSession, path, vectors.schema)
 
 
 def run_softmax(
-    sets: dict[str, DataFrame], num_features: int, num_classes: int, epochs: int, sparse: bool, seed: int
+    sets: dict[str, StagedVectors], num_features: int, num_classes: int, epochs: int, sparse: bool, seed: int
 ) -> tuple[object, list[DataFrame]]:
     columns = {"featuresCol": "features", "labelCol": "class_id", "predictionCol": "prediction"}
     if sparse:
@@ -129,24 +145,16 @@ def run_softmax(
         estimator = MultilayerPerceptronClassifier(
             layers=[num_features, num_classes], maxIter=epochs, seed=seed, **columns
         )
-    training, validation = (as_ml_vectors(df) for df in sets.values())
-    model = estimator.fit(spread_scan(training).select("features", "class_id"))
+    training, validation = (vectors.as_ml_vectors() for vectors in sets.values())
+    model = estimator.fit(training.select("features", "class_id"))
     return model, [model.transform(df).drop("rawPrediction", "probability") for df in (training, validation)]
 
 
 def run_network(
-    sets: dict[str, DataFrame], network: Network, epochs: int, sync: str, batch_size: int
+    sets: dict[str, StagedVectors], network: Network, epochs: int, sync: str, batch_size: int, workers: int
 ) -> tuple[TrainedNetwork, list[DataFrame]]:
-    training, validation = (as_arrays(df) for df in sets.values())
-    columns = training.select("indices", "values", "class_id")
-    spread = spread_scan(columns)
-    # A table too small to give every core a split is spread once; a larger one is read from storage each epoch.
-    rows = spread.persist() if spread is not columns else columns
-    try:
-        model = fit_network(rows, network, epochs, sync, batch_size)
-    finally:
-        if rows is not columns:
-            rows.unpersist()
+    training, validation = (vectors.as_arrays() for vectors in sets.values())
+    model = fit_network(training.select("indices", "values", "class_id"), network, epochs, sync, batch_size, workers)
     return model, [model.predict(df, "prediction") for df in (training, validation)]
 
 

@@ -28,8 +28,6 @@ from bowline.sources.processed import write_processed
 from bowline.sources.raw import TRAINING, VALIDATION, encode_labels, fit_labels, read_raw
 from bowline.staging import TableSize, measure, size_columns, stage
 
-MAX_CLASS_COLUMNS = 64
-
 
 @dataclass(frozen=True)
 class PreprocessModel:
@@ -61,7 +59,7 @@ class PreprocessModel:
             packed = stage(pack_documents(matched, keys, "feature", "idf"), "vectors")
         else:
             matched = lookup_join(
-                rows.filter(seen), self.selected.table, "word", ["feature", "idf"], self.selected.size, "doc_freq"
+                rows.filter(seen), self.selected.table, "word", ["feature", "idf"], self.selected.size
             )
             packed = stage(pack_documents(matched, keys, "feature", "idf"), "vectors")
             packed = packed.unionByName(empty_documents(rows, packed, keys))
@@ -103,13 +101,11 @@ def fit_preprocessing(
 ) -> PreprocessModel:
     """Fit on a bag of words with one row per (document, word); rows without a label are left out.
 
-    ``bow`` is read three times, for the classes, for the words, and for the class totals: pass a written table.
+    ``bow`` is read three times, for the documents, for the words, and for the class totals: pass a written table.
     """
     bow = bow.filter(F.col(label).isNotNull())
-    num_docs, classes = bow.agg(F.count_distinct(doc), F.collect_set(label)).first()  # one entry per class
-    if not classes:
-        raise ValueError("no words are left to select features from")
-    counted = count_by_class(bow.filter("word is not null"), sorted(classes), label)
+    num_docs = bow.select(doc).distinct().count()
+    counted = count_by_class(bow.filter("word is not null"), label)
     statistics = stage(counted.withColumn("keep", is_rare("num_docs", drop_freq, num_docs)), "words")
     sizes = {
         row["keep"]: TableSize(*row[1:])
@@ -127,26 +123,18 @@ def fit_preprocessing(
     return PreprocessModel(WordTable(statistics.select("word", "num_docs", "keep"), every), selected)
 
 
-def count_by_class(rows: DataFrame, classes: list, label: str) -> DataFrame:
+def count_by_class(rows: DataFrame, label: str) -> DataFrame:
     """``(word, num_docs, doc_freq, cells)``: rows, documents, and documents per class, of every word.
 
-    Up to ``MAX_CLASS_COLUMNS`` classes are counted side by side, in one aggregation by word; more of them in two,
-    by (word, class) and then by word. Either way ``cells`` holds at most one entry per class.
+    Counted by (word, class) and then by word; ``cells`` holds at most one entry per class.
     """
-    positive = F.col("word_count") > 0
-    if len(classes) > MAX_CLASS_COLUMNS:
-        by_class = rows.groupBy("word", label).agg(
-            F.count("*").alias("rows"), F.count_if(positive).alias("present")
-        )
-        cell = F.struct(F.col(label).alias("label"), "present")
-        return by_class.groupBy("word").agg(
-            F.sum("rows").alias("num_docs"), F.sum("present").alias("doc_freq"), F.collect_list(cell).alias("cells")
-        )
-    present = [F.count_if(positive & (F.col(label) == c)).alias(f"present_{i}") for i, c in enumerate(classes)]
-    counted = rows.groupBy("word").agg(F.count("*").alias("num_docs"), F.count_if(positive).alias("doc_freq"), *present)
-    cells = [F.struct(F.lit(c).alias("label"), F.col(f"present_{i}").alias("present")) for i, c in enumerate(classes)]
-    observed = F.filter(F.array(*cells), lambda cell: cell["present"] > 0)
-    return counted.select("word", "num_docs", "doc_freq", observed.alias("cells"))
+    by_class = rows.groupBy("word", label).agg(
+        F.count("*").alias("rows"), F.count_if(F.col("word_count") > 0).alias("present")
+    )
+    cell = F.when(F.col("present") > 0, F.struct(F.col(label).alias("label"), "present"))
+    return by_class.groupBy("word").agg(
+        F.sum("rows").alias("num_docs"), F.sum("present").alias("doc_freq"), F.collect_list(cell).alias("cells")
+    )
 
 
 def score_words(words: DataFrame, totals: dict[object, int], min_doc_freq: int) -> DataFrame:
@@ -189,7 +177,7 @@ def preprocess_directory(
     """Raw files under ``input_dir/{Training,Validation}`` to processed files under ``output_dir``.
 
     ``encoding="dense"`` numbers the sorted training classes; ``"base26"`` keeps the letters' code. Validation
-    documents of a class unknown to training have a null label. With several ``formats`` each gets a subfolder.
+    documents of a class unknown to training have the label -1. With several ``formats`` each gets a subfolder.
     """
     if encoding not in ("dense", "base26"):
         raise ValueError("encoding must be 'dense' or 'base26'")

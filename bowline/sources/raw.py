@@ -15,6 +15,9 @@ LABELLED_FILES = "class[A-Z]*/*.res"
 UNLABELLED_FILES = "*.res"
 TRAINING, VALIDATION = "Training", "Validation"
 
+# The label of a class that training does not know; no prediction can be equal to it.
+UNSEEN = -1
+
 
 def read_lines(spark: SparkSession, directory: str, labelled: bool = True) -> DataFrame:
     """``(input_file, fields)``: every line cut at single spaces. Document ids are the files' escaped URIs."""
@@ -69,6 +72,8 @@ def fit_labels(bow: DataFrame, label: str = "label_str") -> DataFrame:
 
 
 def encode_labels(bow: DataFrame, labels: DataFrame) -> DataFrame:
-    """Replace ``label`` by the dense id of ``label_str``; null for a name the table does not hold."""
+    """Replace ``label`` by the dense id of ``label_str``: ``UNSEEN`` for a name the table does not hold, null for none."""
     columns = bow.columns
-    return bow.drop("label").join(labels, "label_str", "left").select(*columns)
+    joined = bow.drop("label").join(labels, "label_str", "left")
+    unseen = F.when(F.col("label_str").isNotNull(), UNSEEN)
+    return joined.withColumn("label", F.coalesce("label", unseen)).select(*columns)

@@ -20,12 +20,19 @@ def ids_unique(table: DataFrame, doc: str) -> bool:
     return table.groupBy(doc).count().filter("count > 1").isEmpty()
 
 
-def spread_scan(table: DataFrame, *keys: str) -> DataFrame:
-    """Redistribute a file scan that has fewer splits than there are cores; leave larger ones alone."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores, *keys)
+def read_labels(spark: SparkSession, directory: str, *columns: str) -> DataFrame:
+    """One row per document from ``labels``; rows that repeat a document must agree, or the query fails."""
+    labels = read_table(spark, directory, "labels", "doc_id", *columns)
+    return one_label(labels)
+
+
+def one_label(labels: DataFrame) -> DataFrame:
+    def same(name: str) -> Column:
+        message = F.concat(F.lit("labels disagree on document "), F.col("doc_id").cast("string"))
+        agreed = F.min(name).eqNullSafe(F.max(name))
+        return F.when(agreed, F.min(name)).otherwise(F.raise_error(message).cast(labels.schema[name].dataType))
+
+    return labels.groupBy("doc_id").agg(*[same(c).alias(c) for c in labels.columns if c != "doc_id"])
 
 
 def bow_from_text(
@@ -68,17 +75,18 @@ def bow_from_text(
 def document_bow(spark: SparkSession, directory: str, *keep: str) -> DataFrame:
     """Bag of words of the whole ``documents`` table."""
     docs = read_table(spark, directory, "documents", "doc_id", *keep, "text")
-    unique = ids_unique(docs, "doc_id")
-    return bow_from_text(spread_scan(docs, *(["doc_id"] if unique else [])), keep=keep, unique=unique)
+    return bow_from_text(docs, keep=keep)
 
 
-def labelled_bow(spark: SparkSession, directory: str, label: str = "quality", how: str = "inner") -> DataFrame:
-    """Bag of words of ``documents`` with the class from a column of ``labels``.
+def labelled_bow(
+    spark: SparkSession, directory: str, label: str = "quality", how: str = "inner", labels: DataFrame | None = None
+) -> DataFrame:
+    """Bag of words of ``documents`` with the class from a column of ``labels``, by default the table of that name.
 
-    Labels are joined to whole documents, before their words are unfolded. ``how="left"`` keeps unlabelled ones.
+    Labels are joined to whole documents, before their words are unfolded: one per document, however often the label
+    table repeats it. ``how="left"`` keeps unlabelled ones.
     """
     docs = read_table(spark, directory, "documents", "doc_id", "text")
-    labels = read_table(spark, directory, "labels", "doc_id", F.col(label).alias("label"))
-    unique = ids_unique(docs, "doc_id") and ids_unique(labels, "doc_id")
-    joined = spread_scan(docs, *(["doc_id"] if unique else [])).join(labels, "doc_id", how)
-    return bow_from_text(joined, keep=["label"], unique=unique)
+    found = read_table(spark, directory, "labels") if labels is None else labels
+    found = one_label(found.select("doc_id", F.col(label).alias("label")))
+    return bow_from_text(docs.join(found, "doc_id", how), keep=["label"], unique=ids_unique(docs, "doc_id"))

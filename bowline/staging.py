@@ -8,7 +8,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 # A table is broadcast only when both of its measured sizes are within these limits.
 BROADCAST_ROWS = 1_000_000
@@ -31,17 +30,21 @@ def staging_root(spark: SparkSession) -> str:
     return _local_root
 
 
-def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
+def staged_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted by ``release_staged``."""
+    path = f"{staging_root(spark)}/bowline-{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the table read back.
 
     Cuts the lineage, so that later passes scan the result and a lost executor costs no recomputation.
-    ``schema`` overrides the one read back (used to read structs as ML vectors).
     """
-    spark = df.sparkSession
-    path = f"{staging_root(spark)}/bowline-{name}-{uuid.uuid4().hex}"
+    path = staged_folder(df.sparkSession, name)
     df.write.parquet(path)
-    _staged.append(path)
-    return spark.read.schema(schema or df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release_staged(spark: SparkSession) -> int:

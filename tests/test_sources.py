@@ -69,7 +69,7 @@ def test_dense_labels(spark, raw):
     assert rows_of(labels) == [("A", 0), ("AB", 1)]
     assert {row["label"] for row in encode_labels(bow, labels).collect()} == {0, 1}
     only_a = fit_labels(bow.filter("label_str = 'A'"))
-    assert {(r["label_str"], r["label"]) for r in encode_labels(bow, only_a).collect()} == {("A", 0), ("AB", None)}
+    assert {(r["label_str"], r["label"]) for r in encode_labels(bow, only_a).collect()} == {("A", 0), ("AB", -1)}
 
 
 def test_letter_codes(spark):

@@ -131,8 +131,10 @@ def test_nesterov_step():
 def test_average_training_on_one_partition_is_local_training(spark):
     rows = documents()
     network = Network((20, 3, 3), seed=1)
-    data = class_rows(spark, rows, 1).sortWithinPartitions("doc_id")
-    model = fit_network(data, network, 2, "average", batch_size=8)
+    data = class_rows(spark, rows, 1)
+    order = data.orderBy(F.xxhash64("indices", "values", "class_id")).select("doc_id").collect()
+    model = fit_network(data, network, 2, "average", batch_size=8, workers=1)
+    rows = [rows[r["doc_id"]] for r in order]
     flat, velocity = network.initial(), np.zeros(network.num_parameters)
     for _ in range(2):
         for at in range(0, len(rows), 8):
@@ -143,8 +145,11 @@ def test_average_training_on_one_partition_is_local_training(spark):
             add_penalty(network, flat, gradient)
             nesterov_step(network, flat, velocity, gradient)
     assert model.flat == pytest.approx(flat, abs=1e-9)
-    spread = fit_network(class_rows(spark, rows, 4), network, 6, "average", batch_size=8)
+    spread, same = (fit_network(class_rows(spark, rows, n), network, 6, "average", batch_size=8, workers=3) for n in (4, 1))
     assert spread.losses[-1] < spread.losses[0]
+    assert spread.flat == pytest.approx(same.flat, abs=1e-9)  # files and cores do not matter, the learners do
+    began = fit_network(data, network, 1, "average", batch_size=8, workers=1, initial=model.flat)
+    assert began.losses[0] < model.losses[0]
 
 
 def test_prediction_equals_the_forward_pass(spark):

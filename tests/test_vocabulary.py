@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bowline.operators import vocabulary
 from bowline.operators.docvectors import document_features, empty_documents, pack_documents, unpack_documents
-from bowline.operators.lookup import lookup_join, number_rows, number_top
+from bowline.operators.lookup import drop_matching, lookup_join, number_rows, number_top, salt_hot
 from bowline.staging import TableSize, measure, stage
 from tests.conftest import rows_of
 
@@ -64,15 +64,12 @@ def test_numbering_nothing(spark):
     assert vocabulary.dictionary_size(table).first()[0] == 0
 
 
-def test_number_top(spark, monkeypatch):
+def test_number_top(spark):
     df = spark.range(100).select("id", (F.col("id") * 37 % 100).alias("score")).repartition(5)
     best = sorted(sorted(range(100), key=lambda i: -(i * 37 % 100))[:10])
-    ranked = df.orderBy(F.col("score").desc())
-    for limit in (1_000_000, 5):
-        monkeypatch.setattr("bowline.operators.lookup.BROADCAST_ROWS", limit)
-        table, size = number_top(ranked, 10, "id", "feature")
-        assert [(r["id"], r["feature"]) for r in table.orderBy("id").collect()] == [(w, i) for i, w in enumerate(best)]
-        assert size.rows == 10
+    table, size = number_top(df, [F.col("score").desc()], 10, "id", "feature")
+    assert [(r["id"], r["feature"]) for r in table.orderBy("id").collect()] == [(w, i) for i, w in enumerate(best)]
+    assert size.rows == 10
 
 
 def skewed(spark):
@@ -94,14 +91,33 @@ def test_lookup_join_is_the_same_broadcast_or_shuffled(spark, monkeypatch, hot_s
     size = measure(table, "word", "num_docs")
     assert size.fits_broadcast
     for known in (None, "keep"):
-        small = lookup_join(df, table, "word", ["num_docs"], size, "num_docs", known)
-        large = lookup_join(df, table, "word", ["num_docs"], TableSize(10**9, 10**10, size.weight), "num_docs", known)
+        small = lookup_join(df, table, "word", ["num_docs"], size, known)
+        large = lookup_join(df, table, "word", ["num_docs"], TableSize(10**9, 10**10, size.weight), known)
         columns = ["doc_id", "label", "word", "word_count", "num_docs"]
         assert rows_of(large.select(columns)) == rows_of(small.select(columns))
         expected = 9000 if known is None else 9000 - table.filter("word = 'w7'").first()["num_docs"]
         assert large.count() == expected
 
 
+@pytest.mark.parametrize("hot_share", [2, 10_000])
+def test_drop_matching_is_the_same_broadcast_or_shuffled(spark, monkeypatch, hot_share):
+    monkeypatch.setattr("bowline.operators.lookup.HOT_SHARE", hot_share)
+    df = skewed(spark)
+    table = stage(spark.createDataFrame([("hot",), ("w7",), ("w8",), ("elsewhere",)], "word string"), "t")
+    small = drop_matching(df, table, "word", TableSize(4, 20))
+    large = drop_matching(df, table, "word", TableSize(10**9, 10**10))
+    assert rows_of(large) == rows_of(small)
+    assert 0 < large.count() < 6003
+
+
+def test_a_key_that_is_hot_in_the_rows_alone_is_salted(spark):
+    df = skewed(spark)
+    left, right = salt_hot(df.filter("word is not null"), spark.createDataFrame([("hot",), ("w1",)], "word string"), "word")
+    assert left.filter("word = 'hot'").select("_salt").distinct().count() > 30
+    assert right.filter("word = 'hot'").count() == 64
+    assert left.filter("word = 'unknown'").select("_salt").distinct().count() == 1
+
+
 @pytest.mark.parametrize("partitions", [1, 4])
 def test_repeated_words_add_up_whatever_the_partitions(spark, partitions):
     df = bow(spark, [("d", 0, "a", 1), ("d", 0, "a", 2), ("d", 0, "b", 5)] * 3, partitions)
