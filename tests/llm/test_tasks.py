@@ -234,7 +234,7 @@ def test_license_scan(spark, odd):
         (1, f"{filler} Released under the MIT-License! {filler}"),
         (2, f"{filler}\n{template}\n{filler}"),
         (3, f"{filler} {broken} {filler}"),
-        (4, " ".join(template.split()[:12]) + filler),
+        (4, " ".join(template.split()[:25]) + " " + filler),
         (5, "GNU general public LICENSE, gnu General Public license. CC-BY"),
         (6, "Licensed under CC BY-NC 4.0. Licensed under the Apache License, Version 2.0."),
         (7, None),
@@ -425,7 +425,7 @@ def test_pipeline_against_plain_python(spark, tmp_path, reference_tokenizer):
         docs = spark.read.parquet(str(tmp_path / f"out{k}"))
         ids = [r[0] for r in docs.select("doc_id").collect()]
         if k < 3:
-            assert sorted(ids) == expected[k]
+            assert sorted(ids) == sorted(expected[k])
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         else:
             assert set(ids) <= set(left)
