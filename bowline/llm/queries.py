@@ -41,6 +41,77 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+GRID_SQL = ", ".join(
+    f"('{signal}', {rank}, CAST({cutoff} AS DOUBLE))"
+    for signal, cutoffs in quality_rules.GRID.items()
+    for rank, cutoff in enumerate(cutoffs)
+)
+RISK_SQL = f"CAST({quality_rules.TOTAL_RISK / len(quality_rules.SIGNALS)!r} AS DOUBLE)"
+
+ORACLE["op1_quality_rules"] = rf"""
+WITH texts AS (SELECT doc_id, lang, coalesce(text, '') AS x FROM documents),
+split AS (
+    SELECT *, list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda v: v <> '') AS words,
+           list_filter(string_split(x, chr(10)), lambda v: regexp_matches(v, '[^\x20\x09-\x0D]')) AS lines
+    FROM texts
+), windows AS (
+    SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM split)
+), twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w) AS times FROM windows) WHERE times > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT i) AS n_repeat_words
+    FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS i FROM twice) GROUP BY doc_id
+), counted AS (
+    SELECT doc_id, lang, CAST(len(words) AS BIGINT) AS n_words,
+           CAST(length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(x, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
+           length(regexp_replace(x, '[^!?]+', '', 'g')) AS n_exclaim,
+           length(regexp_replace(x, '[^A-Z]+', '', 'g')) AS n_upper,
+           length(regexp_replace(x, '[^A-Za-z0-9]+', '', 'g')) AS n_alnum
+    FROM split LEFT JOIN covered USING (doc_id)
+), based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+), signals AS (
+    SELECT doc_id, lang, base_failed, unnest([
+        {{'signal': 'symbol_share', 'v': coalesce(n_symbols / nullif(n_words, 0), 0.0)}},
+        {{'signal': 'exclaim_share', 'v': coalesce(n_exclaim / nullif(n_words, 0), 0.0)}},
+        {{'signal': 'upper_share', 'v': coalesce(n_upper / nullif(n_alnum, 0), 0.0)}},
+        {{'signal': 'dup_line_share', 'v': coalesce(n_dup_lines / nullif(n_lines, 0), 0.0)}},
+        {{'signal': 'repeat_share', 'v': coalesce(n_repeat_words / nullif(n_words, 0), 0.0)}},
+        {{'signal': 'long_words', 'v': coalesce(word_chars / nullif(n_words, 0), 0.0)}}], recursive := true)
+    FROM based
+), verdicts AS (
+    SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id
+), holdout AS (SELECT * FROM signals JOIN verdicts USING (doc_id) WHERE NOT base_failed
+), grid(signal, rank, cutoff) AS (VALUES {GRID_SQL}
+), tried AS (
+    SELECT lang, signal, rank, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND v >= cutoff) AS k,
+           count(*) FILTER (NOT good) AS bad, count(*) FILTER (NOT good AND v >= cutoff) AS caught
+    FROM holdout JOIN grid USING (signal) GROUP BY lang, signal, rank, cutoff
+), valued AS (
+    SELECT *, CASE WHEN k <= n * {RISK_SQL} THEN list_sum(list_transform(range(0, k + 1), lambda i:
+               exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK_SQL}) + (n - i) * ln(1 - {RISK_SQL}))))
+               ELSE 1.0 END AS p
+    FROM tried
+), tested AS (
+    SELECT *, sum(CAST(p > {quality_rules.ERROR} / ({len(quality_rules.SIGNALS)} * (SELECT count(DISTINCT coalesce(lang, '-')) FROM holdout))
+               AS INTEGER)) OVER (PARTITION BY lang, signal ORDER BY rank) AS failures,
+           coalesce(caught / nullif(bad, 0) - k / nullif(n, 0), 0.0) AS gain
+    FROM valued
+), best AS (
+    SELECT lang, signal, cutoff FROM tested WHERE failures = 0 AND n > 0 AND gain > 0
+    QUALIFY row_number() OVER (PARTITION BY lang, signal ORDER BY gain DESC, rank) = 1
+), rejected AS (
+    SELECT DISTINCT doc_id FROM signals s JOIN best b
+    ON s.signal = b.signal AND s.lang IS NOT DISTINCT FROM b.lang AND s.v >= b.cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected WHERE doc_id IS NOT NULL) AS kept
+FROM based
+"""
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents")).select(
