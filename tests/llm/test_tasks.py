@@ -345,6 +345,36 @@ def test_scores_are_probabilities_and_causal():
     assert np.allclose(scorer(x, y)[0, :-1], scorer(later, y)[0, :-1], atol=1e-4)
 
 
+@pytest.mark.parametrize("ids", [50, 50_000])
+def test_count_pairs(ids):
+    rng = np.random.default_rng(ids)
+    first, second = (rng.integers(0, ids, 20_000).astype(np.int32) for _ in range(2))
+    pairs, counts = lm.count_pairs(first, second)
+    got = {divmod(p, lm.PAIR): n for p, n in zip(pairs.tolist(), counts.tolist(), strict=True)}
+    assert got == Counter(zip(first.tolist(), second.tolist(), strict=True))
+    assert not len(lm.count_pairs(first[:0], second[:0])[0])
+
+
+def test_sketches_never_hide_a_link():
+    rng = np.random.default_rng(7)
+    threshold, rows = 90, []
+    base = np.arange(300)
+    sets = [set(rng.permutation(base)[: rng.integers(270, 300)].tolist()) for _ in range(60)]
+    for i, s in enumerate(sets):
+        buckets = jaccard_join.buckets_of(len(s), threshold)
+        sketch = np.zeros(buckets, np.int64)
+        for token in s:
+            sketch[token * 7919 % buckets] += token % 255 + 1
+        rows.append((1, 0, 0, len(s), i, i, (sketch % 256).astype(np.uint8).tobytes()))
+    linked = {(i, k) for i in range(60) for k in range(i) if 100 * len(sets[i] & sets[k]) >= threshold * len(sets[i] | sets[k])}
+    both = [(*r[:3], side, *r[3:]) for side in (0, 1) for r in rows]
+    names = ["entry", "i", "j", "side", "n", "rep", "component", "sketch"]
+    table = pa.table({c: list(v) for c, v in zip(names, zip(*both, strict=True), strict=True)})
+    found = jaccard_join.allowed(table, [0, len(both)], threshold)
+    got = {(b, a) for a, b in zip(found.column("a").to_pylist(), found.column("b").to_pylist(), strict=True)}
+    assert linked and linked <= got
+
+
 def test_windows_score_every_position_once():
     sequences = [np.arange(n, dtype=np.int32) + 10 for n in (0, 1, 23, 24, 100)]
     x, y, owners = lm.windows_of(sequences, 7, -1)
