@@ -224,19 +224,15 @@ def verify(pairs: DataFrame, texts: DataFrame, ngram: int, threshold: int) -> Da
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def candidate_texts(docs: DataFrame, text: str, doc_id: str, pairs: DataFrame) -> DataFrame:
-    """The texts of the documents in ``pairs``, written down."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    ids = stage(ids, "pair-ids")
+def texts_of_sharing(docs: DataFrame, text: str, doc_id: str, shared: DataFrame) -> DataFrame:
+    """The texts of all representatives that share an entry, written down: only these are ever compared."""
+    ids = stage(shared.select(F.col("rep").alias("doc_id")).distinct(), "sharing-ids")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return stage(rows.join(broadcast_if_small(ids, measure(ids, "doc_id")), "doc_id", "left_semi"), "pair-texts")
+    return stage(rows.join(broadcast_if_small(ids, measure(ids, "doc_id")), "doc_id", "left_semi"), "sharing-texts")
 
 
-def sketches(docs: DataFrame, text: str, doc_id: str, placed: DataFrame, ngram: int, threshold: int) -> DataFrame:
-    """(rep, n_texts, sketch) of the documents in ``placed``, written down."""
-    ids = stage(placed.select(F.col("rep").alias("doc_id")).distinct(), "sketch-ids")
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.join(broadcast_if_small(ids, measure(ids, "doc_id")), "doc_id", "left_semi")
+def sketches(texts: DataFrame, ngram: int, threshold: int) -> DataFrame:
+    """(rep, sketch) of ``texts`` (doc_id, text), written down."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(bytewords.not_spaces(), lower=True)
@@ -249,7 +245,7 @@ def sketches(docs: DataFrame, text: str, doc_id: str, placed: DataFrame, ngram:
                 out.append((sums.astype(np.int64) & 255).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["rep", "sketch"])
 
-    drawn = rows.mapInArrow(run, "rep long, sketch binary")
+    drawn = texts.select("doc_id", "text").mapInArrow(run, "rep long, sketch binary")
     # A document of several texts has no one sketch: null lets all its pairs pass.
     grouped = drawn.groupBy("rep").agg(F.when(F.count("*") == 1, F.first("sketch")).alias("sketch"))
     return stage(grouped, "sketches")
@@ -365,7 +361,8 @@ def link(
     )
     near = near.select("p.*").filter("doc_id != other").distinct()
     tested = stage(sides(near, "doc_id", "other"), "pairs-near")
-    found = stage(verify(tested, candidate_texts(docs, text, doc_id, tested), ngram, threshold), "links-near")
+    texts = texts_of_sharing(docs, text, doc_id, shared)
+    found = stage(verify(tested, texts, ngram, threshold), "links-near")
     parts = stage(components(found), "parts-near")
 
     # Entries with members of several components.
@@ -381,9 +378,9 @@ def link(
         F.count("*").alias("kinds"),
     )
     placed = stage(placed.join(major.filter("kinds > 1"), "entry"), "index-placed")
-    drawn = sketches(docs, text, doc_id, placed, ngram, threshold)
+    drawn = sketches(texts, ngram, threshold)
     rest = stage(across(placed, drawn, threshold).join(tested, ["a", "b"], "left_anti"), "pairs-across")
-    more = stage(verify(rest, candidate_texts(docs, text, doc_id, rest), ngram, threshold), "links-across")
+    more = stage(verify(rest, texts, ngram, threshold), "links-across")
 
     # A document with several texts joins the classes of all of them.
     linked = found.unionByName(more).unionByName(
