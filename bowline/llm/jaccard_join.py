@@ -251,6 +251,29 @@ def sketches(texts: DataFrame, ngram: int, threshold: int) -> DataFrame:
     return stage(grouped, "sketches")
 
 
+def plausible(pairs: DataFrame, drawn: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) whose sketches allow a link, as (a, b), written down."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            most = (100 - threshold) * sizes // (100 + threshold)
+            good = []
+            for k, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
+                if x is not None and y is not None:
+                    size = min(len(x), len(y))
+                    u, v = (np.frombuffer(z, np.uint8).reshape(-1, size).sum(0, dtype=np.uint8) for z in (x, y))
+                    if np.count_nonzero(u != v) > most[k]:
+                        continue
+                good.append(k)
+            yield batch.select(["a", "b"]).take(pa.array(good, pa.int32()))
+
+    one = pairs.join(drawn.select(F.col("rep").alias("a"), F.col("sketch").alias("s_a")), "a")
+    two = one.join(drawn.select(F.col("rep").alias("b"), F.col("sketch").alias("s_b")), "b")
+    rows = two.select("a", "b", F.col("n_a").cast("long"), F.col("n_b").cast("long"), "s_a", "s_b")
+    return stage(rows.mapInArrow(run, "a long, b long").distinct(), "pairs-plausible")
+
+
 def buckets_of(n: int, threshold: int) -> int:
     """Buckets of a sketch: a power of two, at least twice the tokens that two linked sets of this size differ in."""
     return 1 << max(5, (2 * (100 - threshold) * 2 * n // (100 + threshold)).bit_length())
@@ -353,8 +376,9 @@ def link(
         df.join(shared.select(F.col("doc_id").alias(a), F.col("rep").alias("r_a"), F.col("n").alias("n_a")), a)
         .join(shared.select(F.col("doc_id").alias(b), F.col("rep").alias("r_b"), F.col("n").alias("n_b")), b)
         .filter((F.col("r_a") != F.col("r_b")) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold))
-        .select(F.least("r_a", "r_b").alias("a"), F.greatest("r_a", "r_b").alias("b"))
-        .distinct()
+        .select(F.least("r_a", "r_b").alias("a"), F.greatest("r_a", "r_b").alias("b"), "n_a", "n_b")
+        .groupBy("a", "b")
+        .agg(F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))  # sizes are only ever added up
     )
     near = members.filter("before IS NOT NULL").select(
         F.explode(F.array(F.struct("doc_id", F.col("before").alias("other")), F.struct("doc_id", F.col("head").alias("other")))).alias("p")
@@ -362,7 +386,8 @@ def link(
     near = near.select("p.*").filter("doc_id != other").distinct()
     tested = stage(sides(near, "doc_id", "other"), "pairs-near")
     texts = texts_of_sharing(docs, text, doc_id, shared)
-    found = stage(verify(tested, texts, ngram, threshold), "links-near")
+    drawn = sketches(texts, ngram, threshold)
+    found = stage(verify(plausible(tested, drawn, threshold), texts, ngram, threshold), "links-near")
     parts = stage(components(found), "parts-near")
 
     # Entries with members of several components.
@@ -378,8 +403,7 @@ def link(
         F.count("*").alias("kinds"),
     )
     placed = stage(placed.join(major.filter("kinds > 1"), "entry"), "index-placed")
-    drawn = sketches(texts, ngram, threshold)
-    rest = stage(across(placed, drawn, threshold).join(tested, ["a", "b"], "left_anti"), "pairs-across")
+    rest = stage(across(placed, drawn, threshold).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs-across")
     more = stage(verify(rest, texts, ngram, threshold), "links-across")
 
     # A document with several texts joins the classes of all of them.
