@@ -7,7 +7,8 @@ at the level where the Clopper-Pearson bound of the false rejection rate falls b
 grid is tested from lenient to strict until the first failure, which costs nothing; over signals and strata the level
 is divided (Bonferroni). Of the certified cutoffs the one that separates best is used. So with probability
 1 - ``error`` no stratum loses more than ``total_risk`` of its good documents to all the rules together, each signal
-having an equal part of that share. A stratum with too few labels certifies nothing and loses nothing.
+having an equal part of that share. That takes some 1,850 good labels in each of four strata; ``combined_cutoffs`` tests
+all signals as one rule at the whole share, for which some 220 are enough. A stratum with too few labels certifies nothing and loses nothing.
 
 The base rules (too short, too repetitive) come first and are not up for learning: they are neither tested nor part
 of the bound, and documents they drop are not counted in the holdout.
@@ -15,6 +16,8 @@ of the bound, and documents they drop are not counted in the holdout.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,30 +131,55 @@ def certified_cutoffs(holdout: DataFrame, total_risk: float = TOTAL_RISK, error:
         for s in SIGNALS
         for rank, c in enumerate(GRID[s])
     ]
-    counted = (
-        holdout.select("stratum", "good", F.inline(F.array(*pairs)))
-        .groupBy("stratum", "signal", "rank", "cutoff")
-        .agg(
-            F.count_if("good").alias("n"),
-            F.count_if(F.col("good") & F.col("hit")).alias("k"),
-            F.count_if(~F.col("good")).alias("bad"),
-            F.count_if(~F.col("good") & F.col("hit")).alias("caught"),
+    tried = holdout.select("stratum", "good", F.inline(F.array(*pairs)))
+    level = error / max(1, strata(holdout) * len(SIGNALS))
+    return best_certified(tried, ("stratum", "signal"), risk, level).select("stratum", "signal", "cutoff")
+
+
+def combined_cutoffs(holdout: DataFrame, total_risk: float = TOTAL_RISK, error: float = ERROR) -> DataFrame:
+    """The same table from one sequence of combined rules: all signals at their first cutoff, at their second, ...
+
+    A document is hit if any signal hits it, so the rules are nested and each is tested at the whole risk; the level is
+    divided by the strata alone. A signal whose grid is at its end stays at its strictest cutoff.
+    """
+    at = lambda s, rank: GRID[s][min(rank, len(GRID[s]) - 1)]
+    steps = [
+        F.struct(
+            F.lit(rank).alias("rank"),
+            F.array(*[F.struct(F.lit(s).alias("signal"), F.lit(at(s, rank)).alias("cutoff")) for s in SIGNALS]).alias("cutoff"),
+            reduce(Column.__or__, [F.col(s) >= at(s, rank) for s in SIGNALS]).alias("hit"),
         )
+        for rank in range(max(map(len, GRID.values())))
+    ]
+    tried = holdout.select("stratum", "good", F.inline(F.array(*steps)))
+    level = error / max(1, strata(holdout))
+    return best_certified(tried, ("stratum",), total_risk, level).select("stratum", F.inline("cutoff"))
+
+
+def strata(holdout: DataFrame) -> int:
+    """How many strata there are; null is one."""
+    return holdout.agg(F.count_distinct("stratum") + F.max(F.col("stratum").isNull().cast("int"))).first()[0] or 0
+
+
+def best_certified(tried: DataFrame, family: tuple[str, ...], risk: float, level: float) -> DataFrame:
+    """Of each family of ``tried`` (family, rank, cutoff, good, hit), the certified cutoff that separates best, if any."""
+    counted = tried.groupBy(*family, "rank", "cutoff").agg(
+        F.count_if("good").alias("n"),
+        F.count_if(F.col("good") & F.col("hit")).alias("k"),
+        F.count_if(~F.col("good")).alias("bad"),
+        F.count_if(~F.col("good") & F.col("hit")).alias("caught"),
     )
-    families = holdout.agg(F.count_distinct("stratum") + F.max(F.col("stratum").isNull().cast("int"))).first()[0]
-    level = error / max(1, (families or 0) * len(SIGNALS))
     p_value = F.when(F.col("k") <= F.col("n") * risk, binomial_tail(F.col("n"), F.col("k"), risk)).otherwise(1.0)
-    lenient_first = Window.partitionBy("stratum", "signal").orderBy("rank")
+    lenient_first = Window.partitionBy(*family).orderBy("rank")
     tested = counted.withColumn("failures", F.sum((p_value > level).cast("int")).over(lenient_first))
     gain = F.try_divide(F.col("caught"), F.col("bad")) - F.col("k") / F.col("n")
-    best_first = Window.partitionBy("stratum", "signal").orderBy(F.desc("gain"), "rank")
+    best_first = Window.partitionBy(*family).orderBy(F.desc("gain"), "rank")
     return (
         tested.filter("failures = 0 AND n > 0")
         .withColumn("gain", F.coalesce(gain, F.lit(0.0)))
         .filter("gain > 0")
         .withColumn("place", F.row_number().over(best_first))
         .filter("place = 1")
-        .select("stratum", "signal", "cutoff")
     )
 
 
@@ -164,13 +192,14 @@ def judge(
     keep: tuple[str, ...] = ("doc_id",),
     total_risk: float = TOTAL_RISK,
     error: float = ERROR,
+    combined: bool = False,
 ) -> DataFrame:
     """The columns ``keep`` of every row with the counts, ``base_failed``, ``rejected_by`` (signals) and ``kept``.
 
     ``labels`` has doc_id and quality (1: good). An identifier with several labels is good only if all say so;
     labels that are null or without a document do not count. Null strata form a stratum. Documents of a stratum
     without labels meet the base rules only. An empty or null text fails the base rules. Repeated rows are judged
-    alike. Empty tables of either kind do no harm. A column of the result whose name is taken gets underscores.
+    alike. ``combined`` learns by ``combined_cutoffs``. Empty tables of either kind do no harm. A column of the result whose name is taken gets underscores.
     """
     counts = base_counts(text)
     added = (*COUNTS, "base_failed", "rejected_by", "kept")
@@ -183,7 +212,8 @@ def judge(
     verdicts = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
     verdicts = verdicts.agg((F.min("quality") == 1).alias("good"))
     holdout = scored.filter("NOT base_failed").select("id", "stratum", *SIGNALS).join(verdicts, "id")
-    cutoffs = stage(certified_cutoffs(holdout, total_risk, error), "quality-cutoffs")
+    learn = combined_cutoffs if combined else certified_cutoffs
+    cutoffs = stage(learn(holdout, total_risk, error), "quality-cutoffs")
     by_stratum = cutoffs.groupBy("stratum").agg(
         *[F.min(F.when(F.col("signal") == s, F.col("cutoff"))).alias(f"cut_{s}") for s in SIGNALS]
     )
@@ -199,10 +229,10 @@ def judge(
     )
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, combined: bool = True, **options) -> DataFrame:
     """The rows of ``docs`` that all rules keep, with their columns. See ``judge``."""
     columns = docs.columns
     inside = [f"input_{i}" for i in range(len(columns))]  # clear of the names that ``judge`` adds
     found = {k: inside[columns.index(options.pop(k, d))] for k, d in (("text", "text"), ("doc_id", "doc_id"), ("stratum", "lang"))}
-    judged = judge(docs.toDF(*inside), labels, keep=tuple(inside), **found, **options)
+    judged = judge(docs.toDF(*inside), labels, keep=tuple(inside), combined=combined, **found, **options)
     return judged.filter("kept").select(*inside).toDF(*columns)

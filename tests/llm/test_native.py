@@ -293,6 +293,30 @@ def test_a_risky_cutoff_is_not_certified(spark):
     assert (cut["signal"], cut["cutoff"]) == ("symbol_share", 0.4)
 
 
+def test_small_strata_are_certified_by_combined_rules(spark):
+    clean = " ".join(f"word{i}" for i in range(60))
+    junk = " ".join(f"word{i}" + "#" * (i % 5 == 0) for i in range(60))  # 0.2 symbols a word
+    langs = ("de", "es", "fr", None)
+    rows = [(1000 * k + i, junk if i >= 300 else clean, lang) for k, lang in enumerate(langs) for i in range(340)]
+    rows += [(9000 + i, junk if i >= 100 else clean, "it") for i in range(140)]  # not even for the whole risk
+    labels = [(i, int(i % 1000 < 300)) for i, _, lang in rows if lang != "it" and i % 1000 < 320]
+    labels += [(i, int(i % 1000 < 100)) for i, _, lang in rows if lang == "it"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
+    left = {r["doc_id"] for r in quality_rules.quality_rules(df, labels).collect()}
+    assert left == {i for i, text, lang in rows if text == clean or lang == "it"}
+
+
+def test_combined_rules_keep_the_bound(spark):
+    # 2 per cent of good documents have symbols: as much as the whole risk.
+    rows = [(i, "en", True, 0.35 if i % 50 == 0 else 0.0) for i in range(3000)]
+    rows += [(i, "en", False, 0.5 if i % 2 else 0.3) for i in range(300)]
+    others = {s: F.lit(0.0) for s in quality_rules.SIGNALS if s != "symbol_share"}
+    holdout = spark.createDataFrame(rows, "id long, stratum string, good boolean, symbol_share double").withColumns(others)
+    cuts = {r["signal"]: r["cutoff"] for r in quality_rules.combined_cutoffs(holdout).collect()}
+    assert cuts == {s: grid[3] for s, grid in quality_rules.GRID.items()}
+
+
 # Line dedup.
 
 
