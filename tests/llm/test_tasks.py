@@ -409,6 +409,21 @@ def test_lm_scores(spark, odd):
     assert lm.score_documents(odd.limit(0)).count() == 0
 
 
+def gathered_windows(df):
+    file = df.sparkSession.sparkContext.broadcast(bpe.vocabulary())
+    rows = df.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "text")
+    return lm.gather(rows, file, 5).filter("kind = 2").collect()
+
+
+def test_copies_of_a_window_spread_over_the_learners(spark):
+    text = " ".join(f"word{i}" for i in range(600))
+    rows = [(i if i % 2 else None, text) for i in range(300)]
+    found = gathered_windows(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    learners = Counter(r["key"] % 8 for r in found)
+    assert len(learners) == 8 and max(learners.values()) < 1.5 * len(found) / 8
+    assert len({r["key"] for r in found}) == len(found)
+
+
 def test_training_beats_the_prior():
     rng = np.random.default_rng(3)
     base = rng.integers(10, 30, 12).astype(np.int32)
