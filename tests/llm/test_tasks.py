@@ -424,6 +424,13 @@ def test_copies_of_a_window_spread_over_the_learners(spark):
     assert len({r["key"] for r in found}) == len(found)
 
 
+def test_every_window_trains(spark):
+    text = " ".join(f"word{i}" for i in range(100))
+    found = gathered_windows(spark.createDataFrame([(i, text) for i in range(20)] + [(99, None)], "doc_id long, text string"))
+    ids = bpe.codec_of(bpe.vocabulary()).encode([text])[0]
+    assert len(found) == 20 * -(-(len(ids) + 1) // lm.STEP) + 1
+
+
 def test_training_beats_the_prior():
     rng = np.random.default_rng(3)
     base = rng.integers(10, 30, 12).astype(np.int32)
