@@ -409,6 +409,10 @@ def test_lm_scores(spark, odd):
     assert lm.score_documents(odd.limit(0)).count() == 0
 
 
+def test_the_model_is_not_cut_for_speed():
+    assert (lm.WIDTH, lm.HIDDEN, lm.Training().batch) == (32, 64, 16)
+
+
 def gathered_windows(df):
     file = df.sparkSession.sparkContext.broadcast(bpe.vocabulary())
     rows = df.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "text")
