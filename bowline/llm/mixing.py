@@ -11,6 +11,7 @@ of blocks from the permuted blocks of each source, no block twice, and its docum
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,8 +27,6 @@ BLOCKS_PER_SHARD = 64
 SEED = 7
 # Documents of a bucket of the random order, for a source of one such bucket; the number grows with the root of the source.
 BUCKET = 64
-# Times the rest of a target is filled up with documents that still fit.
-FILLS = 4
 
 
 def ratio(*parts: Column | int | str) -> Column:
@@ -83,31 +82,48 @@ def draw_documents(sizes: DataFrame, targets: DataFrame, seed: int) -> DataFrame
     placed = docs.join(offsets.withColumnsRenamed({"nth": "nth_", "bucket": "bucket_"}), (F.col("nth") == F.col("nth_")) & (F.col("bucket") == F.col("bucket_"))).drop("nth_", "bucket_")
     in_bucket = Window.partitionBy("nth", "bucket").orderBy("draw", "doc_id", "row")
     placed = placed.withColumn("start", F.col("offset") + F.sum("size").over(in_bucket) - F.col("size"))
-    # The rest of the target: buckets below it whole; in the bucket that it ends in, documents in order while they
-    # fit, then, again and again, those of the others that still fit.
-    room = F.col("rest") - F.col("offset")
-    chosen = placed.withColumns({"room": room, "extra": ((room >= F.col("bucket_size")) & (F.col("bucket_size") > 0)).cast("int")})
-    for _ in range(FILLS):
-        fits = (F.col("extra") == 0) & (F.col("size") > 0) & (F.col("size") <= F.col("room"))
-        fits &= F.col("room") < F.col("bucket_size")
-        chosen = chosen.withColumn("fit", F.when(fits, F.col("size")).otherwise(0))
-        chosen = chosen.withColumn("sum", F.sum("fit").over(in_bucket))
-        chosen = chosen.withColumn("take", F.when(fits & (F.col("sum") <= F.col("room")), F.col("size")))
-        whole = Window.partitionBy("nth", "bucket")
-        chosen = chosen.withColumns(
-            {
-                "extra": F.when(F.col("take").isNotNull(), 1).otherwise(F.col("extra")),
-                "room": F.when(F.col("room") >= F.col("bucket_size"), F.col("room")).otherwise(
-                    F.col("room") - F.coalesce(F.sum("take").over(whole), F.lit(0))
-                ),
-            }
-        )
+    placed = stage(placed, "mix-placed")
+    chosen = placed.join(fill_targets(placed).withColumnRenamed("row", "row_"), F.col("row") == F.col("row_"), "left")
     return chosen.select(
         "row", "doc_id", "source", "size", "nth", "source_size", "target", "start", "draw",
-        (F.col("full") + F.col("extra")).cast("int").alias("laps"),
+        (F.col("full") + F.col("row_").isNotNull().cast("int")).cast("int").alias("laps"),
     )
 
 
+def fill_targets(placed: DataFrame) -> DataFrame:
+    """(row) of the documents that fill the rest of their source's target.
+
+    A round takes, of the documents that fit the room left, whole buckets and, in the bucket that the room ends in,
+    documents in order. What still fits then, in any bucket, is the next round's, until no document fits; the room is
+    below the size of a document that was passed over, so rounds are few.
+    """
+    fitting = "size > 0 AND size <= room"
+    left = placed.select("row", "doc_id", "nth", "bucket", "draw", "size", F.col("rest").alias("room")).filter(fitting)
+    by_bucket = Window.partitionBy("nth").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    in_bucket = Window.partitionBy("nth", "bucket").orderBy("draw", "doc_id", "row")
+    same = lambda *keys: reduce(Column.__and__, [F.col(k) == F.col(f"{k}_") for k in keys])
+    picked = []
+    while True:
+        sums = left.groupBy("nth", "bucket").agg(F.sum("size").alias("bucket_size"))
+        sums = sums.withColumn("offset", F.coalesce(F.sum("bucket_size").over(by_bucket), F.lit(0)))
+        sums = stage(sums.withColumnsRenamed({"nth": "nth_", "bucket": "bucket_"}), "mix-buckets")
+        # One row per bucket, and per source.
+        sums = broadcast_if_small(sums, measure(sums, "nth_"))
+        tried = left.join(sums, same("nth", "bucket")).drop("nth_", "bucket_")
+        whole = F.col("offset") + F.col("bucket_size") <= F.col("room")
+        ends = tried.filter(~whole & (F.col("offset") < F.col("room")))
+        ends = ends.withColumn("end", F.col("offset") + F.sum("size").over(in_bucket)).filter("end <= room")
+        taken = stage(tried.filter(whole).select("row", "nth", "size").union(ends.select("row", "nth", "size")), "mix-taken")
+        picked.append(taken.select("row"))
+        used = taken.groupBy(F.col("nth").alias("nth_")).agg(F.sum("size").alias("used"))
+        used = broadcast_if_small(used, measure(used, "nth_"))
+        rest = left.join(used, same("nth"), "left").withColumn("room", F.col("room") - F.coalesce("used", F.lit(0)))
+        rest = rest.drop("nth_", "used").filter(fitting)
+        left = stage(rest.join(taken.select("row"), "row", "left_anti").select(*left.columns), "mix-left")
+        if left.isEmpty():
+            return reduce(DataFrame.union, picked)
+
+
 def hypergeometric(population: Column, marked: Column, drawn: Column, u: Column) -> Column:
     """The number of marked items among ``drawn`` of a population, by inverting the distribution at ``u``."""
     low = F.greatest(F.lit(0), drawn + marked - population).cast("long")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -184,6 +185,19 @@ def test_mixing_targets_and_takes(spark):
     assert key(plan) == key(again)
 
 
+def test_mixing_fills_targets_past_a_very_long_document(spark):
+    rng = random.Random(4)
+    rows = [(i, str(i), "a", rng.randint(300, 470)) for i in range(10_000)] + [(10_000, "long", "a", 1_000_000)]
+    df = spark.createDataFrame(rows, "row long, doc_id string, source string, size long")
+    targets = mixing.source_targets(df)
+    (before,) = mixing.draw_documents(df, targets, mixing.SEED).filter("doc_id = 'long'").select("start").first()
+    target = before + 500_000  # inside the long document
+    assert target < 4_000_000
+    drawn = mixing.draw_documents(df, targets.withColumn("target", F.lit(float(target))), mixing.SEED)
+    taken = drawn.agg(F.sum(F.col("size") * F.col("laps"))).first()[0]
+    assert target - 470 < taken <= target
+
+
 def test_mixing_rows(odd, empty):
     named = odd.withColumns({"row": F.lit("r"), "size": F.lit("s"), "mix_shard": F.lit("m"), "nth": F.lit(0)})
     out = mixing.mix_sources(named)
