@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bowline.llm import (
     bpe,
     exact_dedup,
+    hard_negatives,
     jaccard_join,
     license_scan,
     line_dedup,
@@ -17,8 +18,11 @@ from bowline.llm import (
     mixing,
     quality_classifier,
     quality_rules,
+    rank_bpe,
     sharding,
+    whitening,
 )
+from bowline.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -237,3 +241,66 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by the attention model and by the unigram base."""
     scored = lm.score_documents(table(spark, sf_dir, "documents"))
     return scored.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+@query
+def op11_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids by merge ranks and, decoded from them, bytes of all documents, as digests."""
+    coded = rank_bpe.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), packed=True)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings on their first 8 components, of unit variance each."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    moved = stage(whitening.transform(vectors, model), "whitened")
+    error = whitening.identity_error(moved, len(model.values))
+    share = F.array(*[F.lit(x) for x in model.explained]).cast("array<double>")
+    return moved.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        F.get(share, F.col("at")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding, by its positives."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, anchors=F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op13_hard_negatives"] = r"""
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(CAST(c AS DOUBLE)))) = len(embedding)
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+           CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+    FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 5
+"""
