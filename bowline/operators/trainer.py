@@ -4,15 +4,17 @@ Spark partitions the documents; a task only ever holds one Arrow batch and one g
 broadcast, each partition adds up its part, and the parts are summed block by block in a shuffle, so that neither a
 task nor the driver holds more than one partition's worth next to the result. The driver keeps the weights.
 
-``sync="gradient"``: one full-batch step per epoch, the same for any partitioning up to rounding.
-``sync="average"``: every partition takes mini-batch steps of its own; their weights and velocities are averaged in
-proportion to their documents. The result depends on the partitioning, by design.
+``sync="gradient"``: one full-batch step per epoch, the same for any partitioning up to rounding. A task sends out the
+numbers of its gradient that are not zero, so of the first layer the rows of the words that its documents have; they are
+added up in two levels, first for groups of tasks, then for all.
+``sync="average"``: learners take mini-batch steps of their own; their weights and velocities are averaged in proportion
+to their documents, once per epoch or after every few batches. A hash of each document says whose it is.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 16_384  # parameters per block of the distributed sum
+FAN_IN = 32  # tasks whose gradients are added up in one task of the first level
 CELLS = 1 << 22  # numbers in a temporary array of one gradient step
 # Weights go to every task and their gradient comes back through the driver as doubles: 512 MiB, half of Spark's
 # default spark.driver.maxResultSize. Averaging brings back twice as much.
@@ -36,7 +39,8 @@ class Network:
     """Layer widths from input to classes, and the constants of training.
 
     Hidden layers use a leaky rectifier, the last one softmax with negative log-likelihood. ``learning_rate`` and
-    ``l2`` are fixed values of the job; ``leak`` and ``momentum`` are the customary defaults.
+    ``l2`` are fixed values of the job; ``leak`` and ``momentum`` are the customary defaults. ``start``: ``normal``
+    weights by seed, or ``separable`` ones by a formula (``separable_weights``), which others can repeat.
     """
 
     layers: tuple[int, ...]
@@ -45,8 +49,11 @@ class Network:
     momentum: float = 0.9
     l2: float = 1e-4
     seed: int = 0
+    start: str = "normal"
 
     def __post_init__(self) -> None:
+        if self.start not in ("normal", "separable"):
+            raise ValueError("start must be 'normal' or 'separable'")
         if self.num_parameters > MAX_PARAMETERS:
             raise ValueError(f"{self.num_parameters} parameters exceed {MAX_PARAMETERS}; use narrower layers")
 
@@ -67,14 +74,27 @@ class Network:
         return parts
 
     def initial(self) -> np.ndarray:
-        """Normal weights of variance 2 / (inputs + outputs), zero biases."""
+        """Normal or separable weights of variance 2 / (inputs + outputs), zero biases."""
         rng = np.random.default_rng(self.seed)
         flat = np.zeros(self.num_parameters)
         for weights, _ in self.unpack(flat):
-            weights[:] = rng.normal(0.0, np.sqrt(2.0 / sum(weights.shape)), weights.shape)
+            if self.start == "separable":
+                weights[:] = separable_weights(*weights.shape)
+            else:
+                weights[:] = rng.normal(0.0, np.sqrt(2.0 / sum(weights.shape)), weights.shape)
         return flat
 
 
+def separable_weights(inputs: int, outputs: int) -> np.ndarray:
+    """3 sqrt(2 / (inputs + outputs)) u(i) v(j), where u and v step evenly through 16 values between -1 and 1.
+
+    A layer's output is then one sum over a document's words times v(j), so SQL can repeat training. Hidden units whose
+    numbers differ by 16 stay equal for ever: a start to check results with, not the one to learn best from.
+    """
+    steps = lambda n, factor, first: ((np.arange(n) * factor + first) % 16 + 0.5) / 8.0 - 1.0
+    return 3.0 * np.sqrt(2.0 / (inputs + outputs)) * np.outer(steps(inputs, 7, 3), steps(outputs, 5, 1))
+
+
 @dataclass(frozen=True)
 class Rows:
     """A slice of documents: entries of all rows end to end, and the number of entries of each row."""
@@ -180,55 +200,70 @@ def nesterov_step(network: Network, flat: np.ndarray, velocity: np.ndarray, grad
     flat += (1.0 + network.momentum) * velocity - network.momentum * before
 
 
-PART_SCHEMA = "block int, numbers binary, loss double, docs bigint"
+PART_SCHEMA = "block int, places binary, numbers binary, loss double, docs bigint"
+
+
+def part_row(block: int, places: np.ndarray | None, numbers: np.ndarray, loss: float, docs: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {
+            "block": pa.array([block], pa.int32()),
+            "places": pa.array([None if places is None else places.astype(np.int32).tobytes()], pa.binary()),
+            "numbers": pa.array([numbers.tobytes()], pa.binary()),
+            "loss": pa.array([loss], pa.float64()),
+            "docs": pa.array([docs], pa.int64()),
+        }
+    )
 
 
 def emit_blocks(numbers: np.ndarray, loss: float, docs: int) -> Iterator[pa.RecordBatch]:
-    """The vector cut into blocks, one row each; block 0 carries the loss and the document count."""
+    """The vector cut into blocks, one row each; block 0 carries the loss and the document count.
+
+    A block that is mostly zero is sent as the places and values of its other numbers, one of zeros not at all.
+    """
     for block, at in enumerate(range(0, len(numbers), BLOCK)):
-        yield pa.RecordBatch.from_pydict(
-            {
-                "block": pa.array([block], pa.int32()),
-                "numbers": pa.array([numbers[at : at + BLOCK].tobytes()], pa.binary()),
-                "loss": pa.array([loss if block == 0 else 0.0], pa.float64()),
-                "docs": pa.array([docs if block == 0 else 0], pa.int64()),
-            }
-        )
+        part = numbers[at : at + BLOCK]
+        filled = np.flatnonzero(part)
+        counts = (loss, docs) if block == 0 else (0.0, 0)
+        if 3 * len(filled) < 2 * len(part):  # a place and a number take 12 bytes, a number alone 8
+            if len(filled) or block == 0:
+                yield part_row(block, filled, part[filled], *counts)
+        else:
+            yield part_row(block, None, part, *counts)
 
 
-def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Running sums of the blocks that arrive in one partition."""
-    sums: dict[int, tuple[np.ndarray, float, int]] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            numbers, loss, docs = sums.get(row["block"], (0.0, 0.0, 0))
-            sums[row["block"]] = (
-                numbers + np.frombuffer(row["numbers"]),
-                loss + row["loss"],
-                docs + row["docs"],
-            )
-    for block, (numbers, loss, docs) in sums.items():
-        yield pa.RecordBatch.from_pydict(
-            {
-                "block": pa.array([block], pa.int32()),
-                "numbers": pa.array([numbers.tobytes()], pa.binary()),
-                "loss": pa.array([loss], pa.float64()),
-                "docs": pa.array([docs], pa.int64()),
-            }
-        )
+def adder(size: int):
+    """Adds up the blocks of a vector of ``size`` numbers that arrive in one partition."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, list] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                block = row["block"]
+                if block not in sums:
+                    sums[block] = [np.zeros(min(BLOCK, size - block * BLOCK)), 0.0, 0]
+                total, numbers = sums[block], np.frombuffer(row["numbers"])
+                if row["places"] is None:
+                    total[0] += numbers
+                else:
+                    total[0][np.frombuffer(row["places"], np.int32)] += numbers
+                total[1] += row["loss"]
+                total[2] += row["docs"]
+        for block, (numbers, loss, docs) in sums.items():
+            yield part_row(block, None, numbers, loss, docs)
+
+    return add_up
 
 
-def gather(parts: DataFrame) -> tuple[np.ndarray, float, int]:
+def gather(parts: DataFrame, size: int) -> tuple[np.ndarray, float, int]:
     """The sum over all partitions: one vector as long as the weights, the loss, and the document count."""
-    rows = parts.repartition("block").mapInArrow(sum_blocks, PART_SCHEMA).collect()
-    rows.sort(key=lambda r: r["block"])
-    if not rows:
-        raise ValueError("there are no training documents")
-    return (
-        np.concatenate([np.frombuffer(r["numbers"]) for r in rows]),
-        sum(r["loss"] for r in rows),
-        sum(r["docs"] for r in rows),
-    )
+    add_up = adder(size)
+    near = parts.withColumn("group", F.floor(F.spark_partition_id() / FAN_IN))
+    near = near.repartition("block", "group").select("block", "places", "numbers", "loss", "docs")
+    rows = near.mapInArrow(add_up, PART_SCHEMA).repartition("block").mapInArrow(add_up, PART_SCHEMA).collect()
+    flat = np.zeros(size)
+    for r in rows:
+        flat[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["numbers"])
+    return flat, sum(r["loss"] for r in rows), sum(r["docs"] for r in rows)
 
 
 def batch_rows(batch: pa.RecordBatch) -> Rows:
@@ -258,6 +293,67 @@ class TrainedNetwork:
         return data.withColumn(output, best("indices", "values"))
 
 
+def deal(data: DataFrame, workers: int, key: Sequence[str] | None = None, batches: int | None = None) -> DataFrame:
+    """``data`` with one partition per learner, sorted by ``_batch`` and a hash of the document.
+
+    ``key``: the columns that tell documents apart; so equal documents are spread. The learner and the batch, which is
+    0 unless there are several ``batches``, are taken from hexadecimal digits of the MD5 of these columns, joined by
+    commas. Without a key the hash is of the entries and the class.
+    """
+    if key:
+        digest = F.md5(F.concat_ws(",", *[F.col(c).cast("string") for c in key]))
+        number = lambda first: F.conv(F.substring(digest, first, 7), 16, 10).cast("int")
+    else:
+        digest = F.xxhash64("indices", "values", "class_id")
+        number = lambda first: F.pmod(F.shiftright(digest, 4 * (first - 1)), F.lit(1 << 28)).cast("int")
+    batch = F.pmod(number(8), F.lit(batches)) if batches else F.lit(0)
+    dealt = data.withColumns({"_order": digest, "_learner": F.pmod(number(1), F.lit(workers)), "_batch": batch})
+    return dealt.repartitionById(workers, "_learner").sortWithinPartitions("_batch", "_order")
+
+
+def runs(batches: np.ndarray) -> list[tuple[int, int, int]]:
+    """(number, from, to) for every run of equal numbers."""
+    bounds = [0, *(np.flatnonzero(batches[1:] != batches[:-1]) + 1).tolist(), len(batches)]
+    return [(int(batches[a]), a, b) for a, b in zip(bounds, bounds[1:], strict=False) if b > a]
+
+
+def local_training(network: Network, weights: np.ndarray, speed: np.ndarray, batch_size: int | None):
+    """Steps of one learner over its documents: (weights, velocity, loss, documents) afterwards.
+
+    With ``batch_size`` every so many documents are a step, otherwise those of one ``_batch`` number, however many.
+    """
+    width = max(network.layers[1:])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, float, int]:
+        flat, velocity = weights.copy(), speed.copy()
+        loss, docs, open_docs, open_batch = 0.0, 0, 0, None
+        gradient = np.zeros(network.num_parameters)
+
+        def step() -> None:
+            nonlocal gradient, open_docs
+            if open_docs:
+                gradient /= open_docs
+                add_penalty(network, flat, gradient)
+                nesterov_step(network, flat, velocity, gradient)
+                gradient, open_docs = np.zeros(network.num_parameters), 0
+
+        for batch in batches:
+            for number, lo, hi in runs(batch.column("_batch").to_numpy(zero_copy_only=False)):
+                if number != open_batch:
+                    step()
+                    open_batch = number
+                for rows in batch_rows(batch.slice(lo, hi - lo)).slices(width, batch_size):
+                    loss += add_gradient(network, flat, rows, gradient)
+                    open_docs += len(rows.lengths)
+                    docs += len(rows.lengths)
+                    if batch_size:
+                        step()
+        step()
+        return flat, velocity, loss, docs
+
+    return run
+
+
 def fit_network(
     data: DataFrame,
     network: Network,
@@ -266,61 +362,75 @@ def fit_network(
     batch_size: int = 16,
     workers: int = 8,
     initial: np.ndarray | None = None,
+    key: Sequence[str] | None = None,
+    batches: int | None = None,
+    average_every: int | None = None,
 ) -> TrainedNetwork:
     """Train on ``(indices, values, class_id)``, class ids from 0, each row's indices distinct.
 
-    ``data`` is read once per epoch: pass a written table. ``batch_size`` and ``workers`` matter to
-    ``sync="average"`` only: documents go to so many learners by a hash of what is in them, and each learner takes them
-    in the order of that hash, so the model does not depend on files or cores. ``initial``: weights to begin with.
+    ``data`` is read once per epoch: pass a written table. ``initial``: weights to begin with. The other arguments
+    matter to ``sync="average"`` only: documents go to ``workers`` learners by a hash (see ``deal``), and each learner
+    takes them in the order of that hash, so the model does not depend on files or cores. ``batch_size``: documents per
+    step. ``batches`` instead: the steps of a learner per epoch, with documents dealt to them by the hash as well;
+    then ``average_every`` says after how many steps learners are averaged, without it once per epoch.
     """
     if sync not in ("gradient", "average"):
         raise ValueError("sync must be 'gradient' or 'average'")
-    data = data.select("indices", "values", "class_id")
+    if average_every is not None and not batches:
+        raise ValueError("average_every counts steps: give the number of batches too")
     context = data.sparkSession.sparkContext
     flat = network.initial() if initial is None else np.array(initial, float)
     velocity, losses = np.zeros(network.num_parameters), []
     if sync == "average":
-        dealt = data.withColumn("_order", F.xxhash64("indices", "values", "class_id"))
-        dealt = dealt.repartition(workers, F.pmod("_order", F.lit(workers)))
-        data = dealt.sortWithinPartitions("_order").drop("_order")
+        rounds = -(-batches // average_every) if average_every else 1
+        data = deal(data, workers, key, batches)
+    columns = ["indices", "values", "class_id"] + ["_batch"] * (sync == "average")
+    data = data.select(*columns)
     width = max(network.layers[1:])
-    for _ in range(epochs):
-        # Full batches need the weights alone; learners go on with the velocity too.
-        shared = context.broadcast(flat if sync == "gradient" else (flat, velocity))
 
-        def full_batch(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            weights = shared.value
+    def full_batch(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gradient, loss, docs = np.zeros(network.num_parameters), 0.0, 0
             for batch in batches:
                 for rows in batch_rows(batch).slices(width):
-                    loss += add_gradient(network, weights, rows, gradient)
+                    loss += add_gradient(network, shared.value, rows, gradient)
                     docs += len(rows.lengths)
             if docs:
                 yield from emit_blocks(gradient, loss, docs)
 
-        def local_steps(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            weights, speed = (part.copy() for part in shared.value)
-            loss, docs = 0.0, 0
-            for batch in batches:
-                for rows in batch_rows(batch).slices(width, batch_size):
-                    gradient = np.zeros(network.num_parameters)
-                    loss += add_gradient(network, weights, rows, gradient)
-                    gradient /= len(rows.lengths)
-                    add_penalty(network, weights, gradient)
-                    nesterov_step(network, weights, speed, gradient)
-                    docs += len(rows.lengths)
+        return run
+
+    def local_steps(shared):
+        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            train = local_training(network, *shared.value, None if batches else batch_size)
+            weights, speed, loss, docs = train(parts)
             if docs:
                 yield from emit_blocks(np.concatenate([weights, speed]) * docs, loss, docs)
 
-        step = full_batch if sync == "gradient" else local_steps
-        total, loss, docs = gather(data.mapInArrow(step, PART_SCHEMA))
-        shared.destroy()
-        total = total / docs
+        return run
+
+    for _ in range(epochs):
         if sync == "gradient":
-            loss = loss / docs + add_penalty(network, flat, total)
+            shared = context.broadcast(flat)
+            total, loss, docs = gather(data.mapInArrow(full_batch(shared), PART_SCHEMA), len(flat))
+            shared.destroy()
+            if not docs:
+                raise ValueError("there are no training documents")
+            total /= docs
+            losses.append(loss / docs + add_penalty(network, flat, total))
             nesterov_step(network, flat, velocity, total)
-        else:
-            loss = loss / docs
-            flat, velocity = total[: len(flat)].copy(), total[len(flat) :].copy()
-        losses.append(loss)
+            continue
+        epoch_loss, epoch_docs = 0.0, 0
+        for n in range(rounds):
+            part = data if rounds == 1 else data.filter(F.floor(F.col("_batch") / average_every) == n)
+            shared = context.broadcast((flat, velocity))  # learners go on with the velocity too
+            total, loss, docs = gather(part.mapInArrow(local_steps(shared), PART_SCHEMA), 2 * len(flat))
+            shared.destroy()
+            if docs:
+                total /= docs
+                flat, velocity = total[: len(flat)].copy(), total[len(flat) :].copy()
+            epoch_loss, epoch_docs = epoch_loss + loss, epoch_docs + docs
+        if not epoch_docs:
+            raise ValueError("there are no training documents")
+        losses.append(epoch_loss / epoch_docs)
     return TrainedNetwork(network, flat, losses)

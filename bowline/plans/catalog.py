@@ -15,6 +15,7 @@ from bowline.operators.vocabulary import WordTable
 from bowline.plans.classification import class_count as count_classes
 from bowline.plans.classification import classify, classify_directory
 from bowline.plans.preprocessing import fit_preprocessing, preprocess
+from bowline.plans.training_sql import Plan, predictions_ctes, training_ctes
 from bowline.sources.processed import read_processed, write_processed
 from bowline.sources.raw import TRAINING, VALIDATION, encode_labels, fit_labels, parse_lines
 from bowline.sources.text import bow_from_text, document_bow, ids_unique, labelled_bow, read_labels, read_table
@@ -429,16 +430,21 @@ def split_bow(spark: SparkSession, sf: str, label: str = "quality") -> tuple[Dat
     return bow.filter("doc_id % 5 <> 0"), bow.filter("doc_id % 5 = 0")
 
 
-JOB_SQL = f"""
-WITH {labelled_features_sql('quality', '(SELECT * FROM labels WHERE doc_id % 5 <> 0)')},
+def job_tables_sql(labels: str = "labels") -> str:
+    """The job's chosen features, the documents that are ``known``, and their ``hit`` features; classes in ``quality``."""
+    return f"""{labelled_features_sql('quality', f'(SELECT * FROM {labels} WHERE doc_id % 5 <> 0)')},
 numbered AS (
   SELECT c.word, w.idf, row_number() OVER (ORDER BY c.word_index) - 1 AS feature
   FROM chosen c JOIN weights w USING (word_index)),
 every AS (
-  SELECT DISTINCT l.doc_id, l.quality, p.word FROM labels l JOIN (
+  SELECT DISTINCT l.doc_id, l.quality, p.word FROM {labels} l JOIN (
     SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \\n\\t\\r]+')) AS word FROM documents) p USING (doc_id)),
 known AS (SELECT DISTINCT doc_id, quality FROM every JOIN dictionary USING (word)),
-hit AS (SELECT e.doc_id, n.feature, n.idf FROM every e JOIN numbered n USING (word))
+hit AS (SELECT e.doc_id, n.feature, n.idf FROM every e JOIN numbered n USING (word))"""
+
+
+JOB_SQL = f"""
+WITH {job_tables_sql()}
 SELECT CASE WHEN k.doc_id % 5 <> 0 THEN 'training' ELSE 'validation' END AS split, k.doc_id, k.quality AS label,
   CAST((SELECT count(*) FROM numbered) AS INTEGER) AS num_features,
   coalesce(string_agg(CAST(h.feature AS VARCHAR), ',' ORDER BY h.feature), '') AS word_indices_str,
@@ -477,31 +483,102 @@ def train_softmax_sparse(spark: SparkSession, sf: str) -> DataFrame:
     return trained(spark, sf, "softmax", 10, sparse=True).metrics()
 
 
-@query()
+# Training from separable weights, which SQL repeats step by step.
+BY_QUALITY, BY_LANG = "labels", "(SELECT doc_id, lang AS quality FROM documents)"
+SHALLOW, DEEP, AVERAGE = (
+    Plan(epochs=5),
+    Plan(epochs=2, hidden="n_features // 2"),
+    Plan(epochs=3, workers=8, batches=4, average_every=2),
+)
+AVERAGE_OPTIONS = {"workers": AVERAGE.workers, "batches": AVERAGE.batches, "average_every": AVERAGE.average_every}
+
+
+def training_sql(plan: Plan, labels: str, report: str) -> str:
+    """``report`` may read ``predicted`` and, with epoch and loss, ``losses``."""
+    ctes, last, losses = training_ctes(plan)
+    return f"""WITH {job_tables_sql(labels)},
+entries AS MATERIALIZED (SELECT doc_id, CAST(feature AS BIGINT) AS feature, idf AS value FROM hit),
+docs AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN 'training' ELSE 'validation' END AS split, quality AS label FROM known),
+width AS (SELECT count(*) AS n_features FROM numbered),
+{ctes},
+{predictions_ctes(last, 3 if plan.hidden else 2)},
+losses AS ({losses})
+{report}"""
+
+
+CONFUSION_SQL = "SELECT split, label, prediction, count(*) AS num_docs FROM predicted WHERE label IS NOT NULL GROUP BY ALL"
+
+METRICS_SQL = f"""
+, pairs AS ({CONFUSION_SQL}),
+named AS (SELECT split, label AS class FROM pairs UNION SELECT split, prediction FROM pairs),
+sums AS (
+  SELECT n.split, n.class, coalesce(sum(num_docs) FILTER (p.label = n.class), 0) AS support,
+    coalesce(sum(num_docs) FILTER (p.prediction = n.class), 0) AS predicted,
+    coalesce(sum(num_docs) FILTER (p.label = n.class AND p.prediction = n.class), 0) AS correct
+  FROM named n JOIN pairs p USING (split) GROUP BY n.split, n.class),
+ratios AS (
+  SELECT *, CASE WHEN predicted = 0 THEN 0.0 ELSE correct / CAST(predicted AS DOUBLE) END AS p,
+    CASE WHEN support = 0 THEN 0.0 ELSE correct / CAST(support AS DOUBLE) END AS r FROM sums)
+SELECT split, CAST(sum(support) AS BIGINT) AS num_docs, round(sum(correct) / CAST(sum(support) AS DOUBLE), {DIGITS}) AS accuracy,
+  round(sum(p * support) / sum(support), {DIGITS}) AS precision, round(sum(r * support) / sum(support), {DIGITS}) AS recall,
+  round(sum(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END * support) / sum(support), {DIGITS}) AS f1
+FROM ratios GROUP BY split"""
+
+
+def rounded_metrics(found) -> DataFrame:
+    return rounded(found.metrics(), "accuracy", "precision", "recall", "f1")
+
+
+@query(training_sql(SHALLOW, BY_QUALITY, METRICS_SQL))
 def train_shallow(spark: SparkSession, sf: str) -> DataFrame:
-    return trained(spark, sf, "shallow", 5).metrics()
+    return rounded_metrics(trained(spark, sf, "shallow", SHALLOW.epochs, start="separable"))
 
 
-@query()
+@query(training_sql(AVERAGE, BY_QUALITY, METRICS_SQL))
 def train_average(spark: SparkSession, sf: str) -> DataFrame:
-    return trained(spark, sf, "average", 5).metrics()
+    """Eight learners, four batches of each per epoch, averaged after every second one."""
+    return rounded_metrics(trained(spark, sf, "average", AVERAGE.epochs, start="separable", **AVERAGE_OPTIONS))
 
 
-@query()
+@query(training_sql(DEEP, BY_QUALITY, METRICS_SQL))
 def train_deep(spark: SparkSession, sf: str) -> DataFrame:
     """All selected features, and a middle layer of half as many."""
-    return trained(spark, sf, "deep", 2).metrics()
+    return rounded_metrics(trained(spark, sf, "deep", DEEP.epochs, start="separable"))
 
 
-@query()
+@query(training_sql(SHALLOW, BY_LANG, CONFUSION_SQL))
 def train_languages(spark: SparkSession, sf: str) -> DataFrame:
     """Four classes."""
-    return trained(spark, sf, "shallow", 5, label="lang").confusion()
+    return trained(spark, sf, "shallow", SHALLOW.epochs, label="lang", start="separable").confusion()
 
 
-@query()
-def predict_softmax(spark: SparkSession, sf: str) -> DataFrame:
-    found = trained(spark, sf, "softmax", 10)
+LOSSES_SQL = f"SELECT epoch, round(loss, {DIGITS}) AS loss FROM losses"
+PREDICTIONS_SQL = "SELECT split, doc_id, label, prediction FROM predicted"
+
+
+def epoch_losses(spark: SparkSession, found) -> DataFrame:
+    """One row per epoch."""
+    return rounded(spark.createDataFrame(list(enumerate(found.model.losses, 1)), "epoch int, loss double"), "loss")
+
+
+@query(training_sql(AVERAGE, BY_LANG, LOSSES_SQL))
+def losses_average(spark: SparkSession, sf: str) -> DataFrame:
+    found = trained(spark, sf, "average", AVERAGE.epochs, label="lang", start="separable", **AVERAGE_OPTIONS)
+    return epoch_losses(spark, found)
+
+
+@query(training_sql(SHALLOW, BY_LANG, LOSSES_SQL))
+def losses_shallow(spark: SparkSession, sf: str) -> DataFrame:
+    return epoch_losses(spark, trained(spark, sf, "shallow", SHALLOW.epochs, label="lang", start="separable"))
+
+
+@query(training_sql(AVERAGE, BY_LANG, PREDICTIONS_SQL))
+def predict_average(spark: SparkSession, sf: str) -> DataFrame:
+    return predictions(trained(spark, sf, "average", AVERAGE.epochs, label="lang", start="separable", **AVERAGE_OPTIONS))
+
+
+def predictions(found) -> DataFrame:
     parts = [
         df.select(F.lit(name).alias("split"), "doc_id", "label", "prediction")
         for name, df in (("training", found.training), ("validation", found.validation))
@@ -510,13 +587,18 @@ def predict_softmax(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query()
+def predict_softmax(spark: SparkSession, sf: str) -> DataFrame:
+    return predictions(trained(spark, sf, "softmax", 10))
+
+
+@query(training_sql(SHALLOW, BY_QUALITY, CONFUSION_SQL))
 def job_classify(spark: SparkSession, sf: str) -> DataFrame:
     """Processed CSV files of both sets, classified from their directory; the report is the confusion table."""
     model, *sets = preprocess(*split_bow(spark, sf))
     folder = staged_folder(spark, "job")
     for name, packed in zip((TRAINING, VALIDATION), sets):
         write_processed(docvectors.to_csv_columns(packed, model.num_features), f"{folder}/{name}")
-    return classify_directory(spark, folder, "shallow", 5).confusion()
+    return classify_directory(spark, folder, "shallow", SHALLOW.epochs, start="separable").confusion()
 
 
 @query(CSV_SQL.format(columns="doc_id,"))

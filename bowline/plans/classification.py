@@ -47,9 +47,19 @@ class Classification:
         return parts[0].unionByName(parts[1])
 
 
+def class_table(rows: DataFrame, label: str = "label") -> DataFrame:
+    """The distinct classes of the labelled rows, one row each."""
+    return rows.select(F.col(label).alias("class")).filter("class is not null").distinct()
+
+
 def class_count(rows: DataFrame, label: str = "label") -> DataFrame:
     """``(num_classes)``: how many classes the labelled rows have."""
-    return rows.agg(F.count_distinct(label).alias("num_classes"))
+    return class_table(rows, label).agg(F.count("*").alias("num_classes"))
+
+
+def class_list(rows: DataFrame, label: str = "label") -> list:
+    """The classes in order: class i has the id i."""
+    return sorted(row["class"] for row in class_table(rows, label).collect())
 
 
 def classify(
@@ -63,7 +73,9 @@ def classify(
     sparse: bool = False,
     batch_size: int = 16,
     workers: int = 8,
-    **constants: float,
+    batches: int | None = None,
+    average_every: int | None = None,
+    **constants: float | str,
 ) -> Classification:
     """Train on ``(label, indices, values)``; other columns are carried along to the predictions.
 
@@ -71,15 +83,15 @@ def classify(
     into dense rows; with ``sparse=True`` the same model, multinomial logistic regression, is fitted by MLlib on
     sparse rows instead, for tables too wide or long to densify.
     ``shallow``: features -> classes -> classes. ``deep``: features -> ``hidden`` (half the features) -> classes ->
-    classes. ``average``: ``shallow``, trained by averaging the weights of ``workers`` learners.
+    classes. ``average``: ``shallow``, trained by averaging the weights of ``workers`` learners; ``batches`` and
+    ``average_every`` are those of ``fit_network``, and the other columns say which documents are the same.
     ``constants`` go to ``Network``. Training rows without a label are left out; a validation label unknown to
     training stays as it is and counts as an error.
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {', '.join(KINDS)}")
     training = training.filter(F.col(label).isNotNull())
-    found = training.select(label).distinct()  # one row per class
-    classes = sorted(row[0] for row in found.collect())
+    classes = class_list(training, label)
     if not classes:
         raise ValueError("there are no labelled training documents")
     sets = {
@@ -92,7 +104,9 @@ def classify(
         middle = (num_features // 2 if hidden is None else hidden,) if kind == "deep" else ()
         network = Network((num_features, *middle, len(classes), len(classes)), **constants)
         sync = "average" if kind == "average" else "gradient"
-        model, scored = run_network(sets, network, epochs, sync, batch_size, workers)
+        key = [c for c in training.columns if c not in (label, "indices", "values")]
+        options = {"batch_size": batch_size, "workers": workers, "batches": batches, "average_every": average_every}
+        model, scored = run_network(sets, network, epochs, sync, key=key, **options)
     names = F.array(*[F.lit(c) for c in classes])
     predictions = [
         df.withColumn("prediction", F.get(names, F.col("prediction").cast("int"))).drop("class_id") for df in scored
@@ -151,10 +165,11 @@ def run_softmax(
 
 
 def run_network(
-    sets: dict[str, StagedVectors], network: Network, epochs: int, sync: str, batch_size: int, workers: int
+    sets: dict[str, StagedVectors], network: Network, epochs: int, sync: str, key: list[str], **options: int | None
 ) -> tuple[TrainedNetwork, list[DataFrame]]:
     training, validation = (vectors.as_arrays() for vectors in sets.values())
-    model = fit_network(training.select("indices", "values", "class_id"), network, epochs, sync, batch_size, workers)
+    rows = training.select("indices", "values", "class_id", *key)
+    model = fit_network(rows, network, epochs, sync, key=key or None, **options)
     return model, [model.predict(df, "prediction") for df in (training, validation)]
 
 

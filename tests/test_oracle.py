@@ -17,12 +17,7 @@ TYPES = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "s
 WITHOUT_SQL = {
     "train_softmax",
     "train_softmax_sparse",
-    "train_shallow",
-    "train_average",
-    "train_deep",
-    "train_languages",
     "predict_softmax",
-    "job_classify",
 }
 
 

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import hashlib
 import subprocess
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -152,6 +154,91 @@ def test_average_training_on_one_partition_is_local_training(spark):
     assert began.losses[0] < model.losses[0]
 
 
+def test_learners_by_key_batches_and_averaging_rounds(spark):
+    """Three learners, four batches each, averaged after every three: the same as one after another by hand."""
+    rows = documents(docs=90)
+    network = Network((20, 3, 3), seed=1)
+    data = class_rows(spark, rows, 4)
+    options = {"workers": 3, "key": ["doc_id"], "batches": 4}
+    model = fit_network(data, network, 2, "average", average_every=3, **options)
+
+    def dealt(doc):
+        digest = hashlib.md5(str(doc).encode()).hexdigest()
+        return int(digest[:7], 16) % 3, int(digest[7:14], 16) % 4
+
+    flat, velocity, losses = network.initial(), np.zeros(network.num_parameters), []
+    for _ in range(2):
+        epoch = 0.0
+        for group in ((0, 1, 2), (3,)):
+            ends, weights = [], []
+            for learner in range(3):
+                mine, speed, docs = flat.copy(), velocity.copy(), 0
+                for batch in group:
+                    part = [r for r in rows if dealt(r[0]) == (learner, batch)]
+                    if part:
+                        gradient = np.zeros(network.num_parameters)
+                        epoch += add_gradient(network, mine, as_rows(part), gradient)
+                        gradient /= len(part)
+                        add_penalty(network, mine, gradient)
+                        nesterov_step(network, mine, speed, gradient)
+                        docs += len(part)
+                ends.append((mine, speed))
+                weights.append(docs)
+            flat, velocity = (sum(n * e[k] for n, e in zip(weights, ends, strict=True)) / sum(weights) for k in (0, 1))
+        losses.append(epoch / len(rows))
+    assert model.flat == pytest.approx(flat, abs=1e-9)
+    assert model.losses == pytest.approx(losses)
+    once = fit_network(data, network, 2, "average", **options)
+    assert once.flat != pytest.approx(flat, abs=1e-6)  # averaging less often is another model
+    with pytest.raises(ValueError, match="batches too"):
+        fit_network(data, network, 1, "average", average_every=2)
+
+
+def test_learners_get_even_parts_and_copies_are_spread(spark):
+    rows = spark.range(8000).selectExpr("id AS doc_id", "array(1) AS indices", "array(1.0D) AS values", "0 AS class_id")
+    dealt = trainer.deal(rows, 8, ["doc_id"])
+    per_task = dealt.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) < 1.2 * 1000
+    plain = rows.withColumn("indices", F.array(F.col("doc_id").cast("int")))
+    per_task = trainer.deal(plain, 8).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) < 1.2 * 1000
+
+
+def test_gradients_travel_as_their_numbers_that_are_not_zero(spark, monkeypatch):
+    monkeypatch.setattr(trainer, "BLOCK", 50)
+    rng = np.random.default_rng(2)
+    flat = np.zeros(1000)
+    flat[[3, 4, 777]] = rng.standard_normal(3)
+    flat[100:150] = rng.standard_normal(50)
+    sent = pa.Table.from_batches(trainer.emit_blocks(flat, 1.5, 7))
+    assert sent.column("block").to_pylist() == [0, 2, 15]
+    assert sum(map(len, sent.column("numbers").to_pylist())) == 8 * 53
+    got = pa.Table.from_batches(trainer.adder(1000)([*sent.to_batches(), *sent.to_batches()])).to_pylist()
+    total = np.zeros(1000)
+    for row in got:
+        total[row["block"] * 50 : (row["block"] + 1) * 50] = np.frombuffer(row["numbers"])
+    assert np.array_equal(total, 2 * flat) and sum(r["docs"] for r in got) == 14
+
+    # A task that saw few words of a wide input sends little.
+    network = Network((100_000, 3, 3))
+    rows = trainer.Rows(np.array([5, 70_000]), np.ones(2), np.array([2]), np.array([1]))
+    gradient = np.zeros(network.num_parameters)
+    trainer.add_gradient(network, network.initial(), rows, gradient)
+    sent = pa.Table.from_batches(trainer.emit_blocks(gradient, 0.0, 1))
+    assert sum(map(len, sent.column("numbers").to_pylist())) <= 8 * (2 * 3 + 3 + 9 + 3)
+
+
+@pytest.mark.parametrize("outputs", [3, 40])
+def test_separable_weights(outputs):
+    w = trainer.separable_weights(50, outputs)
+    assert np.linalg.matrix_rank(w) == 1 and w.all()
+    assert np.array_equal(w[:, 0], w[:, 16]) if outputs > 16 else len(set(w[0])) == outputs
+    assert np.var(trainer.separable_weights(1600, 1600)) == pytest.approx(2 / 3200, rel=0.05)
+    assert np.array_equal(Network((50, outputs), start="separable").unpack(Network((50, outputs), start="separable").initial())[0][0], w)
+    with pytest.raises(ValueError, match="start"):
+        Network((3, 2), start="other")
+
+
 def test_prediction_equals_the_forward_pass(spark):
     rows = documents()
     network = Network((20, 10, 3, 3), seed=2)
