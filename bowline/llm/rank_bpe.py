@@ -35,7 +35,7 @@ from bowline.llm.common import unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-REMEMBERED = 400_000  # pretokens that a worker keeps the ids of
+REMEMBERED = 600_000  # pretokens that a worker keeps the ids of
 SHORT = 64  # characters of a pretoken that may be kept
 PIECES = 1 << 16  # pretokens that are in memory together
 
@@ -78,7 +78,10 @@ class RankQueue:
 
 
 class Encoder(dict):
-    """Encoder and decoder of one rank file; as a dict, the ids of the pretokens met so far."""
+    """Encoder and decoder of one rank file; as a dict, the ids of the pretokens met lately.
+
+    When half of the memory is full it becomes the older half, and the half that was older is forgotten.
+    """
 
     def __init__(self, file: bytes):
         super().__init__()
@@ -94,6 +97,7 @@ class Encoder(dict):
         self.single = [self.ranks[bytes([b])] for b in range(256)]
         self.pairs = [[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)]
         self.queue = RankQueue(size)
+        self.older: dict[str, tuple[int, ...]] = {}
         self.pattern = regex.compile(PATTERN)
         self.lengths = np.array([len(s) for s in self.spelled], np.int64)
         self.spots = np.concatenate([[0], np.cumsum(self.lengths)])
@@ -116,9 +120,15 @@ class Encoder(dict):
         else:
             after, before = list(after), list(before)
         get, push, pop = ranks.get, queue.push, queue.pop
+        buckets, low = queue.buckets, queue.low
         for at, rank in enumerate(pair):
             if rank >= 0:
-                push(rank, at)
+                bucket = buckets[rank]
+                if not bucket:  # otherwise its bits are set, and positions come in order
+                    word = rank >> 8
+                    low[word] |= 1 << (rank & 255)
+                    queue.top |= 1 << word
+                bucket.append(at)
         while queue.top:
             rank, at = pop()
             if pair[at] != rank:
@@ -139,9 +149,12 @@ class Encoder(dict):
         return tuple([s for s in symbols if s >= 0])
 
     def __missing__(self, pretoken: str) -> tuple[int, ...]:
-        ids = self.merge(pretoken.encode("utf-8", "replace"))
+        ids = self.older.get(pretoken)
+        if ids is None:
+            ids = self.merge(pretoken.encode("utf-8", "replace"))
         if len(pretoken) <= SHORT:
-            if len(self) >= REMEMBERED:
+            if 2 * len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[pretoken] = ids
         return ids
