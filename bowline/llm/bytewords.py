@@ -1,7 +1,8 @@
 """Words of many texts at once, as 64-bit hashes: numpy over the UTF-8 bytes of an Arrow column.
 
 Memory is bounded: texts are taken in slices of about SLICE bytes, and a longer text in pieces cut between words. A
-word's hash is a polynomial over random values of its bytes, mixed with its length at the end.
+word's hash adds up one mixed number for each byte and its place in the word, so that no algebra of a base makes words
+of some shape collide, and is mixed with its length at the end.
 """
 
 from __future__ import annotations
@@ -66,17 +67,11 @@ class WordHasher:
             self.fold[65:91] += 32
         self.word = np.asarray(word_bytes, np.uint8)[self.fold]
         self.value = mix(np.arange(1, 257, dtype=U64) * U64(BASE))[self.fold]
-        self.powers = np.ones(1, U64)
-        self.inverses = np.ones(1, U64)
+        self.places = mix(np.arange(64, dtype=U64) * U64(BASE))
 
     def grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            size = 1 << (n - 1).bit_length()
-            inverse = pow(BASE, -1, 1 << 64)
-            for name, factor in (("powers", BASE), ("inverses", inverse)):
-                table = np.full(size, factor, U64)
-                table[0] = 1
-                setattr(self, name, np.multiply.accumulate(table))
+        if len(self.places) < n:
+            self.places = mix(np.arange(1 << (n - 1).bit_length(), dtype=U64) * U64(BASE))
 
     def piece(self, data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes and starts of the words of ``data``; no word goes over a position in ``breaks``."""
@@ -92,11 +87,14 @@ class WordHasher:
         first[inner] |= inside[inner]
         last[inner - 1] |= inside[inner - 1]
         starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-        self.grow(n + 1)
-        sums = np.zeros(n + 1, U64)
-        np.cumsum(self.value[data] * self.powers[:n], out=sums[1:])
-        hashes = (sums[ends] - sums[starts]) * self.inverses[starts]
-        return mix(hashes ^ (ends - starts).astype(U64)), starts
+        if not len(starts):
+            return np.zeros(0, U64), starts
+        lengths = ends - starts
+        self.grow(int(lengths.max()))
+        firsts = np.cumsum(lengths) - lengths
+        place = np.arange(int(lengths.sum())) - np.repeat(firsts, lengths)
+        letters = mix(self.value[data[inside]] ^ self.places[place])
+        return mix(np.add.reduceat(letters, firsts) ^ lengths.astype(U64)), starts
 
     def long_text(self, data: np.ndarray) -> np.ndarray:
         """Hashes of the words of one text longer than a slice, piece by piece."""

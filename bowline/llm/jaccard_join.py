@@ -14,12 +14,17 @@ its segment subset. If m > H, two linked sets have an equal segment subset, so s
 
 The plan with the lowest expected cost, from the number of sets and their size, is taken. Every plan finds all links.
 
-Equal sets count once. Members of an index entry, in order of size, are paired with the member before them and with
-the first; these pairs are verified on the whole texts, and components are formed. Then, for every entry that still
-has members of several components, those outside its main component are held against all members of other components.
-That is done inside the tasks, in blocks, on sketches: a sketch adds up the tokens of a set in some buckets, so two
-sets differ in at least as many tokens as their sketches in buckets, and only pairs that may still be linked come out
-and are verified. So no entry sends out all its pairs, and no link between components is missed.
+Equal sets count once, and every set has a sketch: the sums of its tokens in some buckets, so that two sets differ in at
+least as many tokens as their sketches in buckets. Sketches find groups of sets that may be linked; nothing is decided
+by them. Members of an index entry, in order of size, are held against the member before them and the first. For every
+entry that then still has members of several groups, those outside its main group are held against all others, inside
+the tasks, in blocks; a block sends out a forest of what its sketches allow, fewer pairs than it has members. So all
+links lie within groups, whatever the entries.
+
+Then each group's whole sets meet, once, and links are verified exactly there: in blocks of a bounded number of tokens,
+each with the group's smallest set next to its own, and, if a group has several blocks, once more between what the
+first step left outside its main component and all others. A block sends out a forest of verified links. No pair
+of candidates leaves a task, and no text meets another in a join.
 """
 
 from __future__ import annotations
@@ -48,6 +53,8 @@ THRESHOLD = 80  # per cent
 SHARED = 0.0001
 PAIR_COST = 20.0  # of verifying a pair, in index rows
 BLOCK = 2000  # members of an entry that are in one task together, twice
+TOKENS = 1 << 21  # tokens of the sets of a group that are in one task together
+MAX_BUCKETS = 4096  # of the sketches that order the work inside a group
 
 
 def sets_of(hasher: WordHasher, column: pa.Array, ngram: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -136,23 +143,23 @@ def signatures(tokens: np.ndarray, level: int, plan: tuple[int, int, int, bool])
     return out
 
 
-def fingerprints(docs: DataFrame, text: str, doc_id: str, ngram: int) -> DataFrame:
-    """(doc_id, n, p1, p2) of every row with an identifier: size and prints of its set."""
+def fingerprints(docs: DataFrame, text: str, doc_id: str, ngram: int, threshold: int) -> DataFrame:
+    """(doc_id, n, p1, p2, sketch) of every row: size, prints and sketch of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(bytewords.not_spaces(), lower=True)
         for batch in batches:
             n, prints = np.zeros(batch.num_rows, np.int64), np.zeros((batch.num_rows, 2), np.int64)
+            drawn = [b""] * batch.num_rows
             for i, tokens in sets_of(hasher, batch.column(1), ngram):
                 n[i] = len(tokens)
                 prints[i] = print_of(tokens)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy())],
-                names=["doc_id", "n", "p1", "p2"],
-            )
+                drawn[i] = sketch_of(tokens, buckets_of(len(tokens), threshold)).tobytes()
+            columns = [pa.array(n), pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy()), pa.array(drawn, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "p1", "p2", "sketch"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, p1 long, p2 long")
+    return rows.mapInArrow(run, "doc_id long, n long, p1 long, p2 long, sketch binary")
 
 
 def index_entries(docs: DataFrame, text: str, doc_id: str, ngram: int, plans: dict, lows: list[int]) -> DataFrame:
@@ -199,55 +206,109 @@ def index_entries(docs: DataFrame, text: str, doc_id: str, ngram: int, plans: di
     return rows.filter("doc_id IS NOT NULL").mapInArrow(run, "entry long, n int, doc_id long")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, ngram: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, computed from the whole texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(bytewords.not_spaces(), lower=True)
-        last: tuple = (None, None)  # pairs come sorted by a: its set is made once
-        for batch in batches:
-            good = []
-            for k in range(batch.num_rows):
-                first = batch.column(2).slice(k, 1)
-                if last[0] is None or not last[0].equals(first):
-                    last = (first, next(sets_of(hasher, first, ngram))[1])
-                x = last[1]
-                _, y = next(sets_of(hasher, batch.column(3).slice(k, 1), ngram))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * common >= threshold * (len(x) + len(y) - common):
-                    good.append(k)
-            yield batch.select(["a", "b"]).take(pa.array(good, pa.int32()))
+def sketch_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    """Sums of the tokens by bucket, as bytes; ``buckets`` is a power of two."""
+    mixed = mix(tokens ^ U64(0x3C6EF372))
+    sums = np.bincount((mixed & U64(buckets - 1)).astype(np.int64), (mixed >> U64(40)) % U64(255) + U64(1), buckets)
+    return (sums.astype(np.int64) & 255).astype(np.uint8)
 
-    one = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    two = one.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    rows = two.select("a", "b", "text_a", "text_b").sortWithinPartitions("a")
-    return rows.mapInArrow(run, "a long, b long").distinct()
 
+def shared_tokens(x: np.ndarray, y: np.ndarray) -> int:
+    """How many tokens two sorted sets have in common."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum())
 
-def texts_of_sharing(docs: DataFrame, text: str, doc_id: str, shared: DataFrame) -> DataFrame:
-    """The texts of all representatives that share an entry, written down: only these are ever compared."""
-    ids = stage(shared.select(F.col("rep").alias("doc_id")).distinct(), "sharing-ids")
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return stage(rows.join(broadcast_if_small(ids, measure(ids, "doc_id")), "doc_id", "left_semi"), "sharing-texts")
 
+def verified_forest(table: pa.Table, threshold: int) -> pa.Table:
+    """Links (a, b) that join the sets of a block into its components, each verified on the whole sets.
 
-def sketches(texts: DataFrame, ngram: int, threshold: int) -> DataFrame:
-    """(rep, sketch) of ``texts`` (doc_id, text), written down."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Rows: rep, n, tokens, side, tree. Rows of one ``tree`` need no link. Side 0 is held against all rows, others only
+    against side 0.
+    """
+    rep, n, side = (table.column(c).to_numpy() for c in ("rep", "n", "side"))
+    order = np.lexsort((rep, n))
+    rep, n, side = rep[order], n[order].astype(np.int64), side[order]
+    raw = table.column("tokens").to_pylist()
+    sets = [np.frombuffer(raw[k], U64) for k in order]
+    tree = np.unique(table.column("tree").to_numpy()[order], return_inverse=True)[1]
+    buckets = min(MAX_BUCKETS, buckets_of(int(n.max(initial=1)), threshold))
+    drawn = np.stack([sketch_of(x, buckets) for x in sets]) if len(sets) else np.zeros((0, 1), np.uint8)
+    out = []
+    for k in range(len(rep)):
+        low = int(np.searchsorted(n, -(-n[k] * threshold // 100)))
+        open_ = (tree[low:k] != tree[k]) & ((side[low:k] == 0) | (side[k] == 0))
+        at = np.flatnonzero(open_) + low
+        if not len(at):
+            continue
+        most = (100 - threshold) * (n[at] + n[k]) // (100 + threshold)
+        for c in at[(drawn[at] != drawn[k]).sum(1) <= most]:
+            if tree[c] == tree[k]:
+                continue
+            common = shared_tokens(sets[c], sets[k])
+            if 100 * common >= threshold * (n[c] + n[k] - common):
+                out.append((min(rep[c], rep[k]), max(rep[c], rep[k])))
+                tree[tree == tree[c]] = tree[k]
+    pairs = np.array(out, np.int64).reshape(-1, 2)
+    return pa.table({"a": pairs[:, 0].copy(), "b": pairs[:, 1].copy()})
+
+
+def verify_groups(docs: DataFrame, text: str, doc_id: str, groups: DataFrame, ngram: int, threshold: int) -> DataFrame:
+    """Links (a, b) that join the sets of each group (node, component, n) into its components, written down."""
+
+    def make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(bytewords.not_spaces(), lower=True)
         for batch in batches:
-            out = []
-            for _, tokens in sets_of(hasher, batch.column(1), ngram):
-                buckets = buckets_of(len(tokens), threshold)
-                mixed = mix(tokens ^ U64(0x3C6EF372))
-                sums = np.bincount((mixed & U64(buckets - 1)).astype(np.int64), (mixed >> U64(40)) % U64(255) + U64(1), buckets)
-                out.append((sums.astype(np.int64) & 255).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["rep", "sketch"])
-
-    drawn = texts.select("doc_id", "text").mapInArrow(run, "rep long, sketch binary")
+            n, raw = [0] * batch.num_rows, [b""] * batch.num_rows
+            for i, tokens in sets_of(hasher, batch.column(4), ngram):
+                n[i], raw[i] = len(tokens), np.sort(tokens).tobytes()
+            columns = [pa.array(n, pa.int64()), pa.array(raw, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *columns], names=["group", "blocks", "head", "rep", "n", "tokens"])
+
+    sizes = groups.groupBy("component").agg(
+        F.greatest(F.ceil(F.sum("n") / TOKENS), F.ceil(F.count("*") / BLOCK)).cast("int").alias("blocks")
+    )
+    members = groups.join(sizes, "component").select(F.col("component").alias("group"), "blocks", F.col("node").alias("rep"))
+    members = stage(members.select("*", (F.col("rep") == F.col("group")).alias("head")), "group-members")
+    whole = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).cast("string").alias("text"))
+    whole = whole.join(broadcast_if_small(members, measure(members, "rep")), "rep")
+    schema = "group long, blocks int, head boolean, rep long, n long, tokens binary"
+    sets = whole.select("group", "blocks", "head", "rep", "text").mapInArrow(make_sets, schema).filter("n > 0")
+    several = not members.filter("blocks > 1").isEmpty()
+    if several:  # read twice
+        sets = stage(sets, "group-sets")
+    run = lambda table: verified_forest(table, threshold)
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    columns = ["rep", "n", "tokens"]
+    # The group's smallest set goes into every block; sides are all 0: every row is held against every other.
+    dealt = sets.select("group", F.explode(F.when(F.col("head"), every).otherwise(F.array(own))).alias("i"), *columns, F.lit(0).alias("side"), F.col("rep").alias("tree"))
+    found = stage(dealt.groupBy("group", "i").applyInArrow(run, "a long, b long"), "links-inside")
+    if not several:
+        return found
+    parts = stage(components(found), "parts-inside")
+    large = members.filter("blocks > 1").select("group", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    large = large.select("group", "rep", F.coalesce("component", "rep").alias("tree"))
+    main = large.groupBy("group", "tree").count().groupBy("group").agg(F.max_by("tree", F.struct("count", "tree")).alias("main"))
+    large = stage(large.join(main, "group").select("rep", "tree", (F.col("tree") != F.col("main")).alias("outside")), "group-trees")
+    rows = sets.filter("blocks > 1").join(broadcast_if_small(large, measure(large, "rep")), "rep")
+    left = rows.filter("outside").select("group", own.alias("i"), F.explode(every).alias("j"), *columns, F.lit(0).alias("side"), "tree")
+    right = rows.filter("not outside").select("group", F.explode(every).alias("i"), own.alias("j"), *columns, F.lit(1).alias("side"), "tree")
+    # What is outside also meets what else is outside: as side 1 of the other blocks.
+    again = rows.filter("outside").select("group", F.explode(every).alias("i"), own.alias("j"), *columns, F.lit(1).alias("side"), "tree")
+    dealt = left.unionByName(right).unionByName(again)
+    more = dealt.groupBy("group", "i", "j").applyInArrow(run, "a long, b long")
+    return stage(found.unionByName(more), "links-between")
+
+
+def sketches(prints: DataFrame, shared: DataFrame) -> DataFrame:
+    """(rep, sketch) of the representatives that share an entry, written down."""
+    ids = stage(shared.select(F.col("rep").alias("doc_id")).distinct(), "sharing-ids")
+    drawn = prints.join(broadcast_if_small(ids, measure(ids, "doc_id")), "doc_id", "left_semi")
     # A document of several texts has no one sketch: null lets all its pairs pass.
-    grouped = drawn.groupBy("rep").agg(F.when(F.count("*") == 1, F.first("sketch")).alias("sketch"))
+    grouped = drawn.groupBy(F.col("doc_id").alias("rep")).agg(F.when(F.count("*") == 1, F.first("sketch")).alias("sketch"))
     return stage(grouped, "sketches")
 
 
@@ -280,7 +341,7 @@ def buckets_of(n: int, threshold: int) -> int:
 
 
 def across(placed: DataFrame, drawn: DataFrame, threshold: int) -> DataFrame:
-    """(a, b): pairs of entries' members in different components that sizes and sketches allow to be linked."""
+    """(a, b): a forest, for every entry, of pairs of members in different components that sketches allow to be linked."""
     rows = placed.join(drawn, "rep").withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -307,15 +368,17 @@ def across(placed: DataFrame, drawn: DataFrame, threshold: int) -> DataFrame:
 
 
 def allowed(table: pa.Table, bounds: list[int], threshold: int) -> pa.RecordBatch:
-    """Pairs of side 0 and side 1 in each group of rows, bounds[k] to bounds[k + 1]."""
+    """A forest of the pairs of side 0 and side 1 that are allowed in each group of rows, bounds[k] to bounds[k + 1]."""
     side, rep, n, component = (table.column(c).to_numpy() for c in ("side", "rep", "n", "component"))
     n = n.astype(np.int64)
     drawn = table.column("sketch").to_pylist()
     out = [np.zeros((2, 0), np.int64)]
     for lo, hi in zip(bounds, bounds[1:], strict=False):
-        cut = lo + int(np.searchsorted(side[lo:hi], 1))
-        if cut == lo or cut == hi:
+        cut = int(np.searchsorted(side[lo:hi], 1))
+        if cut == 0 or cut == hi - lo:
             continue
+        ids, sizes = rep[lo:hi], n[lo:hi]
+        tree = np.unique(component[lo:hi], return_inverse=True)[1]
         known = [x for x in drawn[lo:hi] if x is not None]
         size = min(map(len, known), default=1)
         folded = np.zeros((hi - lo, size), np.uint8)
@@ -323,16 +386,18 @@ def allowed(table: pa.Table, bounds: list[int], threshold: int) -> pa.RecordBatc
             if x is not None:
                 folded[k] = np.frombuffer(x, np.uint8).reshape(-1, size).sum(0, dtype=np.uint8)
         blind = np.array([x is None for x in drawn[lo:hi]])
-        right = slice(cut, hi)
-        for i in range(lo, cut):
-            fits = (component[right] != component[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * threshold)
-            at = np.flatnonzero(fits)
+        for i in range(cut):
+            right = sizes[cut:]
+            fits = (tree[cut:] != tree[i]) & (np.minimum(right, sizes[i]) * 100 >= np.maximum(right, sizes[i]) * threshold)
+            at = np.flatnonzero(fits) + cut
             if len(at):
-                apart = (folded[cut - lo :][at] != folded[i - lo]).sum(1)
-                most = (100 - threshold) * (n[right][at] + n[i]) // (100 + threshold)
-                at = at[(apart <= most) | blind[cut - lo :][at] | blind[i - lo]]
-                other = rep[right][at]
-                out.append(np.stack([np.minimum(other, rep[i]), np.maximum(other, rep[i])]))
+                apart = (folded[at] != folded[i]).sum(1)
+                most = (100 - threshold) * (sizes[at] + sizes[i]) // (100 + threshold)
+                at = at[(apart <= most) | blind[at] | blind[i]]
+                trees, first = np.unique(tree[at], return_index=True)
+                other = ids[at[first]]
+                out.append(np.stack([np.minimum(other, ids[i]), np.maximum(other, ids[i])]))
+                tree[np.isin(tree, trees)] = tree[i]
     a, b = np.unique(np.concatenate(out, 1), axis=1)
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
@@ -350,7 +415,7 @@ def link(
     """
     if not 0 < threshold <= 100 or ngram < 1:
         raise ValueError("threshold is 1 to 100 per cent, ngram at least 1")
-    prints = stage(fingerprints(docs, text, doc_id, ngram), "set-prints")
+    prints = stage(fingerprints(docs, text, doc_id, ngram, threshold), "set-prints")
     classes = prints.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "p1", "p2")
     classes = stage(classes.agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "set-classes")
     most = classes.agg(F.max("n")).first()[0] or 0
@@ -385,10 +450,9 @@ def link(
     )
     near = near.select("p.*").filter("doc_id != other").distinct()
     tested = stage(sides(near, "doc_id", "other"), "pairs-near")
-    texts = texts_of_sharing(docs, text, doc_id, shared)
-    drawn = sketches(texts, ngram, threshold)
-    found = stage(verify(plausible(tested, drawn, threshold), texts, ngram, threshold), "links-near")
-    parts = stage(components(found), "parts-near")
+    drawn = sketches(prints, shared)
+    maybe = plausible(tested, drawn, threshold)
+    parts = stage(components(maybe), "parts-near")
 
     # Entries with members of several components.
     placed = members.select("entry", "doc_id").join(shared, "doc_id").join(
@@ -403,11 +467,13 @@ def link(
         F.count("*").alias("kinds"),
     )
     placed = stage(placed.join(major.filter("kinds > 1"), "entry"), "index-placed")
-    rest = stage(across(placed, drawn, threshold).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs-across")
-    more = stage(verify(rest, texts, ngram, threshold), "links-across")
+    rest = stage(across(placed, drawn, threshold), "pairs-across")
+    groups = components(maybe.unionByName(rest))
+    sized = classes.groupBy(F.col("rep").alias("node")).agg(F.sum("n").alias("n"))
+    found = verify_groups(docs, text, doc_id, groups.join(sized, "node"), ngram, threshold)
 
     # A document with several texts joins the classes of all of them.
-    linked = found.unionByName(more).unionByName(
+    linked = found.unionByName(
         reps.filter("doc_id IS NOT NULL AND doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     )
     final = components(linked)

@@ -371,8 +371,73 @@ def test_sketches_never_hide_a_link():
     names = ["entry", "i", "j", "side", "n", "rep", "component", "sketch"]
     table = pa.table({c: list(v) for c, v in zip(names, zip(*both, strict=True), strict=True)})
     found = jaccard_join.allowed(table, [0, len(both)], threshold)
-    got = {(b, a) for a, b in zip(found.column("a").to_pylist(), found.column("b").to_pylist(), strict=True)}
-    assert linked and linked <= got
+    pairs = list(zip(found.column("a").to_pylist(), found.column("b").to_pylist(), strict=True))
+    trees = trees_of(pairs, range(60))
+    assert len(pairs) < 60  # a forest, however many pairs are allowed
+    assert linked and all(trees[a] == trees[b] for a, b in linked)
+
+
+def trees_of(pairs, nodes):
+    tree = {i: i for i in nodes}
+    for a, b in pairs:
+        x, y = tree[a], tree[b]
+        tree = {i: min(x, y) if t in (x, y) else t for i, t in tree.items()}
+    return tree
+
+
+@pytest.mark.parametrize("threshold", [60, 90])
+def test_blocks_send_out_forests_of_true_links(threshold):
+    """One group of near copies, many of them just above or below the threshold."""
+    rng = np.random.default_rng(threshold)
+    base = rng.integers(0, 1 << 63, 200).astype(np.uint64)
+    sets = []
+    for _ in range(150):
+        kept = base[rng.random(200) > rng.choice([0.02, (100 - threshold) / 200])]
+        sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, rng.integers(1, 9)).astype(np.uint64)])))
+    side = rng.integers(0, 2, 150)
+    shared = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    linked = lambda a, b: 100 * shared[a][b] >= threshold * (len(sets[a]) + len(sets[b]) - shared[a][b])
+    for sides in (np.zeros(150, int), side):
+        table = pa.table({"rep": np.arange(150), "n": [len(x) for x in sets], "side": sides, "tree": np.arange(150)})
+        table = table.append_column("tokens", pa.array([x.tobytes() for x in sets], pa.binary()))
+        found = jaccard_join.verified_forest(table, threshold).to_pydict()
+        pairs = list(zip(found["a"], found["b"], strict=True))
+        wanted = [(a, b) for a in range(150) for b in range(a) if linked(a, b) and 0 in (sides[a], sides[b])]
+        assert len(pairs) < 150 < len(wanted)
+        assert all(linked(a, b) for a, b in pairs)
+        assert trees_of(pairs, range(150)) == trees_of(wanted, range(150))
+
+
+def thue_morse(n, letters="ab"):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_that_collide_under_every_polynomial(spark, n):
+    """Thue-Morse words and their complements collide modulo 2 ** 64 under every odd base."""
+    hasher = bytewords.WordHasher(bytewords.not_spaces(), lower=True)
+    (_, _, hashes, _), = hasher.slices(pa.array([f"{thue_morse(n)} {thue_morse(n, 'ba')} {thue_morse(n)}"]))
+    assert hashes[0] == hashes[2] != hashes[1]
+    rows = [(1, thue_morse(n) + " x y"), (2, thue_morse(n, "ba") + " x y")]
+    got = {r[0]: r[2] for r in jaccard_join.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2}
+
+
+def test_a_group_of_several_blocks(spark, monkeypatch):
+    """Near copies in blocks of few tokens: the first step leaves components that the second one joins."""
+    monkeypatch.setattr(jaccard_join, "TOKENS", 3000)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 20)
+    rng = random.Random(4)
+    base = [f"word{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            w[rng.randrange(120)] = f"new{rng.randrange(1000)}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r[0]: (r[1], r[2]) for r in jaccard_join.link(df).collect()}
+    assert got == links_by_hand(rows, 5, 80)
 
 
 def test_windows_score_every_position_once():
