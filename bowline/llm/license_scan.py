@@ -3,8 +3,12 @@
 Every rolling word k-gram of every text is joined, as a hash, with the positions of the k-grams of the templates. A
 match at text position p and template position q votes for the diagonal p - q, where the template would begin in the
 text. Votes are counted by diagonal; diagonals of a template that are close to each other (words were left out or put
-in between) are merged into one span; a span is verified word by word: the share of the template's words that it has
-in order.
+in between) are merged into one span; a span is verified word by word: it is cut to the first and last word of the
+template that it has in order, and its share is that of those words in the template or, if it is longer, in the cut
+span. A span is not a template if one of the two has a word that makes it another licence (``VARIANTS``); of verified
+spans that overlap and have different labels the best one counts.
+
+The templates are notices, as they stand in files and on pages, not the full texts of licences.
 """
 
 from __future__ import annotations
@@ -38,6 +42,11 @@ PHRASES = {
     "mit license": "mit",
 }
 
+# Words that tell a licence from its variants.
+VARIANTS = frozenset(
+    b"affero lesser library noncommercial nc noderivs noderivatives nd sharealike sa".split()
+)
+
 # Public licence notices and their labels.
 TEMPLATES = (
     ("gpl", "This work is licensed under the GNU General Public License, version 3."),
@@ -89,6 +98,21 @@ TEMPLATES = (
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0."),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0."),
+    (
+        "cc-by-nc-sa",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    ("cc-by-nc-nd", "Licensed under CC BY-NC-ND 4.0."),
+    (
+        "cc-by-nc-nd",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International "
+        "License.",
+    ),
+    ("lgpl", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("agpl", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("cc-by", "Licensed under CC BY 4.0."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -187,19 +211,46 @@ def spans(grams: DataFrame, templates=TEMPLATES) -> DataFrame:
     )
 
 
-def coverage(template: list[bytes], span: list[bytes]) -> float:
-    """The share of the template's words that the span has, in order (longest common subsequence)."""
+def common_length(a: np.ndarray, b: list[int]) -> tuple[int, int]:
+    """(length, end) of the longest common subsequence of a and b, and where in b it can end first."""
+    row, best, end = np.zeros(len(a) + 1, np.int64), 0, 0
+    for at, word in enumerate(b):
+        if word >= 0:
+            row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (a == word)))
+            if row[-1] > best:
+                best, end = int(row[-1]), at + 1
+    return best, end
+
+
+def alignment(template: list[bytes], span: list[bytes]) -> tuple[float, int, int]:
+    """(share, first, end): the words of the template that the span has in order, over the template's words or those of
+    the span from its first to its last match, whichever are more."""
     ids = {w: i for i, w in enumerate(dict.fromkeys(template))}
-    a, b = np.array([ids[w] for w in template]), [ids[w] for w in span if w in ids]
-    row = np.zeros(len(a) + 1, np.int64)
-    for word in b:
-        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (a == word)))
-    return float(row[-1]) / len(a)
+    a, b = np.array([ids[w] for w in template]), [ids.get(w, -1) for w in span]
+    best, end = common_length(a, b)
+    if not best:
+        return 0.0, 0, 0
+    first = end - common_length(a[::-1], b[:end][::-1])[1]
+    return best / max(len(a), end - first), first, end
+
+
+def same_variant(template: list[bytes], span: list[bytes]) -> bool:
+    return VARIANTS.intersection(template) == VARIANTS.intersection(span)
+
+
+def best_of_each_place(found: list[tuple]) -> set[int]:
+    """Numbers of the spans (label, words of the template, from, to, share) that no better one of another label overlaps."""
+    kept: list[int] = []
+    for k in sorted(range(len(found)), key=lambda k: (-found[k][4], -found[k][1], found[k][2], found[k][0])):
+        label, _, lo, hi, _ = found[k]
+        if all(found[o][0] == label or hi <= found[o][2] or found[o][3] <= lo for o in kept):
+            kept.append(k)
+    return set(kept)
 
 
 def verify_spans(found: DataFrame, docs: DataFrame, text: str, templates=TEMPLATES) -> DataFrame:
-    """``found`` with ``share``, from the words of the texts."""
-    words = [words_in(t) for _, t in templates]
+    """``found``, cut to the words that match, with ``share`` and ``kept``: whether the span is the template's."""
+    words, names = [words_in(t) for _, t in templates], [label for label, _ in templates]
     ids = found.select("row").distinct()
     ids = broadcast_if_small(ids, measure(ids, "row"))
     texts = docs.join(ids, "row", "left_semi").select("row", F.col(text).cast("string").alias("text"))
@@ -211,14 +262,22 @@ def verify_spans(found: DataFrame, docs: DataFrame, text: str, templates=TEMPLAT
             out: list[tuple] = []
             for row, places, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.large_binary()).to_pylist(), strict=True):
                 has = words_in(content or b"")
+                mine, good = [], []
                 for s in places:
-                    share = coverage(words[s["template"]], has[s["from"] : s["to"]])
-                    out.append((row, s["template"], s["from"], s["to"], share))
-            columns = list(zip(*out, strict=True)) if out else [[]] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["row", "template", "from", "to", "share"])
+                    t = s["template"]
+                    share, first, end = alignment(words[t], has[s["from"] : s["to"]])
+                    first, end = s["from"] + first, s["from"] + end
+                    mine.append((row, t, first, end, share))
+                    good.append(share >= VERIFIED and same_variant(words[t], has[first:end]))
+                at = [k for k in range(len(mine)) if good[k]]
+                best = best_of_each_place([(names[mine[k][1]], len(words[mine[k][1]]), *mine[k][2:]) for k in at])
+                kept = {at[k] for k in best}
+                out += [(*m, k in kept) for k, m in enumerate(mine)]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 6
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["row", "template", "from", "to", "share", "kept"])
 
-    return listed.mapInArrow(run, "row long, template int, `from` long, `to` long, share double")
+    return listed.mapInArrow(run, "row long, template int, `from` long, `to` long, share double, kept boolean")
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", templates=TEMPLATES) -> DataFrame:
@@ -227,7 +286,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", t
 
     ``score`` is the largest share of a template that the text has, at least HINT if it has a phrase, otherwise 0.
     Words are ASCII letters and digits, A-Z lower-cased, and all characters beyond ASCII. A null text counts as
-    empty: no words and labels, score 0. Repeated rows are scanned each; an empty table gives no rows.
+    empty: no words and labels, score 0. Texts of any length are scanned whole. Repeated rows are scanned each; an empty table gives no rows.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
     base = stage(scan_words(rows, "text", "id", grams=False), "license-words")
@@ -239,7 +298,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", t
     label = F.element_at(F.array(*[F.lit(x) for x, _ in templates]), F.col("template") + 1)
     by_row = checked.withColumn("label", label).groupBy("row").agg(
         F.max("share").alias("best"),
-        F.collect_list(F.when(F.col("share") >= VERIFIED, F.struct("label", "from", "to", "share"))).alias("verified"),
+        F.collect_list(F.when(F.col("kept"), F.struct("label", "from", "to", "share"))).alias("verified"),
     )
     none = F.array().cast("array<struct<label:string,from:bigint,to:bigint,share:double>>")
     out = base.join(by_row, "row", "left").withColumn("verified", F.coalesce("verified", none))

@@ -73,7 +73,8 @@ def shuffle_into_shards(
         .when(a["by_id"].isNull() | (a["by_id"] < b["by_id"]), -1)
         .otherwise(1)
     )
-    groups = groups.withColumn(record, F.shuffle(F.array_sort(record, by_id), seed))
+    # F.shuffle draws from one stream per partition: buckets in order, so that each gets the same draws again.
+    groups = groups.sortWithinPartitions(bucket).withColumn(record, F.shuffle(F.array_sort(record, by_id), seed))
     placed = groups.join(offsets, bucket).select(before, F.posexplode(record).alias(place, record))
     columns = [F.col(f"{record}.row.`{c}`").alias(c) for c in docs.columns]
     return placed.select(

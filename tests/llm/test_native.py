@@ -356,3 +356,17 @@ def test_crc_rule_of_queries(spark):
 
     rows = spark.range(50).select(F.col("id").alias("doc_id"), held_out().alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+
+
+def test_shards_are_the_same_however_the_rows_come(spark):
+    rows = [(i, f"text {i} " * (i % 9)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    orders = (df, df.repartition(7), df.orderBy(F.rand(3)), df.coalesce(1))
+    first, *others = [
+        {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shuffle_into_shards(d, bucket_bytes=4000).collect()} for d in orders
+    ]
+    assert all(first == other for other in others)
+    for shard in range(8):
+        mine = sorted((slot, doc) for doc, (s, slot) in first.items() if s == shard)
+        assert [slot for slot, _ in mine] == list(range(len(mine)))
+        assert [doc for _, doc in mine] != sorted(doc for _, doc in mine)

@@ -355,6 +355,43 @@ def test_count_pairs(ids):
     assert not len(lm.count_pairs(first[:0], second[:0])[0])
 
 
+def test_variants_of_licences_are_not_taken_for_each_other(spark):
+    cc, gnu = "This work is licensed under a Creative Commons Attribution{} 4.0 International License.", "GNU {} Public License, version 3"
+    cases = [(cc.format(""), "cc-by")]
+    cases += [(cc.format(a), b) for a, b in (("-NonCommercial", "cc-by-nc"), ("-ShareAlike", "cc-by-sa"), ("-NoDerivatives", "cc-by-nd"))]
+    cases += [(cc.format(f"-NonCommercial-{a}"), f"cc-by-nc-{b}") for a, b in (("ShareAlike", "sa"), ("NoDerivatives", "nd"))]
+    cases += [(f"Licensed under CC BY{a.upper()} 4.0.", f"cc-by{a}") for a in ("", "-nc", "-sa", "-nd", "-nc-sa", "-nc-nd")]
+    cases += [(f"This work is licensed under the {gnu.format(a)}.", b) for a, b in (("General", "gpl"), ("Lesser General", "lgpl"), ("Affero General", "agpl"))]
+    both = f"{cc.format('-ShareAlike')} {'word ' * 30} {cc.format('-NonCommercial')}"
+    cases += [(both, "cc-by-nc,cc-by-sa"), (cc.format("").replace("4.0", "as we said before and will say again 4.0"), "")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {int(r["doc_id"]): r for r in license_scan.scan_licenses(df).collect()}
+    for i, (text, label) in enumerate(cases):
+        mine = set(got[i]["labels"].split(",")) - set(got[i]["base_labels"].split(","))
+        base = set(got[i]["base_labels"].split(",")) - {""}
+        assert mine | (base & {label}) == set(label.split(",")) or (mine == set() and not label and not base), text
+        assert 0 <= got[i]["score"] <= 1
+
+
+def test_base_columns_of_the_licence_query_by_hand(spark):
+    from bowline.llm import queries
+    from tests.conftest import DATA
+
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    for r in queries.op8_license_scan(spark, DATA).collect():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", LOWER(texts[r["doc_id"]]))
+        places = [
+            (i, label)
+            for phrase, label in license_scan.PHRASES.items()
+            for i in range(len(words))
+            if words[i : i + len(phrase.split())] == phrase.split()
+        ]
+        assert (r["n_words"], r["n_base"]) == (len(words), len(places))
+        assert (r["first_word"], r["last_word"]) == ((min(places)[0], max(places)[0]) if places else (None, None))
+        assert r["base_labels"] == ",".join(sorted({label for _, label in places}))
+        assert {label for _, label in places} <= set(r["labels"].split(","))
+
+
 def test_sketches_never_hide_a_link():
     rng = np.random.default_rng(7)
     threshold, rows = 90, []
