@@ -9,15 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bowline.functions.labels import base26_code, label_from_path
+from bowline.functions.vectors import split_numbers
 from bowline.operators import docvectors, evaluate, selection, vocabulary, weighting
 from bowline.operators.stages import CommonElementFilter, WordCountToVec
 from bowline.operators.vocabulary import WordTable
 from bowline.plans.classification import class_count as count_classes
 from bowline.plans.classification import classify, classify_directory
-from bowline.plans.preprocessing import fit_preprocessing, preprocess
+from bowline.plans.preprocessing import fit_preprocessing, preprocess, preprocess_directory
 from bowline.plans.training_sql import Plan, predictions_ctes, training_ctes
 from bowline.sources.processed import read_processed, write_processed
-from bowline.sources.raw import TRAINING, VALIDATION, encode_labels, fit_labels, parse_lines
+from bowline.sources.raw import (
+    TRAINING,
+    VALIDATION,
+    encode_labels,
+    fit_labels,
+    malformed_lines,
+    parse_lines,
+    raw_documents,
+    read_raw,
+    write_raw,
+)
 from bowline.sources.text import bow_from_text, document_bow, ids_unique, labelled_bow, read_labels, read_table
 from bowline.staging import stage, staged_folder
 
@@ -610,3 +621,97 @@ def stage_vectors(spark: SparkSession, sf: str) -> DataFrame:
     fitted = Pipeline(stages=stages).fit(bow)
     packed = docvectors.from_vector(fitted.transform(bow)).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     return docvectors.to_csv_columns(packed, fitted.stages[1].getDictionarySize(), keys=["doc_id"])
+
+
+# --- directories of raw files --------------------------------------------------------------------------------------
+
+# Every 11th document is in a directory that names no class, every 13th in one whose class has no letters.
+FOLDER_SQL = "CASE WHEN doc_id % 11 = 0 THEN 'other' WHEN doc_id % 13 = 0 THEN 'class' ELSE 'class' || upper(lang) END"
+CLASS_FILES, ALL_FILES = "class[A-Z]*/*.txt", "*/*.txt"
+BY_FOLDER = "(SELECT doc_id, upper(lang) AS quality FROM documents WHERE doc_id % 11 <> 0 AND doc_id % 13 <> 0)"
+
+
+def write_documents(spark: SparkSession, sf: str, marked: bool, sets: bool) -> str:
+    """``documents`` as raw files, one for each; the directory. ``marked``: a line says which document a file is, and
+    lines that are not ``word count`` follow. ``sets``: below Training and Validation."""
+    folder = F.expr(FOLDER_SQL)
+    if sets:
+        folder = F.concat(F.when(F.col("doc_id") % 5 != 0, TRAINING).otherwise(VALIDATION), F.lit("/"), folder)
+    bow = bow_from_text(read_table(spark, sf, "documents", "doc_id", folder.alias("folder"), "text"), keep=["folder"])
+    number = F.col("doc_id").cast("string")
+    extra = F.concat(F.lit("doc#"), number, F.lit(" 1"), F.expr(BAD_LINES)) if marked else None
+    content = stage(raw_documents(bow, extra=extra), "raw-content")
+    directory = staged_folder(spark, "raw-files")
+    write_raw(content, directory)
+    return directory
+
+
+# Three kinds of bad lines, and a blank one, which does not count.
+BAD_LINES = """concat(if(doc_id % 3 = 0, '\\ntwo words 1', ''), if(doc_id % 5 = 0, '\\nword x', ''),
+  if(doc_id % 7 = 0, '\\nword 99999999999\\n', ''))"""
+
+MARKED_SQL = f"""
+WITH {BOW_SQL},
+marked AS (SELECT doc_id, word, word_count FROM bow UNION ALL SELECT DISTINCT doc_id, 'doc#' || doc_id, 1 FROM bow)"""
+
+
+@query(f"""{MARKED_SQL}
+SELECT doc_id, CASE WHEN doc_id % 11 = 0 OR doc_id % 13 = 0 THEN NULL ELSE upper(lang) END AS label_str,
+  CASE WHEN doc_id % 11 = 0 OR doc_id % 13 = 0 THEN NULL
+    ELSE CAST(ascii(upper(lang)) - 65 + 26 * (ascii(substr(upper(lang), 2, 1)) - 65) AS INTEGER) END AS label,
+  count(*) AS num_words, CAST(sum(word_count) AS BIGINT) AS total
+FROM marked JOIN documents USING (doc_id) GROUP BY doc_id, lang""")
+def dir_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Many small files read back, by file: what a file says its document is, its class, its words."""
+    rows = read_raw(spark, write_documents(spark, sf, marked=True, sets=False), files=ALL_FILES)
+    return rows.groupBy("input_file", "label_str", "label").agg(
+        F.max(F.when(F.col("word").startswith("doc#"), F.substring("word", 5, 20))).cast("bigint").alias("doc_id"),
+        F.count("*").alias("num_words"),
+        F.sum("word_count").alias("total"),
+    ).select("doc_id", "label_str", "label", "num_words", "total")
+
+
+@query("""
+SELECT doc_id, CAST(sum(bad) AS BIGINT) AS num_lines FROM (
+  SELECT doc_id, (doc_id % 3 = 0)::INT + (doc_id % 5 = 0)::INT + (doc_id % 7 = 0)::INT AS bad FROM documents
+  WHERE regexp_matches(text, '[^ \n\t\r]')) WHERE bad > 0 GROUP BY doc_id""")
+def dir_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """How many lines of each file the scan leaves out."""
+    directory = write_documents(spark, sf, marked=True, sets=False)
+    marks = read_raw(spark, directory, files=ALL_FILES, merge=False).filter(F.col("word").startswith("doc#"))
+    marks = marks.select("input_file", F.substring("word", 5, 20).cast("bigint").alias("doc_id"))
+    return malformed_lines(spark, directory, files=ALL_FILES).join(marks, "input_file").select("doc_id", "num_lines")
+
+
+DENSE_SQL = "(SELECT quality, row_number() OVER (ORDER BY quality) - 1 AS id FROM (SELECT DISTINCT quality FROM known WHERE doc_id % 5 <> 0))"
+
+
+@query(f"""
+WITH {job_tables_sql(BY_FOLDER)}
+SELECT CASE WHEN k.doc_id % 5 <> 0 THEN 'training' ELSE 'validation' END AS split,
+  CAST(coalesce(c.id, -1) AS INTEGER) AS label,
+  CAST((SELECT count(*) FROM numbered) AS INTEGER) AS num_features,
+  coalesce(string_agg(CAST(h.feature AS VARCHAR), ',' ORDER BY h.feature), '') AS word_indices_str,
+  round(coalesce(sum(h.idf), 0.0), {DIGITS}) AS value_sum
+FROM known k LEFT JOIN hit h USING (doc_id) LEFT JOIN {DENSE_SQL} c USING (quality) GROUP BY k.doc_id, c.id""")
+def dir_preprocess(spark: SparkSession, sf: str) -> DataFrame:
+    """Directories of raw files to processed CSV files, which are read back."""
+    output = staged_folder(spark, "processed")
+    preprocess_directory(spark, write_documents(spark, sf, marked=False, sets=True), output, files=CLASS_FILES)
+    total = F.aggregate(split_numbers("word_counts_str", "double"), F.lit(0.0), lambda total, v: total + v)
+    parts = [
+        read_processed(spark, f"{output}/{name}").select(F.lit(name.lower()).alias("split"), "*")
+        for name in (TRAINING, VALIDATION)
+    ]
+    rows = parts[0].unionByName(parts[1]).withColumn("word_indices_str", F.coalesce("word_indices_str", F.lit("")))
+    return rows.select("split", "label", "num_features", "word_indices_str", F.round(total, DIGITS).alias("value_sum"))
+
+
+@query(training_sql(SHALLOW, BY_FOLDER, f"""
+SELECT split, CAST(a.id AS INTEGER) AS label, CAST(b.id AS INTEGER) AS prediction, count(*) AS num_docs
+FROM predicted p JOIN {DENSE_SQL} a ON a.quality = p.label JOIN {DENSE_SQL} b ON b.quality = p.prediction GROUP BY ALL"""))
+def dir_classify(spark: SparkSession, sf: str) -> DataFrame:
+    """From directories of raw files to a trained classifier's confusion table."""
+    output = staged_folder(spark, "processed")
+    preprocess_directory(spark, write_documents(spark, sf, marked=False, sets=True), output, files=CLASS_FILES)
+    return classify_directory(spark, output, "shallow", SHALLOW.epochs, start="separable").confusion()

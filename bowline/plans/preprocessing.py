@@ -172,17 +172,19 @@ def preprocess_directory(
     output_dir: str,
     encoding: str = "dense",
     formats: Sequence[str] = ("csv",),
+    files: str | None = None,
     **options: float,
 ) -> PreprocessModel:
     """Raw files under ``input_dir/{Training,Validation}`` to processed files under ``output_dir``.
 
     ``encoding="dense"`` numbers the sorted training classes; ``"base26"`` keeps the letters' code. Validation
     documents of a class unknown to training have the label -1. With several ``formats`` each gets a subfolder.
+    ``files``: a pattern below each set's directory for files that do not end in ``.res``.
     """
     if encoding not in ("dense", "base26"):
         raise ValueError("encoding must be 'dense' or 'base26'")
-    training = read_raw(spark, f"{input_dir}/{TRAINING}")
-    validation = read_raw(spark, f"{input_dir}/{VALIDATION}")
+    training = read_raw(spark, f"{input_dir}/{TRAINING}", files=files)
+    validation = read_raw(spark, f"{input_dir}/{VALIDATION}", files=files)
     labels = fit_labels(training) if encoding == "dense" else None
     if labels is not None:
         training, validation = encode_labels(training, labels), encode_labels(validation, labels)

@@ -19,9 +19,12 @@ TRAINING, VALIDATION = "Training", "Validation"
 UNSEEN = -1
 
 
-def read_lines(spark: SparkSession, directory: str, labelled: bool = True) -> DataFrame:
-    """``(input_file, fields)``: every line cut at single spaces. Document ids are the files' escaped URIs."""
-    pattern = f"{directory.rstrip('/')}/{LABELLED_FILES if labelled else UNLABELLED_FILES}"
+def read_lines(spark: SparkSession, directory: str, labelled: bool = True, files: str | None = None) -> DataFrame:
+    """``(input_file, fields)``: every line cut at single spaces. Document ids are the files' escaped URIs.
+
+    ``files``: a pattern below ``directory`` in place of the usual one, such as ``*/*.txt`` for every class directory.
+    """
+    pattern = f"{directory.rstrip('/')}/{files or (LABELLED_FILES if labelled else UNLABELLED_FILES)}"
     return spark.read.text(pattern).select(
         F.input_file_name().alias("input_file"), F.split("value", " ").alias("fields")
     )
@@ -43,20 +46,22 @@ def parse_lines(lines: DataFrame, fields: str = "fields") -> DataFrame:
     )
 
 
-def malformed_lines(spark: SparkSession, directory: str, labelled: bool = True) -> DataFrame:
+def malformed_lines(spark: SparkSession, directory: str, labelled: bool = True, files: str | None = None) -> DataFrame:
     """``(input_file, num_lines)``: how many lines of a file the scan leaves out. Blank lines are not counted."""
-    lines = read_lines(spark, directory, labelled)
+    lines = read_lines(spark, directory, labelled, files)
     blank = (F.size("fields") == 1) & (F.get("fields", F.lit(0)) == "")
     return lines.filter(~is_valid_line() & ~blank).groupBy("input_file").agg(F.count("*").alias("num_lines"))
 
 
-def read_raw(spark: SparkSession, directory: str, labelled: bool = True, merge: bool = True) -> DataFrame:
+def read_raw(
+    spark: SparkSession, directory: str, labelled: bool = True, merge: bool = True, files: str | None = None
+) -> DataFrame:
     """``(input_file, label_str, label, word, word_count)``; ``label`` is the base-26 code of the letters.
 
     ``merge`` adds up the counts of words that normalization makes equal, leaving one row per document and word.
     Both label columns are null when not ``labelled`` or when the path holds no class directory.
     """
-    rows = parse_lines(read_lines(spark, directory, labelled))
+    rows = parse_lines(read_lines(spark, directory, labelled, files))
     if merge:
         rows = rows.groupBy("input_file", "word").agg(F.sum("word_count").cast("int").alias("word_count"))
     label = label_from_path("input_file") if labelled else F.lit(None).cast("string")
@@ -64,6 +69,27 @@ def read_raw(spark: SparkSession, directory: str, labelled: bool = True, merge:
     return rows.select("input_file", "label_str", "label", "word", "word_count")
 
 
+def raw_documents(
+    bow: DataFrame, doc: str = "doc_id", folder: str = "folder", extra: Column | None = None
+) -> DataFrame:
+    """``(doc, folder, content)``: the ``word count`` lines of every document, ``extra`` lines after them."""
+    lines = F.sort_array(F.collect_list(F.concat_ws(" ", "word", "word_count")))
+    content = F.concat_ws("\n", lines, *([F.first(extra)] if extra is not None else []))
+    return bow.groupBy(doc, folder).agg(content.alias("content"))
+
+
+def write_raw(documents: DataFrame, directory: str, folder: str = "folder", content: str = "content") -> None:
+    """One small text file per document, in the directory ``folder`` (``Training/classA``) below ``directory``.
+
+    One write per folder, of which there are as many as sets and classes; a written record is a whole document, and
+    a file takes one record. Files are named by Spark and end in ``.txt``: read them with ``files``. ``documents`` is
+    scanned once per folder: pass a written table.
+    """
+    for row in documents.select(folder).distinct().orderBy(folder).collect():  # one row per set and class
+        mine = documents.filter(F.col(folder) == row[0]).select(content)
+        mine.write.option("maxRecordsPerFile", 1).text(f"{directory.rstrip('/')}/{row[0]}")
+
+
 def fit_labels(bow: DataFrame, label: str = "label_str") -> DataFrame:
     """``(label_str, label)``: dense class ids 0, 1, 2, ... in the order of the sorted distinct names."""
     names = bow.select(F.col(label).alias("label_str")).filter("label_str is not null").distinct()
