@@ -126,13 +126,15 @@ class _TableReader(MLReader):
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
         table = self.sparkSession.read.parquet(f"{path}/data")
-        model.words = WordTable(table, measure(table, model.name("wordCol"), "num_docs"))
+        model.words = WordTable(table, measure(table, model.name("wordCol"), self.cls.weight))
         return model
 
 
 class _TableModel(Model, WordColumns, MLWritable, MLReadable):
     """A model made of a table keyed by word. ``copy`` keeps the table."""
 
+    weight = "num_docs"  # the column with the rows that a word stands for
+
     def __init__(self, words: WordTable | None = None) -> None:
         super().__init__()
         self.words = words
@@ -268,7 +270,7 @@ def idf_chi2_pipeline(
     """The preprocessing chain as a ``Pipeline``, for use with other ML stages.
 
     MLlib holds one statistic per vocabulary word on the driver; for vocabularies beyond some millions of words use
-    ``bowline.plans.preprocessing``, which computes the same selection as joins and aggregates.
+    ``long_stages.long_pipeline``, whose stages are tables, or ``bowline.plans.preprocessing``.
     """
     return Pipeline(
         stages=[

@@ -16,6 +16,30 @@ def document_count(bow: DataFrame, doc: str = "doc_id") -> DataFrame:
     return bow.agg(F.count_distinct(doc).alias("num_docs"))
 
 
+SKETCH_BITS = 12  # 2 ** 12 registers
+SKETCH_DEVIATIONS = 4.0  # a bound that an estimate misses once in some 16,000 times
+
+
+def sketch_error(bits: int = SKETCH_BITS) -> float:
+    """The relative standard error of a count by sketch."""
+    return 1.04 / 2 ** (bits / 2)
+
+
+def document_sketch(bow: DataFrame, doc: str = "doc_id", bits: int = SKETCH_BITS) -> DataFrame:
+    """One row: ``sketch``, a HyperLogLog sketch of the distinct documents, of fixed size however many there are.
+
+    Keep it with a slice of the data: sketches of later slices are merged into it without reading this one again.
+    """
+    key = F.col(doc) if bow.schema[doc].dataType.typeName() in ("long", "integer", "string") else F.col(doc).cast("string")
+    return bow.agg(F.hll_sketch_agg(key, bits).alias("sketch"))
+
+
+def merge_document_sketches(sketches: DataFrame) -> DataFrame:
+    """One row: ``sketch`` of all slices together, and ``estimate``, its number of distinct documents."""
+    merged = sketches.agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("sketch", F.coalesce(F.hll_sketch_estimate("sketch"), F.lit(0)).cast("bigint").alias("estimate"))
+
+
 def word_frequencies(
     bow: DataFrame, word: str = "word", doc: str = "doc_id", count_mode: str = "rows"
 ) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bowline.functions.labels import base26_code, label_from_path
 from bowline.functions.vectors import split_numbers
 from bowline.operators import docvectors, evaluate, selection, vocabulary, weighting
+from bowline.operators.long_stages import long_pipeline
 from bowline.operators.stages import CommonElementFilter, WordCountToVec
 from bowline.operators.vocabulary import WordTable
 from bowline.plans.classification import class_count as count_classes
@@ -29,7 +30,15 @@ from bowline.sources.raw import (
     read_raw,
     write_raw,
 )
-from bowline.sources.text import bow_from_text, document_bow, ids_unique, labelled_bow, read_labels, read_table
+from bowline.sources.text import (
+    bow_from_text,
+    document_bow,
+    ids_unique,
+    labelled_bow,
+    read_documents,
+    read_labels,
+    read_table,
+)
 from bowline.staging import stage, staged_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,7 +178,7 @@ SELECT doc_id, nullif(trim(lower(f[1]), ' '), '') AS word, TRY_CAST(f[2] AS INTE
 WHERE len(f) = 2 AND regexp_full_match(f[2], '[+-]?[0-9]+') AND TRY_CAST(f[2] AS INTEGER) IS NOT NULL""")
 def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The line rule of the raw scan on lines made from the documents: "word count" lines and plain prose."""
-    docs = read_table(spark, sf, "documents", "doc_id", "text")
+    docs = read_documents(spark, sf, "doc_id", "text")
     prose = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     words = docs.select("doc_id", F.explode(F.split("text", "[ \n\t\r]+")).alias("word")).filter("word <> ''")
     counted = words.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
@@ -182,6 +191,18 @@ def doc_count(spark: SparkSession, sf: str) -> DataFrame:
     return vocabulary.document_count(document_bow(spark, sf))
 
 
+@query(f"WITH {BOW_SQL} SELECT count(DISTINCT doc_id) AS num_docs, true AS within FROM bow")
+def doc_count_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches of two slices of the documents, merged; whether the estimate is within its bound of the exact count."""
+    bow = stage(document_bow(spark, sf), "bow")
+    slices = [vocabulary.document_sketch(bow.filter(f"doc_id % 2 = {n}")) for n in (0, 1)]
+    merged = vocabulary.merge_document_sketches(slices[0].unionByName(slices[1]))
+    exact = vocabulary.document_count(bow)
+    error = F.abs(F.col("estimate") - F.col("num_docs")) / F.col("num_docs")
+    bound = vocabulary.SKETCH_DEVIATIONS * vocabulary.sketch_error()
+    return exact.select("*", merged.select("estimate").scalar().alias("estimate")).select("num_docs", (error <= bound).alias("within"))
+
+
 @query(f"WITH {BOW_SQL} SELECT word, count(*) AS num_docs FROM bow GROUP BY word")
 def word_doc_freq(spark: SparkSession, sf: str) -> DataFrame:
     return vocabulary.word_frequencies(document_bow(spark, sf))
@@ -189,7 +210,7 @@ def word_doc_freq(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {BOW_SQL}, {KEEP_SQL} SELECT word FROM keep")
 def keep_words(spark: SparkSession, sf: str) -> DataFrame:
-    return vocabulary.keep_words(document_bow(spark, sf), DROP_FREQ)
+    return vocabulary.keep_words(stage(document_bow(spark, sf), "bow"), DROP_FREQ)
 
 
 COMMON_SQL = f"""WITH {BOW_SQL}, {KEEP_SQL}
@@ -431,8 +452,8 @@ def metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def split_bow(spark: SparkSession, sf: str, label: str = "quality") -> tuple[DataFrame, DataFrame]:
     """Training and validation, every fifth document, with a class from ``labels`` or, ``lang``, the table itself."""
-    docs = read_table(spark, sf, "documents", "doc_id", "lang", "text")
-    unique = ids_unique(docs, "doc_id")
+    docs = read_documents(spark, sf, "doc_id", "lang", "text")
+    unique = ids_unique(read_table(spark, sf, "documents", "doc_id"), "doc_id")
     if label == "lang":
         docs = docs.withColumnRenamed("lang", "label")
     else:
@@ -623,6 +644,23 @@ def stage_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return docvectors.to_csv_columns(packed, fitted.stages[1].getDictionarySize(), keys=["doc_id"])
 
 
+@query(JOB_SQL)
+def pipeline_idf_chi2(spark: SparkSession, sf: str) -> DataFrame:
+    """The preprocessing job as a pipeline of five stages on the long table, saved and loaded before use."""
+    training, validation = (df.withColumn("doc_id", F.col("doc_id").cast("string")) for df in split_bow(spark, sf))
+    folder = staged_folder(spark, "pipeline")
+    long_pipeline(DROP_FREQ, MIN_DOC_FREQ, NUM_TOP_FEATURES, fileCol="doc_id").fit(training).save(folder)
+    model = PipelineModel.load(folder)
+    parts = [
+        model.transform(df).select(F.lit(name).alias("split"), F.col("doc_id").cast("bigint"), "label", "num_features", "indices", "values")
+        for name, df in (("training", training), ("validation", validation))
+    ]
+    total = F.round(F.aggregate("values", F.lit(0.0), lambda total, v: total + v), DIGITS).alias("value_sum")
+    return parts[0].unionByName(parts[1]).select(
+        "split", "doc_id", "label", "num_features", F.array_join("indices", ",").alias("word_indices_str"), total
+    )
+
+
 # --- directories of raw files --------------------------------------------------------------------------------------
 
 # Every 11th document is in a directory that names no class, every 13th in one whose class has no letters.
@@ -637,7 +675,7 @@ def write_documents(spark: SparkSession, sf: str, marked: bool, sets: bool) -> s
     folder = F.expr(FOLDER_SQL)
     if sets:
         folder = F.concat(F.when(F.col("doc_id") % 5 != 0, TRAINING).otherwise(VALIDATION), F.lit("/"), folder)
-    bow = bow_from_text(read_table(spark, sf, "documents", "doc_id", folder.alias("folder"), "text"), keep=["folder"])
+    bow = bow_from_text(read_documents(spark, sf, "doc_id", folder.alias("folder"), "text"), keep=["folder"])
     number = F.col("doc_id").cast("string")
     extra = F.concat(F.lit("doc#"), number, F.lit(" 1"), F.expr(BAD_LINES)) if marked else None
     content = stage(raw_documents(bow, extra=extra), "raw-content")

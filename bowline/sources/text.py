@@ -15,6 +15,26 @@ def read_table(spark: SparkSession, directory: str, name: str, *columns: str | C
     return table.select(*columns) if columns else table
 
 
+# A table of one large row group is scanned by one task. Tables up to SPREAD_TABLE bytes are small enough to be dealt
+# again, by document, to a task per SPREAD_TASK bytes; larger ones have row groups enough and stay where they are.
+SPREAD_TABLE, SPREAD_TASK = 1 << 30, 2 << 20
+
+
+def read_documents(
+    spark: SparkSession, directory: str, *columns: str | Column, doc: str = "doc_id", tasks: int | None = None
+) -> DataFrame:
+    """Columns of ``documents``, dealt by document to ``tasks``, by default as many as the bytes of its files ask for.
+
+    Only the plan depends on the number of tasks, no result does. With ``tasks=0`` the scan stays as it is.
+    """
+    table = read_table(spark, directory, "documents")
+    picked = table.select(*columns) if columns else table
+    if tasks is None:
+        size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        tasks = -(-size // SPREAD_TASK) if SPREAD_TASK < size <= SPREAD_TABLE else 0
+    return picked.repartition(tasks, doc) if tasks else picked
+
+
 def ids_unique(table: DataFrame, doc: str) -> bool:
     """Whether every document has one row. Reads the id column only."""
     return table.groupBy(doc).count().filter("count > 1").isEmpty()
@@ -74,8 +94,8 @@ def bow_from_text(
 
 def document_bow(spark: SparkSession, directory: str, *keep: str) -> DataFrame:
     """Bag of words of the whole ``documents`` table."""
-    docs = read_table(spark, directory, "documents", "doc_id", *keep, "text")
-    return bow_from_text(docs, keep=keep)
+    docs = read_documents(spark, directory, "doc_id", *keep, "text")
+    return bow_from_text(docs, keep=keep, unique=ids_unique(read_table(spark, directory, "documents", "doc_id"), "doc_id"))
 
 
 def labelled_bow(
@@ -86,7 +106,7 @@ def labelled_bow(
     Labels are joined to whole documents, before their words are unfolded: one per document, however often the label
     table repeats it. ``how="left"`` keeps unlabelled ones.
     """
-    docs = read_table(spark, directory, "documents", "doc_id", "text")
+    docs = read_documents(spark, directory, "doc_id", "text")
     found = read_table(spark, directory, "labels") if labels is None else labels
     found = one_label(found.select("doc_id", F.col(label).alias("label")))
-    return bow_from_text(docs.join(found, "doc_id", how), keep=["label"], unique=ids_unique(docs, "doc_id"))
+    return bow_from_text(docs.join(found, "doc_id", how), keep=["label"], unique=ids_unique(read_table(spark, directory, "documents", "doc_id"), "doc_id"))

@@ -13,7 +13,7 @@ from tests.conftest import DATA
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 )
-TYPES = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
+TYPES = {"INTEGER": "int", "BIGINT": "bigint", "BOOLEAN": "boolean", "DOUBLE": "double", "VARCHAR": "string"}
 WITHOUT_SQL = {
     "train_softmax",
     "train_softmax_sparse",

@@ -157,3 +157,17 @@ def test_vocabulary_in_one_pass_equals_filter_then_dictionary(spark):
     one = vocabulary.fit_vocabulary(df, 0.001)
     two = vocabulary.fit_dictionary(vocabulary.drop_common(df, 0.001))
     assert rows_of(one.table.select("word", "word_index")) == rows_of(two.table.select("word", "word_index"))
+
+
+def test_document_sketches_of_slices_merge(spark):
+    rows = spark.range(50_000).selectExpr("id % 20000 AS doc_id", "'w' AS word")
+    slices = [vocabulary.document_sketch(rows.filter(f"doc_id % 3 = {n}")) for n in range(3)]
+    merged = vocabulary.merge_document_sketches(slices[0].unionByName(slices[1]).unionByName(slices[2]))
+    whole = vocabulary.merge_document_sketches(vocabulary.document_sketch(rows))
+    row, other = merged.first(), whole.first()
+    assert row["estimate"] == pytest.approx(other["estimate"], rel=1e-6)
+    assert abs(row["estimate"] - 20_000) <= 4 * vocabulary.sketch_error() * 20_000
+    again = vocabulary.merge_document_sketches(merged.select("sketch").unionByName(slices[0])).first()
+    assert again["estimate"] == row["estimate"]  # a slice that is merged twice counts once
+    names = rows.selectExpr("cast(doc_id as string) AS doc_id", "word").limit(0)
+    assert vocabulary.merge_document_sketches(vocabulary.document_sketch(names)).first()["estimate"] == 0
