@@ -354,6 +354,89 @@ def local_training(network: Network, weights: np.ndarray, speed: np.ndarray, bat
     return run
 
 
+def loss_and_gradient(data: DataFrame, network: Network, flat: np.ndarray) -> tuple[float, np.ndarray]:
+    """Mean loss of all documents at the weights ``flat``, penalty included, and its gradient; one pass over ``data``.
+
+    Rows stay as sparse as they are: a task multiplies the entries of an Arrow batch and adds up one gradient.
+    """
+    width = max(network.layers[1:])
+    shared = data.sparkSession.sparkContext.broadcast(flat)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gradient, loss, docs = np.zeros(network.num_parameters), 0.0, 0
+        for batch in batches:
+            for rows in batch_rows(batch).slices(width):
+                loss += add_gradient(network, shared.value, rows, gradient)
+                docs += len(rows.lengths)
+        if docs:
+            yield from emit_blocks(gradient, loss, docs)
+
+    rows = data.select("indices", "values", "class_id")
+    total, loss, docs = gather(rows.mapInArrow(run, PART_SCHEMA), len(flat))
+    shared.destroy()
+    if not docs:
+        raise ValueError("there are no training documents")
+    total /= docs
+    return loss / docs + add_penalty(network, flat, total), total
+
+
+def two_loops(gradient: np.ndarray, steps: list[np.ndarray], changes: list[np.ndarray]) -> np.ndarray:
+    """The inverse Hessian, as far as the last steps and the changes of the gradient tell it, times the gradient."""
+    q, factors = gradient.copy(), []
+    for s, y in zip(reversed(steps), reversed(changes), strict=True):
+        factors.append((s @ q) / (y @ s))
+        q -= factors[-1] * y
+    if steps:
+        q *= (steps[-1] @ changes[-1]) / (changes[-1] @ changes[-1])
+    for s, y, factor in zip(steps, changes, reversed(factors), strict=True):
+        q += (factor - (y @ q) / (y @ s)) * s
+    return q
+
+
+def fit_lbfgs(
+    data: DataFrame,
+    network: Network,
+    iterations: int,
+    memory: int = 10,
+    tolerance: float = 1e-7,
+    initial: np.ndarray | None = None,
+) -> TrainedNetwork:
+    """Train by limited-memory BFGS; ``data`` as for ``fit_network``, read once per trial of a step.
+
+    The driver holds the weights and ``memory`` steps with their changes of the gradient. Ends after ``iterations``, or
+    when the gradient or the gain is within ``tolerance``. ``losses``: before the first and after every iteration.
+    """
+    flat = network.initial() if initial is None else np.array(initial, float)
+    loss, gradient = loss_and_gradient(data, network, flat)
+    losses, steps, changes = [loss], [], []
+    for _ in range(iterations):
+        if np.abs(gradient).max() <= tolerance:
+            break
+        direction = -two_loops(gradient, steps, changes)
+        slope = float(direction @ gradient)
+        if slope >= 0:  # not downhill: begin again
+            steps, changes, direction = [], [], -gradient
+            slope = float(direction @ gradient)
+        size = 1.0 if steps else min(1.0, 1.0 / float(np.abs(gradient).sum()))
+        for _ in range(30):
+            moved = flat + size * direction
+            new_loss, new_gradient = loss_and_gradient(data, network, moved)
+            if new_loss <= loss + 1e-4 * size * slope:
+                break
+            size /= 2
+        else:
+            break
+        s, y = moved - flat, new_gradient - gradient
+        if s @ y > 1e-12 * float(y @ y):
+            steps, changes = [*steps, s][-memory:], [*changes, y][-memory:]
+        gain = loss - new_loss
+        flat, loss, gradient = moved, new_loss, new_gradient
+        losses.append(loss)
+        if gain <= tolerance * max(1.0, abs(loss)):
+            break
+    return TrainedNetwork(network, flat, losses)
+
+
 def fit_network(
     data: DataFrame,
     network: Network,
@@ -386,19 +469,6 @@ def fit_network(
         data = deal(data, workers, key, batches)
     columns = ["indices", "values", "class_id"] + ["_batch"] * (sync == "average")
     data = data.select(*columns)
-    width = max(network.layers[1:])
-
-    def full_batch(shared):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            gradient, loss, docs = np.zeros(network.num_parameters), 0.0, 0
-            for batch in batches:
-                for rows in batch_rows(batch).slices(width):
-                    loss += add_gradient(network, shared.value, rows, gradient)
-                    docs += len(rows.lengths)
-            if docs:
-                yield from emit_blocks(gradient, loss, docs)
-
-        return run
 
     def local_steps(shared):
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,13 +481,8 @@ def fit_network(
 
     for _ in range(epochs):
         if sync == "gradient":
-            shared = context.broadcast(flat)
-            total, loss, docs = gather(data.mapInArrow(full_batch(shared), PART_SCHEMA), len(flat))
-            shared.destroy()
-            if not docs:
-                raise ValueError("there are no training documents")
-            total /= docs
-            losses.append(loss / docs + add_penalty(network, flat, total))
+            loss, total = loss_and_gradient(data, network, flat)
+            losses.append(loss)
             nesterov_step(network, flat, velocity, total)
             continue
         epoch_loss, epoch_docs = 0.0, 0

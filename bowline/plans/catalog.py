@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +16,9 @@ from bowline.operators import docvectors, evaluate, selection, vocabulary, weigh
 from bowline.operators.long_stages import long_pipeline
 from bowline.operators.stages import CommonElementFilter, WordCountToVec
 from bowline.operators.vocabulary import WordTable
+from bowline.operators.trainer import Network, loss_and_gradient
 from bowline.plans.classification import class_count as count_classes
-from bowline.plans.classification import classify, classify_directory
+from bowline.plans.classification import class_list, classify, classify_directory
 from bowline.plans.preprocessing import fit_preprocessing, preprocess, preprocess_directory
 from bowline.plans.training_sql import Plan, predictions_ctes, training_ctes
 from bowline.sources.processed import read_processed, write_processed
@@ -510,6 +513,11 @@ def train_softmax(spark: SparkSession, sf: str) -> DataFrame:
     return trained(spark, sf, "softmax", 10).metrics()
 
 
+@query()
+def train_softmax_mlp(spark: SparkSession, sf: str) -> DataFrame:
+    return trained(spark, sf, "softmax", 10, solver="mlp").metrics()
+
+
 @query()
 def train_softmax_sparse(spark: SparkSession, sf: str) -> DataFrame:
     return trained(spark, sf, "softmax", 10, sparse=True).metrics()
@@ -558,6 +566,51 @@ SELECT split, CAST(sum(support) AS BIGINT) AS num_docs, round(sum(correct) / CAS
 FROM ratios GROUP BY split"""
 
 
+GRADIENT_SQL = f"""WITH {job_tables_sql(BY_LANG)},
+classes_of AS (SELECT quality, row_number() OVER (ORDER BY quality) - 1 AS j FROM (SELECT DISTINCT quality FROM known WHERE doc_id % 5 <> 0)),
+sizes AS (SELECT (SELECT count(*) FROM numbered) AS n_features, (SELECT count(*) FROM classes_of) AS k,
+  (SELECT count(*) FROM known WHERE doc_id % 5 <> 0) AS n_docs),
+weights_of AS (
+  SELECT i.range AS i, j.range AS j, 3.0 * sqrt(2.0 / (SELECT n_features + k FROM sizes))
+    * (((i.range * 7 + 3) % 16 + 0.5) / 8.0 - 1.0) * (((j.range * 5 + 1) % 16 + 0.5) / 8.0 - 1.0) AS w
+  FROM range((SELECT n_features FROM sizes)) i, range((SELECT k FROM sizes)) j),
+entries AS (SELECT doc_id, feature AS i, idf AS value FROM hit WHERE doc_id % 5 <> 0),
+z AS (
+  SELECT t.doc_id, c.j, t.j AS class_id, coalesce(s.z, 0.0) AS z
+  FROM (SELECT k.doc_id, c.j FROM known k JOIN classes_of c USING (quality) WHERE k.doc_id % 5 <> 0) t CROSS JOIN classes_of c
+  LEFT JOIN (SELECT doc_id, j, sum(value * w) AS z FROM entries JOIN weights_of USING (i) GROUP BY doc_id, j) s
+    ON s.doc_id = t.doc_id AND s.j = c.j),
+p AS (SELECT doc_id, j, class_id, z - ln(sum(exp(z)) OVER (PARTITION BY doc_id)) AS logp FROM z),
+deltas AS (SELECT doc_id, j, exp(logp) - CASE WHEN j = class_id THEN 1.0 ELSE 0.0 END AS d FROM p),
+parts AS (
+  SELECT i, j, sum(value * d) AS g FROM entries JOIN deltas USING (doc_id) GROUP BY i, j
+  UNION ALL SELECT i, j, 0.0 FROM weights_of UNION ALL SELECT -1, j, sum(d) FROM deltas GROUP BY j),
+total AS (SELECT -sum(logp) / (SELECT n_docs FROM sizes) + (SELECT 0.5 * 0.0001 * sum(w * w) FROM weights_of) AS loss FROM p WHERE j = class_id)
+SELECT CAST(i AS INTEGER) AS feature, CAST(j AS INTEGER) AS class_id,
+  round(sum(g) / any_value(n_docs) + coalesce(any_value(0.0001 * w), 0.0), {DIGITS}) AS gradient, round(any_value(loss), {DIGITS}) AS loss
+FROM parts LEFT JOIN weights_of USING (i, j), sizes, total GROUP BY i, j"""
+
+
+@query(GRADIENT_SQL)
+def softmax_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """Loss and gradient of softmax regression at separable weights; feature -1 is the bias."""
+    model, training, _ = preprocess(*split_bow(spark, sf, "lang"), num_top_features=NUM_TOP_FEATURES)
+    classes = class_list(training)
+    ids = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, i)])
+    rows = stage(training.select("indices", "values", F.element_at(ids, F.col("label")).alias("class_id")), "rows")
+    network = Network((model.num_features, len(classes)), start="separable")
+    loss, gradient = loss_and_gradient(rows, network, network.initial())
+    # Weights and gradient of the one layer are on the driver anyway: numbers in order, the bias last.
+    cells = spark.createDataFrame(pa.table({"at": np.arange(len(gradient)), "gradient": gradient}))
+    feature = F.floor(F.col("at") / len(classes)).cast("int")
+    return cells.select(
+        F.when(feature == model.num_features, -1).otherwise(feature).alias("feature"),
+        (F.col("at") % len(classes)).cast("int").alias("class_id"),
+        F.round("gradient", DIGITS).alias("gradient"),
+        F.lit(round(loss, DIGITS)).alias("loss"),
+    )
+
+
 def rounded_metrics(found) -> DataFrame:
     return rounded(found.metrics(), "accuracy", "precision", "recall", "f1")
 

@@ -13,12 +13,13 @@ from pyspark.sql.types import StructField, StructType
 from bowline.functions.vectors import vector_struct
 from bowline.operators import evaluate
 from bowline.operators.docvectors import feature_count, from_csv_columns
-from bowline.operators.trainer import Network, TrainedNetwork, fit_network
+from bowline.operators.trainer import Network, TrainedNetwork, fit_lbfgs, fit_network
 from bowline.sources.processed import read_processed
 from bowline.sources.raw import TRAINING, VALIDATION
 from bowline.staging import staged_folder
 
 KINDS = ("softmax", "shallow", "deep", "average")
+SOLVERS = ("lbfgs", "mlp")
 
 
 @dataclass(frozen=True)
@@ -71,6 +72,7 @@ def classify(
     label: str = "label",
     hidden: int | None = None,
     sparse: bool = False,
+    solver: str = "lbfgs",
     batch_size: int = 16,
     workers: int = 8,
     batches: int | None = None,
@@ -79,9 +81,9 @@ def classify(
 ) -> Classification:
     """Train on ``(label, indices, values)``; other columns are carried along to the predictions.
 
-    ``softmax``: MLlib's perceptron with layers [features, classes] and ``epochs`` iterations. It turns documents
-    into dense rows; with ``sparse=True`` the same model, multinomial logistic regression, is fitted by MLlib on
-    sparse rows instead, for tables too wide or long to densify.
+    ``softmax``: a perceptron with layers [features, classes] and ``epochs`` iterations of L-BFGS on the sparse rows.
+    ``solver="mlp"`` fits it by MLlib's perceptron, which turns documents into dense rows, ``sparse=True`` by MLlib's
+    multinomial logistic regression; neither has the penalty of ``Network``.
     ``shallow``: features -> classes -> classes. ``deep``: features -> ``hidden`` (half the features) -> classes ->
     classes. ``average``: ``shallow``, trained by averaging the weights of ``workers`` learners; ``batches`` and
     ``average_every`` are those of ``fit_network``, and the other columns say which documents are the same.
@@ -90,6 +92,8 @@ def classify(
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {', '.join(KINDS)}")
+    if solver not in SOLVERS:
+        raise ValueError(f"solver must be one of {', '.join(SOLVERS)}")
     training = training.filter(F.col(label).isNotNull())
     classes = class_list(training, label)
     if not classes:
@@ -98,7 +102,12 @@ def classify(
         "training": stage_vectors(training, num_features, classes, label, "training"),
         "validation": stage_vectors(validation, num_features, classes, label, "validation"),
     }
-    if kind == "softmax":
+    if kind == "softmax" and solver == "lbfgs" and not sparse:
+        network = Network((num_features, len(classes)), **constants)
+        rows, validation_rows = (vectors.as_arrays() for vectors in sets.values())
+        model = fit_lbfgs(rows, network, epochs)
+        scored = [model.predict(df, "prediction") for df in (rows, validation_rows)]
+    elif kind == "softmax":
         model, scored = run_softmax(sets, num_features, len(classes), epochs, sparse, constants.get("seed", 0))
     else:
         middle = (num_features // 2 if hidden is None else hidden,) if kind == "deep" else ()

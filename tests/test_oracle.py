@@ -16,6 +16,7 @@ TABLES = (
 TYPES = {"INTEGER": "int", "BIGINT": "bigint", "BOOLEAN": "boolean", "DOUBLE": "double", "VARCHAR": "string"}
 WITHOUT_SQL = {
     "train_softmax",
+    "train_softmax_mlp",
     "train_softmax_sparse",
     "predict_softmax",
 }

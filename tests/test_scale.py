@@ -13,7 +13,7 @@ from bowline.staging import TableSize, stage
 from bowline.plans import catalog
 from tests.conftest import DATA
 
-TRAINED = {"train_softmax", "train_softmax_sparse", "train_shallow", "train_average", "train_deep", "train_languages", "predict_softmax", "job_classify", "losses_average", "losses_shallow", "predict_average", "dir_classify"}
+TRAINED = {"train_softmax", "train_softmax_sparse", "train_shallow", "train_average", "train_deep", "train_languages", "predict_softmax", "job_classify", "losses_average", "losses_shallow", "predict_average", "dir_classify", "train_softmax_mlp", "softmax_gradient"}
 
 
 def plan_of(df) -> str:

@@ -12,7 +12,16 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from bowline.operators import evaluate, trainer
-from bowline.operators.trainer import Network, Rows, add_gradient, add_penalty, fit_network, log_probabilities, nesterov_step
+from bowline.operators.trainer import (
+    Network,
+    Rows,
+    add_gradient,
+    add_penalty,
+    fit_lbfgs,
+    fit_network,
+    log_probabilities,
+    nesterov_step,
+)
 from bowline.plans.classification import classify
 from tests.conftest import rows_of
 
@@ -239,6 +248,32 @@ def test_separable_weights(outputs):
         Network((3, 2), start="other")
 
 
+def test_lbfgs_finds_the_optimum(spark):
+    rows = documents(docs=120)
+    network = Network((20, 3), l2=0.05)
+    data = class_rows(spark, rows, 3).coalesce(3).cache()
+    model = fit_lbfgs(data, network, 60)
+    loss, gradient = trainer.loss_and_gradient(data, network, model.flat)
+    assert np.abs(gradient).max() < 1e-4 and loss == pytest.approx(model.losses[-1])
+    assert model.losses == sorted(model.losses, reverse=True)
+    slow = fit_network(data, Network((20, 3), l2=0.05, learning_rate=0.3), 60)
+    assert model.losses[-1] <= slow.losses[-1]
+    again = fit_lbfgs(data, network, 5, initial=model.flat)
+    assert again.losses[-1] == pytest.approx(model.losses[-1], abs=1e-6)
+    data.unpersist()
+
+
+def test_two_loops_solve_a_quadratic():
+    rng = np.random.default_rng(1)
+    a = rng.standard_normal((6, 6))
+    a = a @ a.T + np.eye(6)
+    steps = list(np.linalg.eigh(a)[1].T)  # conjugate directions: with all of them the inverse is exact
+    changes = [a @ s for s in steps]
+    g = rng.standard_normal(6)
+    assert trainer.two_loops(g, steps, changes) == pytest.approx(np.linalg.solve(a, g))
+    assert np.array_equal(trainer.two_loops(g, [], []), g)
+
+
 def test_prediction_equals_the_forward_pass(spark):
     rows = documents()
     network = Network((20, 10, 3, 3), seed=2)
@@ -262,6 +297,7 @@ def test_no_documents_and_oversized_networks(spark):
     [
         ("softmax", 30, {}),
         ("softmax", 30, {"sparse": True}),
+        ("softmax", 30, {"solver": "mlp"}),
         ("shallow", 60, {"learning_rate": 0.3}),
         ("deep", 60, {"learning_rate": 0.3}),
         ("average", 30, {"learning_rate": 0.1}),
@@ -288,6 +324,8 @@ def test_training_without_epochs_and_bad_arguments(spark):
         assert classify(df, df, 20, kind).metrics().count() == 2
     with pytest.raises(ValueError, match="kind must be"):
         classify(df, df, 20, "other")
+    with pytest.raises(ValueError, match="solver"):
+        classify(df, df, 20, solver="other")
     with pytest.raises(ValueError, match="no labelled"):
         classify(df.withColumn("label", F.lit(None).cast("int")), df, 20)
 
