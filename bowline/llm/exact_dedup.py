@@ -1,10 +1,14 @@
-"""Exact deduplication: sorted digest runs, merged in a tree of rounds.
+"""Exact deduplication: sorted digest runs, merged in a tree of binomial rounds.
 
-Every input partition makes one run: a digest per row, sorted. A round merges ``fan_in`` neighbouring runs into one:
-rows of equal digest become one row with the smallest identifier and the summed count. A round is spread over the
-cluster by digest, so that even the last run is never in one task, and its partial aggregation folds the copies of a
-text before they travel. A digest is SHA-256 of the normalised text; at every level rows merge only if the length
-and a second, independent hash agree too, so that a colliding digest never drops a text.
+Every input partition makes one run: a digest per row, sorted and written down, equal digests folded into one row with
+the smallest identifier and a count. In each round the runs whose numbers differ in the next bit are exchanged: the odd
+one goes to where the even one is, the two are brought into one order of digests, and of rows that meet as neighbours
+with equal digests the smallest identifier stays and the counts are added. So n runs are one after log2(n) rounds, each
+written down; a larger ``fan_in`` merges more runs at once. Runs are cut into slices of the digests' range, the same for
+all, and slices merge independently: even the last run is in as many tasks as its size asks for.
+
+A digest is SHA-256 of the normalised text; at every level rows merge only if the length and a second, independent hash
+agree too, so that a colliding digest never drops a text.
 """
 
 from __future__ import annotations
@@ -15,7 +19,8 @@ from pyspark.sql import functions as F
 from bowline.llm.common import SPACES, join_split_hot, text_or_empty, unused
 from bowline.staging import stage
 
-FAN_IN = 16
+FAN_IN = 2
+SLICE_ROWS = 1 << 20  # documents per slice of the digests' range
 PROOF = ("digest", "length", "second")
 
 
@@ -35,19 +40,30 @@ def digest_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     return stage(rows.sortWithinPartitions("digest", "doc_id"), "digest-runs")
 
 
-def merge_runs(runs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+def merged_level(rows: DataFrame) -> DataFrame:
+    """Runs of equal number as one: in the order of the digests, of equal neighbours the first, with all their counts."""
+    equal = Window.partitionBy("slice", "run", *PROOF)
+    first = equal.orderBy(F.col("keep_id").asc_nulls_last())
+    met = rows.repartition("slice", "run").withColumns(
+        {"nth": F.row_number().over(first), "group_size": F.sum("group_size").over(equal)}
+    )
+    return met.filter("nth = 1").drop("nth")
+
+
+def merge_runs(runs: DataFrame, total: int, fan_in: int = FAN_IN) -> DataFrame:
     """One row per text: ``keep_id``, the smallest identifier (null if all are), and ``group_size``."""
     left = (runs.agg(F.max("run")).first()[0] or 0) + 1
-    level = runs.select("run", *PROOF, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
-    while True:
-        level = (
-            level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-            .groupBy("run", *PROOF)
-            .agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-        )
+    slices = 1 << max(0, (total // SLICE_ROWS).bit_length())
+    lead = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
+    cut = F.floor(lead * slices / F.lit(1 << 32)).cast("int")
+    # Copies inside a run are folded before anything travels.
+    level = runs.withColumn("slice", cut).groupBy("slice", "run", *PROOF)
+    level = stage(level.agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "digest-level")
+    while left > 1:
+        level = level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
+        level = stage(merged_level(level), "digest-level")
         left = -(-left // fan_in)
-        if left <= 1:
-            return level.drop("run")
+    return level.drop("run", "slice")
 
 
 def decide(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fan_in: int = FAN_IN) -> DataFrame:
@@ -59,7 +75,7 @@ def decide(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fan_in:
     """
     runs = digest_runs(docs, text, doc_id)
     total = runs.count()
-    merged = merge_runs(runs, fan_in)
+    merged = merge_runs(runs, total, fan_in)
     # Rows that repeat identifier and text are told apart only by a number.
     rows = runs.groupBy("doc_id", *PROOF).agg(F.count("*").alias("times"))
     joined = join_split_hot(rows, merged, PROOF, "group_size", total)

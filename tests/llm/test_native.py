@@ -370,3 +370,28 @@ def test_shards_are_the_same_however_the_rows_come(spark):
         mine = sorted((slot, doc) for doc, (s, slot) in first.items() if s == shard)
         assert [slot for slot, _ in mine] == list(range(len(mine)))
         assert [doc for _, doc in mine] != sorted(doc for _, doc in mine)
+
+
+@pytest.mark.parametrize(("partitions", "fan_in", "rounds"), [(1, 2, 0), (2, 2, 1), (5, 2, 3), (9, 3, 2)])
+def test_exact_dedup_merges_runs_in_rounds(spark, monkeypatch, partitions, fan_in, rounds):
+    seen, original = [], exact_dedup.stage
+
+    def counting(df, name):
+        out = original(df, name)
+        if name == "digest-level":
+            seen.append((out.select("run").distinct().count(), df._jdf.queryExecution().executedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(exact_dedup, "stage", counting)
+    monkeypatch.setattr(exact_dedup, "SLICE_ROWS", 50)
+    rows = [(i, f"text {i % 40}" if i % 3 else "hot") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.decide(df, fan_in=fan_in).collect()}
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(t, []).append(i)
+    assert got == {i: (min(groups[t]), len(groups[t])) for i, t in rows}
+    assert len(seen) == rounds + 1 and [n for n, _ in seen][-1] == 1
+    assert all(a > b for (a, _), (b, _) in zip(seen, seen[1:], strict=False))
+    for _, plan in seen[1:]:
+        assert plan.count("Exchange") == 1 and "Window" in plan and "Sort" in plan
