@@ -39,18 +39,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base counts and verdict of every document; cutoffs certified by language on ``labels``."""
-    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+    """Base counts and verdict of every document; combined cutoffs certified by language on ``labels``."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_rules.judge(docs, labels, combined=True).select(
         "doc_id", *quality_rules.COUNTS, "base_failed", "kept"
     )
 
 
+# The cutoff of every signal in every step of the combined rules.
 GRID_SQL = ", ".join(
-    f"('{signal}', {rank}, CAST({cutoff} AS DOUBLE))"
+    f"('{signal}', {rank}, CAST({cutoffs[min(rank, len(cutoffs) - 1)]} AS DOUBLE))"
     for signal, cutoffs in quality_rules.GRID.items()
-    for rank, cutoff in enumerate(cutoffs)
+    for rank in range(max(map(len, quality_rules.GRID.values())))
 )
-RISK_SQL = f"CAST({quality_rules.TOTAL_RISK / len(quality_rules.SIGNALS)!r} AS DOUBLE)"
+RISK_SQL = f"CAST({quality_rules.TOTAL_RISK!r} AS DOUBLE)"
 
 ORACLE["op1_quality_rules"] = rf"""
 WITH texts AS (SELECT doc_id, lang, coalesce(text, '') AS x FROM documents),
@@ -89,26 +91,29 @@ split AS (
     SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id
 ), holdout AS (SELECT * FROM signals JOIN verdicts USING (doc_id) WHERE NOT base_failed
 ), grid(signal, rank, cutoff) AS (VALUES {GRID_SQL}
+), steps AS (
+    SELECT doc_id, lang, good, rank, bool_or(v >= cutoff) AS hit FROM holdout JOIN grid USING (signal)
+    GROUP BY doc_id, lang, good, rank
 ), tried AS (
-    SELECT lang, signal, rank, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND v >= cutoff) AS k,
-           count(*) FILTER (NOT good) AS bad, count(*) FILTER (NOT good AND v >= cutoff) AS caught
-    FROM holdout JOIN grid USING (signal) GROUP BY lang, signal, rank, cutoff
+    SELECT lang, rank, count(*) FILTER (good) AS n, count(*) FILTER (good AND hit) AS k,
+           count(*) FILTER (NOT good) AS bad, count(*) FILTER (NOT good AND hit) AS caught
+    FROM steps GROUP BY lang, rank
 ), valued AS (
     SELECT *, CASE WHEN k <= n * {RISK_SQL} THEN list_sum(list_transform(range(0, k + 1), lambda i:
                exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK_SQL}) + (n - i) * ln(1 - {RISK_SQL}))))
                ELSE 1.0 END AS p
     FROM tried
 ), tested AS (
-    SELECT *, sum(CAST(p > {quality_rules.ERROR} / ({len(quality_rules.SIGNALS)} * (SELECT count(DISTINCT coalesce(lang, '-')) FROM holdout))
-               AS INTEGER)) OVER (PARTITION BY lang, signal ORDER BY rank) AS failures,
+    SELECT *, sum(CAST(p > {quality_rules.ERROR} / (SELECT count(DISTINCT coalesce(lang, '-')) FROM holdout)
+               AS INTEGER)) OVER (PARTITION BY lang ORDER BY rank) AS failures,
            coalesce(caught / nullif(bad, 0) - k / nullif(n, 0), 0.0) AS gain
     FROM valued
 ), best AS (
-    SELECT lang, signal, cutoff FROM tested WHERE failures = 0 AND n > 0 AND gain > 0
-    QUALIFY row_number() OVER (PARTITION BY lang, signal ORDER BY gain DESC, rank) = 1
+    SELECT lang, rank FROM tested WHERE failures = 0 AND n > 0 AND gain > 0
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY gain DESC, rank) = 1
 ), rejected AS (
-    SELECT DISTINCT doc_id FROM signals s JOIN best b
-    ON s.signal = b.signal AND s.lang IS NOT DISTINCT FROM b.lang AND s.v >= b.cutoff
+    SELECT DISTINCT doc_id FROM signals s JOIN best b ON s.lang IS NOT DISTINCT FROM b.lang
+    JOIN grid g ON g.signal = s.signal AND g.rank = b.rank AND s.v >= g.cutoff
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected WHERE doc_id IS NOT NULL) AS kept

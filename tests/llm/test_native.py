@@ -395,3 +395,33 @@ def test_exact_dedup_merges_runs_in_rounds(spark, monkeypatch, partitions, fan_i
     assert all(a > b for (a, _), (b, _) in zip(seen, seen[1:], strict=False))
     for _, plan in seen[1:]:
         assert plan.count("Exchange") == 1 and "Window" in plan and "Sort" in plan
+
+
+def test_combined_rules_act_in_every_stratum_as_their_sql_says(spark):
+    """1,200 labelled documents in each of three languages, the junk of each caught by another signal."""
+    import duckdb
+
+    from bowline.llm import queries
+
+    rng, rows, labels = random.Random(6), [], []
+    junk = {"en": "$$ ## %%", "de": "ha! what!? no!", "fr": "ABC DEF GHI"}
+    for lang in junk:
+        for k in range(1200):
+            words = [f"w{rng.randrange(500)}" for _ in range(80)]
+            bad = k % 4 == 0
+            text = " ".join(words) + (f" {junk[lang]} " * 25 if bad else "") + "".join(f" {w}" for w in words[:3])
+            labels.append((len(rows), int(not bad), 0))
+            rows.append((len(rows), text, lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    judged = quality_rules.judge(docs, marks, combined=True)
+    got = {r["doc_id"]: r for r in judged.collect()}
+    con = duckdb.connect()
+    documents, table = docs.toPandas(), marks.toPandas()
+    con.register("documents", documents), con.register("labels", table)
+    want = {r[0]: r[-1] for r in con.sql(queries.ORACLE["op1_quality_rules"]).fetchall()}
+    assert {i: r["kept"] for i, r in got.items()} == want
+    for lang in junk:
+        mine = [(want[i], good) for (i, _, of), (_, good, _) in zip(rows, labels, strict=True) if of == lang]
+        assert not any(kept for kept, good in mine if not good)  # the junk goes
+        assert sum(not kept for kept, good in mine if good) <= 0.02 * 900
