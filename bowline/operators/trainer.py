@@ -317,25 +317,84 @@ def runs(batches: np.ndarray) -> list[tuple[int, int, int]]:
     return [(int(batches[a]), a, b) for a, b in zip(bounds, bounds[1:], strict=False) if b > a]
 
 
+class LazyRows:
+    """The first layer's weights and velocities, of which a step changes the rows that its documents touch.
+
+    All other rows decay: with no gradient but that of the penalty a step takes (weight, velocity) to a fixed linear
+    combination of both. A clock per row says up to which step it is current; what it missed is made up for, by a power
+    of that 2 x 2 matrix, when the row is next used. So a step costs what its entries cost, and gives the dense result.
+    """
+
+    def __init__(self, network: Network, weights: np.ndarray, speed: np.ndarray):
+        rate, momentum = network.learning_rate, network.momentum
+        self.network, self.weights, self.speed = network, weights, speed
+        self.gradient = np.zeros_like(weights)
+        self.clock, self.now = np.zeros(len(weights), np.int64), 0
+        decay = -rate * network.l2
+        self.once = np.array([[1 + (1 + momentum) * decay, momentum * momentum], [decay, momentum]])
+        self.powers = np.eye(2)[None]
+        self.touched: list[np.ndarray] = []
+
+    def refresh(self, rows: np.ndarray) -> None:
+        """Bring rows, each named once, up to the present step."""
+        missed = self.now - self.clock[rows]
+        rows, missed = rows[missed > 0], missed[missed > 0]
+        if not len(rows):
+            return
+        while len(self.powers) <= missed.max():
+            self.powers = np.concatenate([self.powers, (self.once @ self.powers[-1])[None]])
+        m = self.powers[missed][:, :, :, None]
+        w, v = self.weights[rows], self.speed[rows]
+        self.weights[rows] = m[:, 0, 0] * w + m[:, 0, 1] * v
+        self.speed[rows] = m[:, 1, 0] * w + m[:, 1, 1] * v
+        self.clock[rows] = self.now
+
+    def use(self, indices: np.ndarray) -> None:
+        """Rows that the next documents of this step read, and add to the gradient of."""
+        rows = np.unique(indices)
+        self.refresh(rows)
+        self.touched.append(rows)
+
+    def step(self, docs: int) -> None:
+        rows = np.unique(np.concatenate([np.zeros(0, np.int64), *self.touched]))
+        n = self.network
+        gradient = self.gradient[rows] / docs + n.l2 * self.weights[rows]
+        before = self.speed[rows]
+        velocity = n.momentum * before - n.learning_rate * gradient
+        self.weights[rows] += (1.0 + n.momentum) * velocity - n.momentum * before
+        self.speed[rows] = velocity
+        self.gradient[rows] = 0.0
+        self.now += 1
+        self.clock[rows] = self.now
+        self.touched = []
+
+
 def local_training(network: Network, weights: np.ndarray, speed: np.ndarray, batch_size: int | None):
     """Steps of one learner over its documents: (weights, velocity, loss, documents) afterwards.
 
     With ``batch_size`` every so many documents are a step, otherwise those of one ``_batch`` number, however many.
     """
     width = max(network.layers[1:])
+    n, m = network.shapes[0]
+    first = n * m  # the first layer's weights lead the vector; all that follows takes dense steps
 
     def run(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, float, int]:
-        flat, velocity = weights.copy(), speed.copy()
+        flat, velocity, gradient = weights.copy(), speed.copy(), np.zeros(network.num_parameters)
+        lazy = LazyRows(network, flat[:first].reshape(n, m), velocity[:first].reshape(n, m))
+        lazy.gradient = gradient[:first].reshape(n, m)
+        others = list(zip(network.unpack(flat)[1:], network.unpack(gradient)[1:], strict=True))
         loss, docs, open_docs, open_batch = 0.0, 0, 0, None
-        gradient = np.zeros(network.num_parameters)
 
         def step() -> None:
-            nonlocal gradient, open_docs
+            nonlocal open_docs
             if open_docs:
-                gradient /= open_docs
-                add_penalty(network, flat, gradient)
-                nesterov_step(network, flat, velocity, gradient)
-                gradient, open_docs = np.zeros(network.num_parameters), 0
+                lazy.step(open_docs)
+                gradient[first:] /= open_docs
+                for (w, _), (g, _) in others:
+                    g += network.l2 * w
+                nesterov_step(network, flat[first:], velocity[first:], gradient[first:])
+                gradient[first:] = 0.0
+                open_docs = 0
 
         for batch in batches:
             for number, lo, hi in runs(batch.column("_batch").to_numpy(zero_copy_only=False)):
@@ -343,12 +402,14 @@ def local_training(network: Network, weights: np.ndarray, speed: np.ndarray, bat
                     step()
                     open_batch = number
                 for rows in batch_rows(batch.slice(lo, hi - lo)).slices(width, batch_size):
+                    lazy.use(rows.indices)
                     loss += add_gradient(network, flat, rows, gradient)
                     open_docs += len(rows.lengths)
                     docs += len(rows.lengths)
                     if batch_size:
                         step()
         step()
+        lazy.refresh(np.arange(n))
         return flat, velocity, loss, docs
 
     return run

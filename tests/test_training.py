@@ -203,6 +203,36 @@ def test_learners_by_key_batches_and_averaging_rounds(spark):
         fit_network(data, network, 1, "average", average_every=2)
 
 
+def test_lazy_rows_equal_dense_steps_and_touch_what_documents_have(monkeypatch):
+    rng = np.random.default_rng(3)
+    network = Network((5000, 4, 3), l2=0.02, seed=4)
+    rows = [(d, d % 3, sorted({int(i) for i in rng.integers(0, 5000, 6)} | {7}), None) for d in range(60)]
+    rows = [(d, y, i, [1.0 + k for k in range(len(i))]) for d, y, i, _ in rows]
+    table = pa.RecordBatch.from_pydict(
+        {"indices": [r[2] for r in rows], "values": [r[3] for r in rows], "class_id": [r[1] for r in rows], "_batch": [0] * 60}
+    )
+    refreshed, original = [], trainer.LazyRows.refresh
+
+    def counting(self, which):
+        refreshed.append(len(which))
+        original(self, which)
+
+    monkeypatch.setattr(trainer.LazyRows, "refresh", counting)
+    start, speed = network.initial(), 0.01 * rng.standard_normal(network.num_parameters)
+    flat, velocity, loss, docs = trainer.local_training(network, start, speed, 8)([table])
+    dense, v, total = start.copy(), speed.copy(), 0.0
+    for at in range(0, 60, 8):
+        part = rows[at : at + 8]
+        gradient = np.zeros(network.num_parameters)
+        total += add_gradient(network, dense, as_rows(part), gradient)
+        gradient /= len(part)
+        add_penalty(network, dense, gradient)
+        nesterov_step(network, dense, v, gradient)
+    assert flat == pytest.approx(dense, abs=1e-12) and velocity == pytest.approx(v, abs=1e-12)
+    assert loss == pytest.approx(total) and docs == 60
+    assert refreshed[-1] == 5000 and max(refreshed[:-1]) <= 8 * 7  # all of them once, at the end
+
+
 def test_learners_get_even_parts_and_copies_are_spread(spark):
     rows = spark.range(8000).selectExpr("id AS doc_id", "array(1) AS indices", "array(1.0D) AS values", "0 AS class_id")
     dealt = trainer.deal(rows, 8, ["doc_id"])
