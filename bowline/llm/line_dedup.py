@@ -47,7 +47,8 @@ def boilerplate(lines: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
     hosts = lines.groupBy("host").agg(F.count("*").alias("host_pages"))
     each = lines.select("host", F.inline(keys_of(F.array_distinct("lines"))))
     counted = each.groupBy("host", "h1", "h2").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages)
-    joined = counted.join(hosts, "host")
+    # A host of 1/1000 of all pages or more is large in lines too: its row goes to all tasks, its lines stay spread.
+    joined = join_split_hot(counted, hosts, ["host"], "host_pages", lines.count())
     return joined.filter(F.col("pages") > F.col("host_pages") * ratio).select("host", "h1", "h2", "pages")
 
 
