@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bowline.llm.common import SPACES, join_split_hot, text_or_empty, unused
-from bowline.staging import stage
+from bowline.staging import broadcast_if_small, measure, stage
 
 FAN_IN = 2
 SLICE_ROWS = 1 << 20  # documents per slice of the digests' range
@@ -90,12 +90,24 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fan
 
     Of rows that repeat identifier and text, the one whose other columns hash lowest stays.
     """
-    stay = decide(docs, text, doc_id, fan_in).filter("kept").select("doc_id", *PROOF)
+    decided = stage(decide(docs, text, doc_id, fan_in), "exact-decisions").groupBy("doc_id", *PROOF)
+    decided = decided.agg(F.count("*").alias("times"), F.max("kept").alias("stays"))
     names = unused(docs, *PROOF, "other_columns", "place")
     marked = docs.withColumns(dict(zip(names, proof_columns(text).values(), strict=False)))
-    marked = marked.withColumn(names[3], F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    same = [marked[doc_id].eqNullSafe(stay["doc_id"])]
-    same += [marked[mine] == stay[theirs] for mine, theirs in zip(names, PROOF, strict=False)]
+
+    def matching(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        """Few keys are sent to all tasks, so that the texts stay where they are; many meet them in a shuffle."""
+        keys = stage(keys.select("doc_id", *PROOF), "exact-keys")
+        same = [rows[doc_id].eqNullSafe(keys["doc_id"])]
+        same += [rows[mine] == keys[theirs] for mine, theirs in zip(names, PROOF, strict=False)]
+        return rows.join(broadcast_if_small(keys, measure(keys, "digest")), same, how)
+
+    staying = matching(marked, decided.filter("NOT stays"), "left_anti")
+    repeated = decided.filter("stays AND times > 1")
+    if repeated.isEmpty():
+        return staying.select(*docs.columns)
+    single, several = matching(staying, repeated, "left_anti"), matching(staying, repeated, "left_semi")
+    several = several.withColumn(names[3], F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     of_row = Window.partitionBy(doc_id, *names[:3]).orderBy(names[3])
-    kept = marked.join(stay, same, "left_semi").withColumn(names[4], F.row_number().over(of_row))
-    return kept.filter(F.col(names[4]) == 1).select(*docs.columns)
+    first = several.withColumn(names[4], F.row_number().over(of_row)).filter(F.col(names[4]) == 1)
+    return single.select(*docs.columns).unionByName(first.select(*docs.columns))

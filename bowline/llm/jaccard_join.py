@@ -14,8 +14,8 @@ its segment subset. If m > H, two linked sets have an equal segment subset, so s
 
 The plan with the lowest expected cost, from the number of sets and their size, is taken. Every plan finds all links.
 
-Equal sets count once, and every set has a sketch: the sums of its tokens in some buckets, so that two sets differ in at
-least as many tokens as their sketches in buckets. Sketches find groups of sets that may be linked; nothing is decided
+Equal sets count once, and every set has a sketch: one bit per bucket, whether it holds an odd number of the set's tokens,
+so that two sets differ in at least as many tokens as their sketches in bits. Sketches find groups of sets that may be linked; nothing is decided
 by them. Members of an index entry, in order of size, are held against the member before them and the first. For every
 entry that then still has members of several groups, those outside its main group are held against all others, inside
 the tasks, in blocks; a block sends out a forest of what its sketches allow, fewer pairs than it has members. So all
@@ -154,7 +154,7 @@ def fingerprints(docs: DataFrame, text: str, doc_id: str, ngram: int, threshold:
             for i, tokens in sets_of(hasher, batch.column(1), ngram):
                 n[i] = len(tokens)
                 prints[i] = print_of(tokens)
-                drawn[i] = sketch_of(tokens, buckets_of(len(tokens), threshold)).tobytes()
+                drawn[i] = parities_of(tokens, 2 * buckets_of(len(tokens), threshold)).tobytes()
             columns = [pa.array(n), pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy()), pa.array(drawn, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "p1", "p2", "sketch"])
 
@@ -206,8 +206,19 @@ def index_entries(docs: DataFrame, text: str, doc_id: str, ngram: int, plans: di
     return rows.filter("doc_id IS NOT NULL").mapInArrow(run, "entry long, n int, doc_id long")
 
 
+def parities_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    """A bit per bucket, eight to a byte: whether it has an odd number of tokens. ``buckets``: a power of two from 8."""
+    counts = np.bincount((mix(tokens ^ U64(0x3C6EF372)) & U64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little")
+
+
+def folded_parities(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch of the same set with ``size`` bytes, which is not more than it has."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size), axis=0)
+
+
 def sketch_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
-    """Sums of the tokens by bucket, as bytes; ``buckets`` is a power of two."""
+    """Sums of the tokens by bucket, as bytes; ``buckets`` is a power of two. Closer than parities, and larger."""
     mixed = mix(tokens ^ U64(0x3C6EF372))
     sums = np.bincount((mixed & U64(buckets - 1)).astype(np.int64), (mixed >> U64(40)) % U64(255) + U64(1), buckets)
     return (sums.astype(np.int64) & 255).astype(np.uint8)
@@ -323,8 +334,8 @@ def plausible(pairs: DataFrame, drawn: DataFrame, threshold: int) -> DataFrame:
             for k, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
                 if x is not None and y is not None:
                     size = min(len(x), len(y))
-                    u, v = (np.frombuffer(z, np.uint8).reshape(-1, size).sum(0, dtype=np.uint8) for z in (x, y))
-                    if np.count_nonzero(u != v) > most[k]:
+                    u, v = folded_parities(x, size), folded_parities(y, size)
+                    if np.bitwise_count(u ^ v).sum() > most[k]:
                         continue
                 good.append(k)
             yield batch.select(["a", "b"]).take(pa.array(good, pa.int32()))
@@ -384,14 +395,14 @@ def allowed(table: pa.Table, bounds: list[int], threshold: int) -> pa.RecordBatc
         folded = np.zeros((hi - lo, size), np.uint8)
         for k, x in enumerate(drawn[lo:hi]):
             if x is not None:
-                folded[k] = np.frombuffer(x, np.uint8).reshape(-1, size).sum(0, dtype=np.uint8)
+                folded[k] = folded_parities(x, size)
         blind = np.array([x is None for x in drawn[lo:hi]])
         for i in range(cut):
             right = sizes[cut:]
             fits = (tree[cut:] != tree[i]) & (np.minimum(right, sizes[i]) * 100 >= np.maximum(right, sizes[i]) * threshold)
             at = np.flatnonzero(fits) + cut
             if len(at):
-                apart = (folded[at] != folded[i]).sum(1)
+                apart = np.bitwise_count(folded[at] ^ folded[i]).sum(1, dtype=np.int64)
                 most = (100 - threshold) * (sizes[at] + sizes[i]) // (100 + threshold)
                 at = at[(apart <= most) | blind[at] | blind[i]]
                 trees, first = np.unique(tree[at], return_index=True)

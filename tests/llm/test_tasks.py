@@ -398,11 +398,11 @@ def test_sketches_never_hide_a_link():
     base = np.arange(300)
     sets = [set(rng.permutation(base)[: rng.integers(270, 300)].tolist()) for _ in range(60)]
     for i, s in enumerate(sets):
-        buckets = jaccard_join.buckets_of(len(s), threshold)
-        sketch = np.zeros(buckets, np.int64)
-        for token in s:
-            sketch[token * 7919 % buckets] += token % 255 + 1
-        rows.append((1, 0, 0, len(s), i, i, (sketch % 256).astype(np.uint8).tobytes()))
+        buckets = 2 * jaccard_join.buckets_of(len(s), threshold)
+        sketch = jaccard_join.parities_of(np.array(sorted(s), np.uint64), buckets)
+        smaller = jaccard_join.parities_of(np.array(sorted(s), np.uint64), buckets // 4)
+        assert np.array_equal(jaccard_join.folded_parities(sketch.tobytes(), len(smaller)), smaller)
+        rows.append((1, 0, 0, len(s), i, i, sketch.tobytes()))
     linked = {(i, k) for i in range(60) for k in range(i) if 100 * len(sets[i] & sets[k]) >= threshold * len(sets[i] | sets[k])}
     both = [(*r[:3], side, *r[3:]) for side in (0, 1) for r in rows]
     names = ["entry", "i", "j", "side", "n", "rep", "component", "sketch"]
