@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from bowline.sources.text import (
     read_labels,
     read_table,
 )
-from bowline.staging import stage, staged_folder
+from bowline.staging import BROADCAST_ROWS, stage, staged_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -233,6 +234,18 @@ def keep_words_join(spark: SparkSession, sf: str) -> DataFrame:
     return vocabulary.filter_common(bow, vocabulary.fit_common_words(bow, DROP_FREQ))
 
 
+def as_if_large(words: WordTable) -> WordTable:
+    """The table with a measured size beyond the broadcast limit, so that it is joined in a shuffle."""
+    return replace(words, size=replace(words.size, rows=BROADCAST_ROWS + 1))
+
+
+@query(COMMON_SQL)
+def keep_words_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same join as a shuffle, hot words under salts."""
+    bow = stage(document_bow(spark, sf), "bow")
+    return vocabulary.filter_common(bow, as_if_large(vocabulary.fit_common_words(bow, DROP_FREQ)))
+
+
 @query(f"WITH {BOW_SQL}, {KEEP_SQL}, {DICTIONARY_SQL} SELECT word, word_index FROM dictionary")
 def dictionary(spark: SparkSession, sf: str) -> DataFrame:
     bow = stage(document_bow(spark, sf), "bow")
@@ -247,6 +260,14 @@ def doc_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return all_features(spark, sf)[0]
 
 
+@query(f"WITH {FEATURES_SQL} SELECT doc_id, label, word_index, value FROM features")
+def doc_vectors_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    """The dictionary join as a shuffle."""
+    bow = stage(labelled_bow(spark, sf, "quality", "left"), "bow")
+    dictionary = as_if_large(vocabulary.fit_vocabulary(bow, DROP_FREQ))
+    return docvectors.document_features(bow, dictionary, merged=True)
+
+
 CSV_SQL = f"""WITH {FEATURES_SQL},
 size AS (SELECT CAST(count(*) AS INTEGER) AS num_features FROM dictionary)
 SELECT {{columns}} num_features,

@@ -23,7 +23,8 @@ def staging_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="bowline-")
