@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -48,16 +49,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release_staged(spark: SparkSession) -> int:
-    """Delete every table this process has staged; DataFrames and models built on them become unreadable."""
+def release_staged(spark: SparkSession, since: int = 0, keep_last: bool = False) -> int:
+    """Delete every table this process has staged; DataFrames and models built on them become unreadable.
+
+    ``since``: only those after the first so many (``staged_count``). ``keep_last``: all but the last one, the result of
+    a step whose own tables are not needed any more. Shuffle files of plans that nobody holds go as well: Spark drops
+    them when the driver's garbage is collected.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    released = 0
-    while _staged:
-        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+    kept = _staged[-1:] if keep_last and len(_staged) > since else []
+    gone = _staged[since : len(_staged) - len(kept)]
+    for name in gone:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
-        released += 1
-    return released
+    _staged[since:] = kept
+    gc.collect()
+    jvm.java.lang.System.gc()
+    return len(gone)
+
+
+def staged_count() -> int:
+    return len(_staged)
 
 
 @dataclass(frozen=True)
