@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bowline.llm import bpe, exact_dedup, jaccard_join, mixing, quality_rules
-from bowline.staging import stage
+from bowline.staging import release_staged, stage, staged_count
 
 # Encoding cannot be expressed in SQL: the pipeline is tested against plain Python instead.
 ORACLE_SQL = None
@@ -55,7 +55,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows after all stages. A stage's own tables, its input too, go when its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = staged_count()
     for name, stage_of in STAGES:
         docs = stage(stage_of(spark, docs, sf_dir), "corpus-" + name.replace(" ", "-").lower())
+        release_staged(spark, since=before, keep_last=True)
     return docs
