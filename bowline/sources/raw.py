@@ -85,9 +85,12 @@ def write_raw(documents: DataFrame, directory: str, folder: str = "folder", cont
     a file takes one record. Files are named by Spark and end in ``.txt``: read them with ``files``. ``documents`` is
     scanned once per folder: pass a written table.
     """
+    # Tasks move their files into place themselves: one after another, on the driver, takes long for many small files. A
+    # task that runs again writes files of the same names.
+    options = {"maxRecordsPerFile": 1, "mapreduce.fileoutputcommitter.algorithm.version": 2}
     for row in documents.select(folder).distinct().orderBy(folder).collect():  # one row per set and class
         mine = documents.filter(F.col(folder) == row[0]).select(content)
-        mine.write.option("maxRecordsPerFile", 1).text(f"{directory.rstrip('/')}/{row[0]}")
+        mine.write.options(**options).text(f"{directory.rstrip('/')}/{row[0]}")
 
 
 def fit_labels(bow: DataFrame, label: str = "label_str") -> DataFrame:
