@@ -515,7 +515,7 @@ def test_the_model_is_not_cut_for_speed():
     assert (lm.WIDTH, lm.HIDDEN, lm.Training().batch) == (32, 64, 16)
 
 
-def gathered_windows(df):
+def gathered_runs(df):
     file = df.sparkSession.sparkContext.broadcast(bpe.vocabulary())
     rows = df.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "text")
     return lm.gather(rows, file, 5).filter("kind = 2").collect()
@@ -524,7 +524,7 @@ def gathered_windows(df):
 def test_copies_of_a_window_spread_over_the_learners(spark):
     text = " ".join(f"word{i}" for i in range(600))
     rows = [(i if i % 2 else None, text) for i in range(300)]
-    found = gathered_windows(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    found = gathered_runs(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     learners = Counter(r["key"] % 8 for r in found)
     assert len(learners) == 8 and max(learners.values()) < 1.5 * len(found) / 8
     assert len({r["key"] for r in found}) == len(found)
@@ -532,9 +532,33 @@ def test_copies_of_a_window_spread_over_the_learners(spark):
 
 def test_every_window_trains(spark):
     text = " ".join(f"word{i}" for i in range(100))
-    found = gathered_windows(spark.createDataFrame([(i, text) for i in range(20)] + [(99, None)], "doc_id long, text string"))
+    found = gathered_runs(spark.createDataFrame([(i, text) for i in range(20)] + [(99, None)], "doc_id long, text string"))
     ids = bpe.codec_of(bpe.vocabulary()).encode([text])[0]
-    assert len(found) == 20 * -(-(len(ids) + 1) // lm.STEP) + 1
+    assert sum(r["n"] for r in found) == 20 * -(-(len(ids) + 1) // lm.STEP) + 1
+
+
+def test_runs_hold_the_windows_with_all_their_targets():
+    sequences = [np.arange(n, dtype=np.int32) + 10 for n in (0, 1, 23, 24, 100, lm.RUN * lm.STEP - 1, 3 * lm.RUN * lm.STEP)]
+    inputs, targets, starts, owners = lm.lay_out(sequences, 7, -1)
+    x, y = lm.cut(inputs, targets, starts)
+    for end in (9_000, 70_000):
+        heads, sizes, packed = lm.pack_runs(inputs, targets, starts, owners, lm.packed_type(end))
+        assert sizes.max() <= lm.RUN and len(heads) == len(packed)
+        got_x, got_y = lm.unpack_runs(packed, sizes, lm.packed_type(end))
+        assert (got_y == y).all()
+        seen = (np.arange(lm.WINDOW) < lm.WINDOW - lm.STEP) | (np.pad(y, ((0, 0), (lm.WINDOW - lm.STEP, 0))) >= 0)
+        assert (got_x[seen] == x[seen]).all()
+
+
+def test_every_row_is_one_learner(spark):
+    text = " ".join(f"word{i}" for i in range(600))
+    rows = spark.createDataFrame([(i, text) for i in range(60)], "doc_id long, text string")
+    lm.PER_LEARNER, before = 300, lm.PER_LEARNER
+    try:
+        scores = [sorted(r["score"] for r in lm.score_documents(rows.repartition(n)).collect()) for n in (2, 5)]
+    finally:
+        lm.PER_LEARNER = before
+    assert np.allclose(*scores, rtol=1e-4)
 
 
 def test_training_beats_the_prior():
