@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -241,10 +242,12 @@ def plan_mix(
     )
 
 
-def number_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
-    """(row, doc_id, source, size) of every row, written down, so that ``row`` stays the same."""
+def number_rows(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", row: str | None = None
+) -> DataFrame:
+    """(row, doc_id, source, size) of every row, written down, so that ``row``, where it is numbered here, stays the same."""
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.monotonically_increasing_id() if row is None else F.col(row)).alias("row"),
         F.col(doc_id).alias("doc_id"),
         F.col(source).cast("string").alias("source"),
         F.size(words_of(text_or_empty(text))).cast("long").alias("size"),
@@ -252,6 +255,22 @@ def number_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sou
     return stage(rows, "mix-sizes")
 
 
+def file_places(docs: DataFrame) -> Column | None:
+    """The place of every row of a table that is read as it lies in files: the same in every scan. None: it is not.
+
+    Steps behind the scan may repeat rows or draw them anew, so only the scan itself counts.
+    """
+    plan = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()
+    if plan != "LogicalRelation" or "_metadata" in (c.lower() for c in docs.columns):
+        return None
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:  # a format without places
+        return None
+    place = F.encode(F.col("_metadata.row_index").cast("string"), "utf-8")
+    return F.concat(F.unhex(F.md5("_metadata.file_path")), place)
+
+
 def mix_sources(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", placed: bool = False, **options
 ) -> DataFrame:
@@ -259,14 +278,15 @@ def mix_sources(
 
     With ``placed`` the columns ``mix_shard`` and ``mix_order`` are added. See ``plan_mix`` for the options and
     ``source_targets`` for the targets. Null texts have no words; null sources are a source; an empty table gives no
-    rows.
+    rows. A table in files is not copied: file and place tell its rows apart. Other rows are written down first.
     """
-    row, shard, order, size = unused(docs, "row", "mix_shard", "mix_order", "mix_size")
-    count = F.size(words_of(text_or_empty(text))).cast("long")
-    numbered = stage(docs.withColumns({row: F.monotonically_increasing_id(), size: count}), "mix-documents")
-    sizes = numbered.select(
-        F.col(row).alias("row"), F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), F.col(size).alias("size")
-    )
+    row, shard, order = unused(docs, "row", "mix_shard", "mix_order")
+    place = file_places(docs)
+    if place is None:
+        numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
+    else:
+        numbered = docs.withColumn(row, place)
+    sizes = number_rows(numbered, text, doc_id, source, row)
     drawn = plan_mix(sizes, **options).select(F.col("row").alias(row), F.inline("shards").alias(shard, order))
     out = numbered.join(drawn, row).repartition(shard, F.pmod(order, F.lit(16))).sortWithinPartitions(shard, order)
     return out.select(*docs.columns, shard, order) if placed else out.select(*docs.columns)

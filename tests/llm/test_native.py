@@ -213,6 +213,24 @@ def test_mixing_rows(odd, empty):
     assert mixing.mix_sources(empty).count() == 0
 
 
+def test_mixing_reads_a_table_in_files_in_place(spark, odd, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.randint(0, 60) + str(i), rng.choice(["a", "b", None]), "r") for i in range(400)]
+    rows += rows[:5]  # repeated rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, row string")
+    docs.repartition(7).write.parquet(f"{tmp_path}/docs")
+    docs.filter("source = 'a'").write.parquet(f"{tmp_path}/docs/more=1")  # the same names may stand in other folders
+    odd.write.parquet(f"{tmp_path}/odd")
+    for filed in (spark.read.option("recursiveFileLookup", True).parquet(f"{tmp_path}/docs"), spark.read.parquet(f"{tmp_path}/odd")):
+        place = mixing.file_places(filed)
+        assert filed.select(place.alias("p")).distinct().count() == filed.count()
+        moved = spark.createDataFrame(filed.collect(), filed.schema)
+        assert mixing.file_places(moved) is None and mixing.file_places(filed.distinct()) is None
+        key = lambda df: sorted(map(str, df.collect()))
+        assert key(mixing.mix_sources(filed)) == key(mixing.mix_sources(moved))
+    assert mixing.file_places(odd.withColumn("_metadata", F.lit(1))) is None
+
+
 def test_hypergeometric_matches_its_distribution(spark):
     n, marked, drawn = 20, 8, 7
     rows = spark.range(4000).select(
