@@ -12,6 +12,11 @@ from bowline.staging import release_staged, stage, staged_count
 ORACLE_SQL = None
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Shuffles of earlier stages go, where nothing holds their plans any more; no table is deleted."""
+    release_staged(spark, since=staged_count())
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; the cutoffs come from ``labels``."""
     return quality_rules.quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -19,21 +24,25 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the smallest identifier."""
+    drop_shuffles(spark)
     return exact_dedup.exact_dedup(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts: five words, 80 per cent."""
+    drop_shuffles(spark)
     return jaccard_join.drop_near_copies(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix draws them."""
+    drop_shuffles(spark)
     return mixing.mix_sources(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in place of the texts, and the digest of the text that they decode to."""
+    drop_shuffles(spark)
     coded = bpe.encode_and_decode(docs.select("doc_id", "text", "lang", "source"))
     return coded.select(
         "doc_id",
