@@ -183,14 +183,13 @@ def preprocess_directory(
     """
     if encoding not in ("dense", "base26"):
         raise ValueError("encoding must be 'dense' or 'base26'")
-    training = read_raw(spark, f"{input_dir}/{TRAINING}", files=files)
-    validation = read_raw(spark, f"{input_dir}/{VALIDATION}", files=files)
+    # Files are read once; the classes join the written rows, in a broadcast unless there are very many.
+    training = stage(read_raw(spark, f"{input_dir}/{TRAINING}", files=files), "training")
+    validation = stage(read_raw(spark, f"{input_dir}/{VALIDATION}", files=files), "validation")
     labels = fit_labels(training) if encoding == "dense" else None
     if labels is not None:
         training, validation = encode_labels(training, labels), encode_labels(validation, labels)
-    model, *sets = preprocess(
-        stage(training, "training"), stage(validation, "validation"), doc="input_file", **options
-    )
+    model, *sets = preprocess(training, validation, doc="input_file", **options)
     for name, packed in zip((TRAINING, VALIDATION), sets, strict=True):
         for fmt in formats:
             folder = f"{output_dir}/{name}" if len(formats) == 1 else f"{output_dir}/{fmt}/{name}"

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +16,9 @@ from bowline.functions.words import normalize_word
 from bowline.operators.lookup import number_rows
 from bowline.staging import broadcast_if_small
 
+# Tasks carry this module's code along, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The layout of a raw dataset.
 LABELLED_FILES = "class[A-Z]*/*.res"
 UNLABELLED_FILES = "*.res"
@@ -18,6 +27,9 @@ TRAINING, VALIDATION = "Training", "Validation"
 # The label of a class that training does not know; no prediction can be equal to it.
 UNSEEN = -1
 
+# Small files are read by a task per so many bytes of them, but not by fewer tasks than four per core.
+SCAN_TASK = 8 << 20
+
 
 def read_lines(spark: SparkSession, directory: str, labelled: bool = True, files: str | None = None) -> DataFrame:
     """``(input_file, fields)``: every line cut at single spaces. Document ids are the files' escaped URIs.
@@ -25,9 +37,13 @@ def read_lines(spark: SparkSession, directory: str, labelled: bool = True, files
     ``files``: a pattern below ``directory`` in place of the usual one, such as ``*/*.txt`` for every class directory.
     """
     pattern = f"{directory.rstrip('/')}/{files or (LABELLED_FILES if labelled else UNLABELLED_FILES)}"
-    return spark.read.text(pattern).select(
-        F.input_file_name().alias("input_file"), F.split("value", " ").alias("fields")
-    )
+    folders, name = pattern.rsplit("/", 1)
+    # Directories are listed, not files: a path per file would take a listing of its own for each.
+    text = spark.read.option("pathGlobFilter", name).text(folders)
+    size = int(text._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = max(-(-size // SCAN_TASK), 4 * spark.sparkContext.defaultParallelism)
+    lines = text.select(F.input_file_name().alias("input_file"), F.split("value", " ").alias("fields"))
+    return lines.coalesce(tasks)
 
 
 def is_valid_line(fields: str = "fields") -> Column:
@@ -36,10 +52,16 @@ def is_valid_line(fields: str = "fields") -> Column:
     return (F.size(fields) == 2) & count.rlike("^[+-]?[0-9]+$") & count.try_cast("int").isNotNull()
 
 
+def cut_once(lines: DataFrame, fields: str = "fields") -> DataFrame:
+    """The same rows; inline() of a one-element array keeps the optimizer from cutting a line anew in each use of it."""
+    rest = [c for c in lines.columns if c != fields]
+    return lines.select(*rest, F.inline(F.array(F.struct(F.col(fields)))))
+
+
 def parse_lines(lines: DataFrame, fields: str = "fields") -> DataFrame:
     """The valid lines, with ``fields`` replaced by ``word`` and ``word_count``."""
     rest = [c for c in lines.columns if c != fields]
-    return lines.filter(is_valid_line(fields)).select(
+    return cut_once(lines, fields).filter(is_valid_line(fields)).select(
         *rest,
         normalize_word(F.get(fields, F.lit(0))).alias("word"),
         F.get(fields, F.lit(1)).cast("int").alias("word_count"),
@@ -48,7 +70,7 @@ def parse_lines(lines: DataFrame, fields: str = "fields") -> DataFrame:
 
 def malformed_lines(spark: SparkSession, directory: str, labelled: bool = True, files: str | None = None) -> DataFrame:
     """``(input_file, num_lines)``: how many lines of a file the scan leaves out. Blank lines are not counted."""
-    lines = read_lines(spark, directory, labelled, files)
+    lines = cut_once(read_lines(spark, directory, labelled, files))
     blank = (F.size("fields") == 1) & (F.get("fields", F.lit(0)) == "")
     return lines.filter(~is_valid_line() & ~blank).groupBy("input_file").agg(F.count("*").alias("num_lines"))
 
@@ -81,16 +103,47 @@ def raw_documents(
 def write_raw(documents: DataFrame, directory: str, folder: str = "folder", content: str = "content") -> None:
     """One small text file per document, in the directory ``folder`` (``Training/classA``) below ``directory``.
 
-    One write per folder, of which there are as many as sets and classes; a written record is a whole document, and
-    a file takes one record. Files are named by Spark and end in ``.txt``: read them with ``files``. ``documents`` is
-    scanned once per folder: pass a written table.
+    Files end in ``.txt``: read them with ``files``. A folder must not be there before. Rows without a folder are left
+    out. ``documents`` is read twice: pass a written table. A task that runs again writes files of the same names.
     """
-    # Tasks move their files into place themselves: one after another, on the driver, takes long for many small files. A
-    # task that runs again writes files of the same names.
+    spark = documents.sparkSession
+    folders = [r[0] for r in documents.select(folder).distinct().orderBy(folder).collect()]  # one per set and class
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory.rstrip("/"))
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.getUri().getScheme() == "file":
+        # Spark's writer starts processes for the mode of every file on such a file system, which takes far longer than
+        # the file; tasks write the files themselves.
+        local = files.makeQualified(root).toUri().getPath()
+        for name in filter(None, folders):
+            os.makedirs(f"{local}/{name}")
+        placed = documents.filter(F.col(folder).isNotNull()).select(F.col(folder).alias("folder"), F.col(content).alias("content"))
+        placed.mapInArrow(file_writer(local), "files bigint").agg(F.sum("files")).collect()
+        return
+    # Tasks move their files into place: one after another, on the driver, takes long for many small files.
     options = {"maxRecordsPerFile": 1, "mapreduce.fileoutputcommitter.algorithm.version": 2}
-    for row in documents.select(folder).distinct().orderBy(folder).collect():  # one row per set and class
-        mine = documents.filter(F.col(folder) == row[0]).select(content)
-        mine.write.options(**options).text(f"{directory.rstrip('/')}/{row[0]}")
+    for name in folders:
+        mine = documents.filter(F.col(folder) == name).select(content)
+        mine.write.options(**options).text(f"{directory.rstrip('/')}/{name}")
+
+
+def file_writer(directory: str):
+    """Writes every row's ``content``, as a line, to a file of its own in its ``folder`` below a shared ``directory``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context, written = TaskContext.get(), 0
+        for batch in batches:
+            for folder, content in zip(batch.column("folder"), batch.column("content"), strict=True):
+                path = f"{directory}/{folder.as_py()}"
+                name = f"part-{context.partitionId():05d}-{written:07d}.txt"
+                # Hidden until it is whole; attempts do not share the file.
+                part = f"{path}/.{name}.{context.taskAttemptId()}"
+                with open(part, "wb") as file:
+                    file.write((content.as_py() or "").encode() + b"\n")
+                os.replace(part, f"{path}/{name}")
+                written += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([written], pa.int64())})
+
+    return run
 
 
 def fit_labels(bow: DataFrame, label: str = "label_str") -> DataFrame:

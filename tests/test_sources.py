@@ -12,7 +12,7 @@ from bowline.operators.docvectors import (
     with_vector,
 )
 from bowline.sources.processed import read_processed, write_processed
-from bowline.sources.raw import encode_labels, fit_labels, malformed_lines, read_raw
+from bowline.sources.raw import encode_labels, fit_labels, malformed_lines, read_lines, read_raw, write_raw
 from bowline.sources.text import bow_from_text, ids_unique
 from tests.conftest import rows_of
 
@@ -140,3 +140,22 @@ def test_vectors_round_trip_and_dense_vectors(spark):
     assert rows_of(from_vector(vectors).select("doc_id", "label", "indices", "values")) == rows_of(packed)
     dense = spark.createDataFrame([(Vectors.dense([0.0, 3.0, 0.0, 4.0]),)], ["raw_word_vector"])
     assert rows_of(from_vector(dense)) == [(4, (1, 3), (3.0, 4.0))]
+
+
+def test_raw_scan_lists_directories_and_not_each_file(spark, tmp_path):
+    directory = tree(tmp_path / "many", {f"class{c}/{n}.res": f"w{n} 1\n" for c in "AB" for n in range(20)} | {"classA/x.txt": "no 1\n"})
+    lines = read_lines(spark, directory)
+    leaf = lines._jdf.queryExecution().optimizedPlan().collectLeaves().head()
+    assert leaf.relation().location().rootPaths().size() == 2
+    assert lines.select("input_file").distinct().count() == 40
+
+
+def test_raw_files_are_one_per_document_without_companions(spark, tmp_path):
+    rows = [(f"class{'AB'[n % 2]}", f"word{n} {n}\n\u00e9 1") for n in range(30)] + [(None, "lost 1"), ("classA", None), ("classA", "")]
+    directory = tmp_path / "out"
+    write_raw(spark.createDataFrame(rows, "folder string, content string").repartition(3), str(directory))
+    files = [f for f in directory.rglob("*") if f.is_file()]
+    assert all(f.name.endswith(".txt") and not f.name.startswith(".") for f in files)
+    assert sorted((f.parent.name, f.read_text()) for f in files) == sorted((d, (c or "") + "\n") for d, c in rows if d)
+    with pytest.raises(FileExistsError):  # as before, nothing is added to files that are there
+        write_raw(spark.createDataFrame(rows, "folder string, content string"), str(directory))
