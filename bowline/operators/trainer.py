@@ -19,14 +19,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 # Tasks carry this module's code along, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 16_384  # parameters per block of the distributed sum
+AT_ONCE = 1 << 20  # parameters whose sum comes to the driver at once, 8 MiB; of more, block after block
 FAN_IN = 32  # tasks whose gradients are added up in one task of the first level
 CELLS = 1 << 22  # numbers in a temporary array of one gradient step
 # Weights go to every task and their gradient comes back through the driver as doubles: 512 MiB, half of Spark's
@@ -79,20 +80,23 @@ class Network:
         flat = np.zeros(self.num_parameters)
         for weights, _ in self.unpack(flat):
             if self.start == "separable":
-                weights[:] = separable_weights(*weights.shape)
+                separable_weights(*weights.shape, into=weights)
             else:
                 weights[:] = rng.normal(0.0, np.sqrt(2.0 / sum(weights.shape)), weights.shape)
         return flat
 
 
-def separable_weights(inputs: int, outputs: int) -> np.ndarray:
+def separable_weights(inputs: int, outputs: int, into: np.ndarray | None = None) -> np.ndarray:
     """3 sqrt(2 / (inputs + outputs)) u(i) v(j), where u and v step evenly through 16 values between -1 and 1.
 
     A layer's output is then one sum over a document's words times v(j), so SQL can repeat training. Hidden units whose
     numbers differ by 16 stay equal for ever: a start to check results with, not the one to learn best from.
     """
     steps = lambda n, factor, first: ((np.arange(n) * factor + first) % 16 + 0.5) / 8.0 - 1.0
-    return 3.0 * np.sqrt(2.0 / (inputs + outputs)) * np.outer(steps(inputs, 7, 3), steps(outputs, 5, 1))
+    into = np.empty((inputs, outputs)) if into is None else into
+    np.multiply.outer(steps(inputs, 7, 3), steps(outputs, 5, 1), out=into)
+    into *= 3.0 * np.sqrt(2.0 / (inputs + outputs))
+    return into
 
 
 @dataclass(frozen=True)
@@ -254,16 +258,22 @@ def adder(size: int):
     return add_up
 
 
-def gather(parts: DataFrame, size: int) -> tuple[np.ndarray, float, int]:
-    """The sum over all partitions: one vector as long as the weights, the loss, and the document count."""
+def gathered_blocks(parts: DataFrame, size: int) -> Iterator[Row]:
+    """The sum over all partitions by block, one partition of them at a time on the driver when the vector is long."""
     add_up = adder(size)
     near = parts.withColumn("group", F.floor(F.spark_partition_id() / FAN_IN))
     near = near.repartition("block", "group").select("block", "places", "numbers", "loss", "docs")
-    rows = near.mapInArrow(add_up, PART_SCHEMA).repartition("block").mapInArrow(add_up, PART_SCHEMA).collect()
-    flat = np.zeros(size)
-    for r in rows:
+    summed = near.mapInArrow(add_up, PART_SCHEMA).repartition("block").mapInArrow(add_up, PART_SCHEMA)
+    return iter(summed.collect()) if size <= AT_ONCE else summed.toLocalIterator()
+
+
+def gather(parts: DataFrame, size: int) -> tuple[np.ndarray, float, int]:
+    """The sum over all partitions: one vector as long as the weights, the loss, and the document count."""
+    flat, loss, docs = np.zeros(size), 0.0, 0
+    for r in gathered_blocks(parts, size):
         flat[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["numbers"])
-    return flat, sum(r["loss"] for r in rows), sum(r["docs"] for r in rows)
+        loss, docs = loss + r["loss"], docs + r["docs"]
+    return flat, loss, docs
 
 
 def batch_rows(batch: pa.RecordBatch) -> Rows:
@@ -275,11 +285,15 @@ class TrainedNetwork:
     network: Network
     flat: np.ndarray
     losses: list[float] = field(default_factory=list)
+    _shared: tuple | None = field(default=None, init=False, repr=False, compare=False)
 
     def predict(self, data: DataFrame, output: str = "class_id_predicted") -> DataFrame:
         """Add the most probable class id of each row's ``indices`` and ``values``."""
         network = self.network
-        weights = data.sparkSession.sparkContext.broadcast(self.flat)
+        context = data.sparkSession.sparkContext
+        if self._shared is None or self._shared[0] is not context:  # sent once for all sets
+            self._shared = context, context.broadcast(self.flat)
+        weights = self._shared[1]
         width = max(network.layers[1:])
 
         @F.arrow_udf("int")
@@ -415,13 +429,12 @@ def local_training(network: Network, weights: np.ndarray, speed: np.ndarray, bat
     return run
 
 
-def loss_and_gradient(data: DataFrame, network: Network, flat: np.ndarray) -> tuple[float, np.ndarray]:
-    """Mean loss of all documents at the weights ``flat``, penalty included, and its gradient; one pass over ``data``.
+def gradient_parts(data: DataFrame, network: Network, shared: Broadcast) -> DataFrame:
+    """The blocks of every task's summed gradient at the weights ``shared``; one pass over ``data``.
 
     Rows stay as sparse as they are: a task multiplies the entries of an Arrow batch and adds up one gradient.
     """
     width = max(network.layers[1:])
-    shared = data.sparkSession.sparkContext.broadcast(flat)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gradient, loss, docs = np.zeros(network.num_parameters), 0.0, 0
@@ -432,8 +445,13 @@ def loss_and_gradient(data: DataFrame, network: Network, flat: np.ndarray) -> tu
         if docs:
             yield from emit_blocks(gradient, loss, docs)
 
-    rows = data.select("indices", "values", "class_id")
-    total, loss, docs = gather(rows.mapInArrow(run, PART_SCHEMA), len(flat))
+    return data.select("indices", "values", "class_id").mapInArrow(run, PART_SCHEMA)
+
+
+def loss_and_gradient(data: DataFrame, network: Network, flat: np.ndarray) -> tuple[float, np.ndarray]:
+    """Mean loss of all documents at the weights ``flat``, penalty included, and its gradient; one pass over ``data``."""
+    shared = data.sparkSession.sparkContext.broadcast(flat)
+    total, loss, docs = gather(gradient_parts(data, network, shared), len(flat))
     shared.destroy()
     if not docs:
         raise ValueError("there are no training documents")
@@ -441,6 +459,36 @@ def loss_and_gradient(data: DataFrame, network: Network, flat: np.ndarray) -> tu
     return loss / docs + add_penalty(network, flat, total), total
 
 
+def full_batch_step(data: DataFrame, docs: int, network: Network, flat: np.ndarray, velocity: np.ndarray) -> float:
+    """``nesterov_step`` along ``loss_and_gradient`` of all ``docs`` documents, in place; the loss before it.
+
+    The gradient is used block by block as it arrives, so the driver holds the weights and velocities but no third vector.
+    """
+    shared = data.sparkSession.sparkContext.broadcast(flat)
+    free, at = [], 0  # the places of the biases
+    for n, m in network.shapes:
+        free.append((at + n * m, at + (n + 1) * m))
+        at += (n + 1) * m
+    missing, loss, penalty = set(range(-(-len(flat) // BLOCK))), 0.0, 0.0
+
+    def move(block: int, gradient: np.ndarray) -> float:
+        lo, hi = block * BLOCK, block * BLOCK + len(gradient)
+        weights = flat[lo:hi].copy()
+        for a, b in free:
+            weights[max(a - lo, 0) : max(b - lo, 0)] = 0.0
+        nesterov_step(network, flat[lo:hi], velocity[lo:hi], gradient / docs + network.l2 * weights)
+        return 0.5 * network.l2 * float(weights @ weights)
+
+    for r in gathered_blocks(gradient_parts(data, network, shared), len(flat)):
+        missing.remove(r["block"])
+        loss += r["loss"]
+        penalty += move(r["block"], np.frombuffer(r["numbers"]))
+    for block in missing:  # all zero, so not sent
+        penalty += move(block, np.zeros(min(BLOCK, len(flat) - block * BLOCK)))
+    shared.destroy()
+    return loss / docs + penalty
+
+
 def two_loops(gradient: np.ndarray, steps: list[np.ndarray], changes: list[np.ndarray]) -> np.ndarray:
     """The inverse Hessian, as far as the last steps and the changes of the gradient tell it, times the gradient."""
     q, factors = gradient.copy(), []
@@ -540,12 +588,13 @@ def fit_network(
 
         return run
 
+    if sync == "gradient":
+        docs = data.count() if epochs else 0
+        if epochs and not docs:
+            raise ValueError("there are no training documents")
+        losses = [full_batch_step(data, docs, network, flat, velocity) for _ in range(epochs)]
+        return TrainedNetwork(network, flat, losses)
     for _ in range(epochs):
-        if sync == "gradient":
-            loss, total = loss_and_gradient(data, network, flat)
-            losses.append(loss)
-            nesterov_step(network, flat, velocity, total)
-            continue
         epoch_loss, epoch_docs = 0.0, 0
         for n in range(rounds):
             part = data if rounds == 1 else data.filter(F.floor(F.col("_batch") / average_every) == n)

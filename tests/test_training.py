@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import subprocess
 import sys
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from bowline.operators.trainer import (
     fit_lbfgs,
     fit_network,
     log_probabilities,
+    loss_and_gradient,
     nesterov_step,
 )
 from bowline.plans.classification import classify
@@ -370,3 +372,25 @@ def test_metrics_equal_ml(spark):
     report = evaluate.class_report(evaluate.confusion(df))
     assert rows_of(report.select("class"))[-1] == (3.0,)
     assert report.filter("class = 3").first()["predicted"] == 0
+
+
+def test_full_batch_steps_hold_no_third_vector_on_the_driver(spark):
+    """Long vectors: the steps of whole gradients, with weights and velocities alone on the driver."""
+    network = Network((150_000, 8, 2), start="separable")
+    rows = [([n, 70_000 + n, 149_000 + n % 9], [1.0, 0.5, -2.0], n % 2) for n in range(40)]
+    data = spark.createDataFrame(rows, "indices array<int>, values array<double>, class_id int").repartition(3).cache()
+    data.count()
+    flat, velocity, losses = network.initial(), np.zeros(network.num_parameters), []
+    for _ in range(2):
+        loss, gradient = loss_and_gradient(data, network, flat)
+        losses.append(loss)
+        nesterov_step(network, flat, velocity, gradient)
+    del gradient
+    tracemalloc.start()
+    trained = fit_network(data, network, 2)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    data.unpersist()
+    assert np.array_equal(trained.flat, flat)
+    assert trained.losses == pytest.approx(losses, abs=1e-12)
+    assert peak < 3.5 * flat.nbytes
