@@ -126,7 +126,7 @@ class LongIDFModel(_LongModel):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         self.needs_value(dataset.schema)
-        return weighting.apply_idf(dataset, self.words, self.name("wordCol"), self.name("valueCol"))
+        return self.shuffled_once(weighting.apply_idf(dataset, self.words, self.name("wordCol"), self.name("valueCol")))
 
 
 class LongChiSquare(Estimator, LongColumns, DefaultParamsWritable, DefaultParamsReadable):
@@ -171,7 +171,7 @@ class LongChiSquareModel(_LongModel):
         if self.words.size.fits_broadcast:
             return rows.join(F.broadcast(chosen), word, "left").select(*rows.columns, FEATURE)
         found = lookup_join(rows, self.words.table, word, [FEATURE], self.words.size)
-        found = found.select(*rows.columns, F.col(FEATURE).cast("int").alias(FEATURE))
+        found = self.shuffled_once(found.select(*rows.columns, F.col(FEATURE).cast("int").alias(FEATURE)))
         every = rows.select(*self.keys(rows.columns)).distinct()  # a row for each document, so that none is lost
         return found.unionByName(every.withColumn(FEATURE, F.lit(None).cast("int")), allowMissingColumns=True)
 

@@ -32,7 +32,7 @@ from bowline.operators.docvectors import (
     with_vector,
 )
 from bowline.operators.vocabulary import WordTable
-from bowline.staging import measure
+from bowline.staging import measure, stage
 
 # The columns of the stages, their default names and their exact types.
 COLUMN_DEFAULTS = {
@@ -146,6 +146,10 @@ class _TableModel(Model, WordColumns, MLWritable, MLReadable):
     def read(cls) -> MLReader:
         return _TableReader(cls)
 
+    def shuffled_once(self, joined: DataFrame) -> DataFrame:
+        """Rows joined in a shuffle are written: the stages after this one read them several times."""
+        return joined if self.words.size.fits_broadcast else stage(joined, self.uid)
+
     def _adopt(self, estimator: Estimator):
         """Take over uid and column names from the estimator."""
         self._resetUid(estimator.uid)
@@ -200,7 +204,8 @@ class CommonElementFilterModel(_TableModel):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         self.check_schema(dataset.schema)
-        return vocabulary.filter_common(dataset, self.words, self.name("wordCol")).select(*dataset.columns)
+        kept = vocabulary.filter_common(dataset, self.words, self.name("wordCol")).select(*dataset.columns)
+        return self.shuffled_once(kept)
 
 
 class WordCountToVec(Estimator, WordColumns, DefaultParamsWritable, DefaultParamsReadable):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bowline.operators import long_stages
 from bowline.operators.long_stages import LongBinarizer, LongChiSquare, LongIDF, LongPacker, long_pipeline
-from bowline.operators.stages import idf_chi2_pipeline
+from bowline.operators.stages import CommonElementFilter, idf_chi2_pipeline
 from bowline.operators.docvectors import from_vector
 from bowline.sources.raw import malformed_lines, raw_documents, read_raw, write_raw
 from tests.conftest import rows_of
@@ -81,3 +81,13 @@ def test_small_files_written_and_read_back(spark, bow, tmp_path):
     assert count(every) == count(bow)
     bad = malformed_lines(spark, str(tmp_path / "Training"), files="*/*.txt")
     assert {r["num_lines"] for r in bad.collect()} == {1} and bad.count() == 32
+
+
+def test_a_shuffled_join_of_a_stage_is_not_repeated_by_later_stages(spark, no_broadcast):
+    rows = [(f"d{d}", f"w{(d * w) % 7}", 1) for d in range(8) for w in range(3)]
+    bow = spark.createDataFrame(rows, "input_file string, word string, word_count int").distinct()
+    kept = CommonElementFilter(dropFreq=0.6).fit(bow).transform(bow)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    common = {w for w in {r[1] for r in rows} if len({r[0] for r in rows if r[1] == w}) >= 0.6 * 8}
+    assert common and {tuple(r) for r in kept.collect()} == {r for r in rows if r[1] not in common}
