@@ -78,6 +78,20 @@ def salt_hot(rows: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, Da
     )
 
 
+def slot_join(rows: DataFrame, table: DataFrame, key: str, carry: Sequence[str], how: str) -> DataFrame:
+    """Join in a shuffle, hot keys under salts, on one number made of key and salt: it sorts far faster than text does.
+
+    The keys themselves are compared last, as two bounds: Spark would sort by them too if they were a part of the key.
+    """
+    left, right = salt_hot(rows, table, key)
+    if rows.schema[key].dataType != table.schema[key].dataType:  # equal numbers of two types have two hashes
+        return left.join(right, [key, "_salt"], how)
+    slot = F.xxhash64(key).bitwiseXOR(F.col("_salt").cast("bigint"))  # different for each salt of a key
+    right = right.select(slot.alias("_slot_"), F.col(key).alias("_key_"), *carry)
+    same = (F.col("_slot") == F.col("_slot_")) & F.col(key).between(F.col("_key_"), F.col("_key_"))
+    return left.withColumn("_slot", slot).drop("_salt").join(right, same, how)
+
+
 def lookup_join(
     rows: DataFrame, table: DataFrame, key: str, carry: Sequence[str], size: TableSize, known: str | None = None
 ) -> DataFrame:
@@ -90,8 +104,7 @@ def lookup_join(
     members = (table.filter(known) if known else table).select(key, *carry)
     if size.fits_broadcast:
         return rows.join(F.broadcast(members), key).select(*rows.columns, *carry)
-    left, right = salt_hot(rows, members, key)
-    return left.join(right, [key, "_salt"]).select(*rows.columns, *carry)
+    return slot_join(rows, members, key, carry, "inner").select(*rows.columns, *carry)
 
 
 def drop_matching(rows: DataFrame, table: DataFrame, key: str, size: TableSize) -> DataFrame:
@@ -99,5 +112,4 @@ def drop_matching(rows: DataFrame, table: DataFrame, key: str, size: TableSize)
     rows = rows.filter(F.col(key).isNotNull())
     if size.fits_broadcast:
         return rows.join(F.broadcast(table.select(key)), key, "left_anti").select(*rows.columns)
-    left, right = salt_hot(rows, table.select(key), key)
-    return left.join(right, [key, "_salt"], "left_anti").select(*rows.columns)
+    return slot_join(rows, table.select(key), key, [], "left_anti").select(*rows.columns)

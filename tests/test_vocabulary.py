@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,6 +112,34 @@ def test_drop_matching_is_the_same_broadcast_or_shuffled(spark, monkeypatch, hot
     assert 0 < large.count() < 6003
 
 
+@pytest.mark.parametrize("few_hashes", [False, True])
+def test_a_shuffled_join_sorts_by_one_number_and_compares_keys_last(spark, monkeypatch, few_hashes):
+    df = skewed(spark)
+    table = stage(spark.createDataFrame([("hot", 1), ("w7", 2), ("elsewhere", 3)], "word string, n int"), "t")
+    joined = lookup_join(df, table, "word", ["n"], TableSize(3, 20))
+    left_out = drop_matching(df, table, "word", TableSize(3, 20))
+    if few_hashes:  # keys share three hashes
+        real = F.xxhash64
+        monkeypatch.setattr("bowline.operators.lookup.F.xxhash64", lambda *c: real(*c) % 2)
+    for how, expected in (
+        (lambda size: lookup_join(df, table, "word", ["n"], size), joined),
+        (lambda size: drop_matching(df, table, "word", size), left_out),
+    ):
+        large = how(TableSize(10**9, 10**10))
+        assert rows_of(large) == rows_of(expected)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = how(TableSize(10**9, 10**10))._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert re.search(r"SortMergeJoin \[_slot#\d+L\], \[_slot_#\d+L\]", plan), plan
+
+
+def test_a_shuffled_join_takes_keys_of_two_number_types(spark):
+    rows, table = spark.range(5).selectExpr("cast(id as int) k", "id m"), spark.range(3, 9).selectExpr("id k", "id n")
+    assert rows_of(lookup_join(rows, table, "k", ["n"], TableSize(10**9, 0))) == [(3, 3, 3), (4, 4, 4)]
+
+
 def test_a_key_that_is_hot_in_the_rows_alone_is_salted(spark):
     df = skewed(spark)
     left, right = salt_hot(df.filter("word is not null"), spark.createDataFrame([("hot",), ("w1",)], "word string"), "word")
