@@ -30,11 +30,14 @@ def document_features(
 ) -> DataFrame:
     """``(*keys, word_index, value)``: counts per document and index, repeated ones added up.
 
-    ``merged=True`` promises one row per document and word, and saves the aggregation.
+    ``merged=True`` promises one row per document and word, and saves the aggregation. Otherwise, after a shuffled join,
+    rows are brought together by document, so that ``pack_documents`` needs no shuffle of its own.
     """
     indexed = add_word_index(bow, dictionary, word, index)
     if merged:
         return indexed.select(*keys, index, F.col(count).cast("double").alias("value"))
+    if not dictionary.size.fits_broadcast:
+        indexed = indexed.repartition(*keys)
     return indexed.groupBy(*keys, index).agg(F.sum(F.col(count).cast("double")).alias("value"))
 
 
@@ -43,12 +46,16 @@ def pack_documents(
     keys: Sequence[str] = ("doc_id", "label"),
     index: str = "word_index",
     value: str = "value",
+    scattered: bool = False,
 ) -> DataFrame:
     """One row per document: ``(*keys, indices, values)`` sorted by index.
 
     A null index adds nothing to the arrays but keeps its document. An array holds at most one entry per
-    dictionary word, and entries are gathered before the shuffle already.
+    dictionary word, and entries are gathered before the shuffle already. ``scattered``: not so, as the rows of a
+    document lie far apart, such as after a shuffled join by word, where an array per row would be all that is gathered.
     """
+    if scattered:
+        features = features.repartition(*keys)
     pair = F.struct(F.col(index).cast("int").alias("i"), F.col(value).cast("double").alias("v"))
     pairs = features.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.when(F.col(index).isNotNull(), pair))).alias("_pairs")

@@ -279,7 +279,8 @@ FROM features, size GROUP BY doc_id, label, num_features"""
 
 def csv_ready(spark: SparkSession, sf: str) -> DataFrame:
     features, dictionary = all_features(spark, sf)
-    return docvectors.to_csv_columns(docvectors.pack_documents(features), dictionary.size.rows, keys=["doc_id"])
+    packed = docvectors.pack_documents(features, scattered=not dictionary.size.fits_broadcast)
+    return docvectors.to_csv_columns(packed, dictionary.size.rows, keys=["doc_id"])
 
 
 @query(CSV_SQL.format(columns="doc_id,"))

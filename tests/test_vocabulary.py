@@ -140,6 +140,21 @@ def test_a_shuffled_join_takes_keys_of_two_number_types(spark):
     assert rows_of(lookup_join(rows, table, "k", ["n"], TableSize(10**9, 0))) == [(3, 3, 3), (4, 4, 4)]
 
 
+def test_rows_that_a_shuffled_join_scattered_are_shuffled_once_more(spark):
+    df = skewed(spark)
+    small = vocabulary.fit_dictionary(df)
+    large = replace(small, size=TableSize(10**9, 10**10))
+    packed = pack_documents(document_features(df, large))
+    assert rows_of(packed) == rows_of(pack_documents(document_features(df, small)))
+    merged = document_features(df, large, merged=True)
+    scattered = pack_documents(merged, scattered=True)
+    assert [(r[0], sorted(r[2])) for r in rows_of(scattered)] == [(r[0], sorted(r[2])) for r in rows_of(pack_documents(merged))]
+    for plan in (p._jdf.queryExecution().executedPlan().toString() for p in (packed, scattered)):
+        after = plan[: plan.index("Join")]
+        assert after.count("Exchange hashpartitioning(doc_id") == 1 and "partial_collect_list" in after, plan
+        assert after.index("partial_collect_list") < after.index("Exchange hashpartitioning(doc_id"), plan
+
+
 def test_a_key_that_is_hot_in_the_rows_alone_is_salted(spark):
     df = skewed(spark)
     left, right = salt_hot(df.filter("word is not null"), spark.createDataFrame([("hot",), ("w1",)], "word string"), "word")
