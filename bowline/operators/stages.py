@@ -31,6 +31,7 @@ from bowline.operators.docvectors import (
     pack_documents,
     with_vector,
 )
+from bowline.operators.lookup import drop_matching
 from bowline.operators.vocabulary import WordTable
 from bowline.staging import measure, stage
 
@@ -187,7 +188,9 @@ class CommonElementFilter(Estimator, WordColumns, DefaultParamsWritable, Default
             self.name("fileCol"),
             self.getOrDefault(self.countMode),
         )
-        return CommonElementFilterModel(words)._adopt(self)
+        model = CommonElementFilterModel(words)._adopt(self)
+        model.fitted_on = dataset
+        return model
 
 
 class CommonElementFilterModel(_TableModel):
@@ -195,6 +198,8 @@ class CommonElementFilterModel(_TableModel):
 
     required = ("fileCol", "wordCol")
 
+    fitted_on: DataFrame | None = None  # not saved: a model that is loaded does not know its data
+
     def getWordsToKeep(self) -> DataFrame:
         return self.words.table.filter("keep").select(self.name("wordCol"))
 
@@ -204,8 +209,13 @@ class CommonElementFilterModel(_TableModel):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         self.check_schema(dataset.schema)
-        kept = vocabulary.filter_common(dataset, self.words, self.name("wordCol")).select(*dataset.columns)
-        return self.shuffled_once(kept)
+        word = self.name("wordCol")
+        if dataset is self.fitted_on:  # all its words are known, so the few common ones are all there is to look up
+            common = self.words.table.filter("not keep")
+            size = measure(common, word)
+            kept = drop_matching(dataset, common, word, size)
+            return kept if size.fits_broadcast else stage(kept, self.uid)
+        return self.shuffled_once(vocabulary.filter_common(dataset, self.words, word).select(*dataset.columns))
 
 
 class WordCountToVec(Estimator, WordColumns, DefaultParamsWritable, DefaultParamsReadable):

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Binarizer
@@ -12,6 +14,7 @@ from bowline.operators.stages import (
     WordCountToVecModel,
     idf_chi2_pipeline,
 )
+from bowline.staging import TableSize
 from tests.conftest import rows_of
 
 SCHEMA = "input_file string, label int, word string, word_count int"
@@ -111,3 +114,18 @@ def test_whole_pipeline(bow):
 def test_fitting_an_empty_table(spark):
     model = WordCountToVec().fit(spark.createDataFrame([], SCHEMA))
     assert model.getDictionarySize() == 0
+
+
+def test_the_filter_drops_the_few_common_words_of_the_rows_it_was_fitted_on(spark, monkeypatch):
+    rows = spark.createDataFrame([*ROWS, ("d5", 0, None, 1)], SCHEMA)
+    model = CommonElementFilter(dropFreq=0.6).fit(rows)
+    model.words = replace(model.words, size=TableSize(10**9, 10**10))
+    expected = rows_of(model.transform(rows.filter("true")))
+    assert expected == rows_of(rows.filter("word in ('cat', 'dog', 'emu')"))
+
+    def refused(*args):
+        raise AssertionError("all rows written or all words shuffled")
+
+    monkeypatch.setattr("bowline.operators.stages.stage", refused)
+    monkeypatch.setattr("bowline.operators.lookup.salt_hot", refused)
+    assert rows_of(model.transform(rows)) == expected
