@@ -90,6 +90,17 @@ def filter_common(bow: DataFrame, words: WordTable, word: str = "word") -> DataF
     return lookup_join(bow, words.table, word, [], words.size, known="keep")
 
 
+def narrowed(words: WordTable, rows: DataFrame, word: str = "word") -> WordTable:
+    """A large table cut to the words of ``rows`` when those are few; its size is a bound then. ``rows`` is read twice."""
+    if words.size.fits_broadcast:
+        return words
+    asked = stage(rows.select(word).distinct(), "asked")
+    size = measure(asked, word)
+    if not size.fits_broadcast:
+        return words
+    return WordTable(words.table.join(F.broadcast(asked), word, "left_semi"), size)
+
+
 def drop_common(
     bow: DataFrame, drop_freq: float = 0.2, word: str = "word", doc: str = "doc_id", count_mode: str = "rows"
 ) -> DataFrame:

@@ -22,11 +22,11 @@ from bowline.operators.docvectors import (
 )
 from bowline.operators.lookup import drop_matching, lookup_join
 from bowline.operators.selection import chi2_from_cells, fit_class_totals, fit_selection, with_class_docs
-from bowline.operators.vocabulary import WordTable, filter_common, is_rare
+from bowline.operators.vocabulary import WordTable, filter_common, is_rare, narrowed
 from bowline.operators.weighting import idf
 from bowline.sources.processed import write_processed
 from bowline.sources.raw import TRAINING, VALIDATION, encode_labels, fit_labels, read_raw
-from bowline.staging import TableSize, measure, size_columns, stage
+from bowline.staging import TableSize, broadcast_if_small, measure, size_columns, stage
 
 
 @dataclass(frozen=True)
@@ -61,16 +61,18 @@ class PreprocessModel:
             matched = lookup_join(
                 rows.filter(seen), self.selected.table, "word", ["feature", "idf"], self.selected.size
             )
-            packed = stage(pack_documents(matched, keys, "feature", "idf"), "vectors")
+            packed = stage(pack_documents(matched, keys, "feature", "idf", scattered=True), "vectors")
             packed = packed.unionByName(empty_documents(rows, packed, keys))
         if keep_empty:
             return packed
         bare = packed.filter(F.size("indices") == 0)
-        if bare.isEmpty():
+        size = measure(bare, doc)
+        if not size.rows:
             return packed
-        # Only documents without a selected word need the full vocabulary.
-        doubtful = rows.join(bare.select(doc), doc, "left_semi")
-        known = filter_common(doubtful, self.words).select(doc).distinct()
+        # Only documents without a selected word need the full vocabulary, and of that only their own words.
+        doubtful = rows.join(broadcast_if_small(bare.select(doc), size), doc, "left_semi").select(doc, "word")
+        doubtful = stage(doubtful, "doubtful")
+        known = filter_common(doubtful, narrowed(self.words, doubtful)).select(doc).distinct()
         kept = stage(bare.join(known, doc, "left_semi"), "bare")
         return packed.filter(F.size("indices") > 0).unionByName(kept)
 

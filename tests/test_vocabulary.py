@@ -155,6 +155,17 @@ def test_rows_that_a_shuffled_join_scattered_are_shuffled_once_more(spark):
         assert after.index("partial_collect_list") < after.index("Exchange hashpartitioning(doc_id"), plan
 
 
+def test_a_large_table_is_narrowed_to_few_words(spark):
+    df = skewed(spark)
+    words = vocabulary.fit_common_words(df, 0.5)
+    large = replace(words, size=TableSize(10**9, 10**10))
+    few = df.filter("word in ('w7', 'w8', 'hot', 'unseen') or word is null")
+    cut = vocabulary.narrowed(large, few)
+    assert cut.size.fits_broadcast and cut.table.count() <= 4
+    assert rows_of(vocabulary.filter_common(few, cut)) == rows_of(vocabulary.filter_common(few, words))
+    assert vocabulary.narrowed(words, few) is words
+
+
 def test_a_key_that_is_hot_in_the_rows_alone_is_salted(spark):
     df = skewed(spark)
     left, right = salt_hot(df.filter("word is not null"), spark.createDataFrame([("hot",), ("w1",)], "word string"), "word")
