@@ -81,15 +81,16 @@ def salt_hot(rows: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, Da
 def slot_join(rows: DataFrame, table: DataFrame, key: str, carry: Sequence[str], how: str) -> DataFrame:
     """Join in a shuffle, hot keys under salts, on one number made of key and salt: it sorts far faster than text does.
 
-    The keys themselves are compared last, as two bounds: Spark would sort by them too if they were a part of the key.
+    The number is not a column, as its random bytes would be shuffled too. The keys themselves are compared last, as two
+    bounds: Spark would sort by them too if they were a part of the key.
     """
     left, right = salt_hot(rows, table, key)
     if rows.schema[key].dataType != table.schema[key].dataType:  # equal numbers of two types have two hashes
         return left.join(right, [key, "_salt"], how)
-    slot = F.xxhash64(key).bitwiseXOR(F.col("_salt").cast("bigint"))  # different for each salt of a key
-    right = right.select(slot.alias("_slot_"), F.col(key).alias("_key_"), *carry)
-    same = (F.col("_slot") == F.col("_slot_")) & F.col(key).between(F.col("_key_"), F.col("_key_"))
-    return left.withColumn("_slot", slot).drop("_salt").join(right, same, how)
+    right = right.select(F.col("_salt").alias("_salt_"), F.col(key).alias("_key_"), *carry)
+    slot = lambda k, salt: F.xxhash64(k).bitwiseXOR(F.col(salt).cast("bigint"))  # noqa: E731  one for each salt of a key
+    same = (slot(key, "_salt") == slot("_key_", "_salt_")) & F.col(key).between(F.col("_key_"), F.col("_key_"))
+    return left.join(right, same, how)
 
 
 def lookup_join(
