@@ -18,6 +18,9 @@ from bowline.sources.processed import read_processed
 from bowline.sources.raw import TRAINING, VALIDATION
 from bowline.staging import staged_folder
 
+# MLlib's perceptron keeps its training rows dense; a task holds about so many bytes of them.
+DENSE_TASK = 64 << 20
+
 KINDS = ("softmax", "shallow", "deep", "average")
 SOLVERS = ("lbfgs", "mlp")
 
@@ -156,6 +159,15 @@ def stage_vectors(df: DataFrame, num_features: int, classes: list, label: str, n
     return StagedVectors(df.sparkSession, path, vectors.schema)
 
 
+def spread_dense(rows: DataFrame, num_features: int) -> DataFrame:
+    """Rows that are to become dense in even parts of about ``DENSE_TASK`` bytes, if they are more than one.
+
+    Files of sparse rows say nothing of it: one of some MB may hold a GB of dense rows.
+    """
+    tasks = -(-rows.count() * num_features * 8 // DENSE_TASK)  # a count of a written table reads no rows
+    return rows.repartition(max(tasks, rows.sparkSession.sparkContext.defaultParallelism)) if tasks > 1 else rows
+
+
 def run_softmax(
     sets: dict[str, StagedVectors], num_features: int, num_classes: int, epochs: int, sparse: bool, seed: int
 ) -> tuple[object, list[DataFrame]]:
@@ -169,7 +181,8 @@ def run_softmax(
             layers=[num_features, num_classes], maxIter=epochs, seed=seed, **columns
         )
     training, validation = (vectors.as_ml_vectors() for vectors in sets.values())
-    model = estimator.fit(training.select("features", "class_id"))
+    rows = training.select("features", "class_id")
+    model = estimator.fit(rows if sparse else spread_dense(rows, num_features))
     return model, [model.transform(df).drop("rawPrediction", "probability") for df in (training, validation)]
 
 

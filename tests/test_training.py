@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
+from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from bowline.operators.trainer import (
     loss_and_gradient,
     nesterov_step,
 )
+from bowline.plans import classification
 from bowline.plans.classification import classify
 from tests.conftest import rows_of
 
@@ -350,6 +352,24 @@ def test_every_kind_learns_a_separable_set(spark, kind, epochs, options):
     assert result.validation.count() == 32
 
 
+def test_the_perceptron_gets_rows_dealt_by_their_dense_size(spark, monkeypatch):
+    """One file of sparse rows was one task, which held all of them dense."""
+    parts, fit = [], MultilayerPerceptronClassifier.fit
+
+    def recording(self, rows):
+        parts.extend(r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect())
+        return fit(self, rows)
+
+    monkeypatch.setattr(MultilayerPerceptronClassifier, "fit", recording)
+    rows = spark.createDataFrame(documents(1, 240, empty=False), SCHEMA).coalesce(1)
+    classify(rows, rows, 20, "softmax", 2, solver="mlp")
+    assert parts == [240]  # a few rows stay where they are
+    parts.clear()
+    monkeypatch.setattr(classification, "DENSE_TASK", 20 * 8 * 10)
+    classify(rows, rows, 20, "softmax", 2, solver="mlp")
+    assert sum(parts) == 240 and max(parts) <= 20
+
+
 def test_training_without_epochs_and_bad_arguments(spark):
     df = spark.createDataFrame(documents(), SCHEMA)
     for kind in ("softmax", "shallow"):
