@@ -184,10 +184,11 @@ def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The line rule of the raw scan on lines made from the documents: "word count" lines and plain prose."""
     docs = read_documents(spark, sf, "doc_id", "text")
     prose = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    words = docs.select("doc_id", F.explode(F.split("text", "[ \n\t\r]+")).alias("word")).filter("word <> ''")
-    counted = words.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
-    lines = prose.unionByName(counted.select("doc_id", F.concat_ws(" ", "word", "n").alias("line")))
-    return parse_lines(lines.select("doc_id", F.split("line", " ").alias("fields")))
+    unique = ids_unique(read_table(spark, sf, "documents", "doc_id"), "doc_id")
+    counted = bow_from_text(docs, unique=unique, lower=False)
+    lines = prose.unionByName(counted.select("doc_id", F.concat_ws(" ", "word", "word_count").alias("line")))
+    # A third field is enough to leave a line out.
+    return parse_lines(lines.select("doc_id", F.split("line", " ", 3).alias("fields")))
 
 
 @query(f"WITH {BOW_SQL} SELECT count(DISTINCT doc_id) AS num_docs FROM bow")

@@ -61,6 +61,7 @@ def bow_from_text(
     text: str = "text",
     keep: Sequence[str] = (),
     unique: bool | None = None,
+    lower: bool = True,
 ) -> DataFrame:
     """``(doc, *keep, word, word_count)``, one row per document and distinct word.
 
@@ -74,20 +75,19 @@ def bow_from_text(
     if unique:
         # inline() of a one-element array keeps the optimizer from copying the sort into each later use of it.
         ordered = table.select(
-            doc, *keep, F.inline(F.array(F.struct(F.sort_array(split_words(text)).alias("words"))))
+            doc, *keep, F.inline(F.array(F.struct(F.sort_array(split_words(text, lower)).alias("words"))))
         )
         starts = F.expr("filter(sequence(0, size(words) - 1), i -> i = 0 or words[i] <> words[i - 1])")
         runs = ordered.filter(F.size("words") > 0).select(
             doc, *keep, "words", F.inline(F.array(F.struct(starts.alias("starts"))))
         )
-        counted = runs.select(doc, *keep, "words", "starts", F.posexplode("starts").alias("run", "start")).select(
+        return runs.select(doc, *keep, "words", "starts", F.posexplode("starts").alias("run", "start")).select(
             doc,
             *keep,
             F.expr("words[start]").alias("word"),
             F.expr("coalesce(get(starts, run + 1), size(words)) - start").alias("word_count"),
         )
-        return counted.filter("word <> ''")
-    words = table.select(doc, *keep, F.explode(split_words(text)).alias("word")).filter("word <> ''")
+    words = table.select(doc, *keep, F.explode(split_words(text, lower)).alias("word"))
     counted = words.groupBy(doc, *keep, "word").agg(F.count("*").alias("word_count"))
     return counted.withColumn("word_count", F.col("word_count").cast("int"))
 

@@ -51,6 +51,11 @@ def test_counting_words_of_unique_documents_needs_no_shuffle(spark):
     assert "Exchange" not in plan_of(bow_from_text(docs, unique=True))
 
 
+def test_lines_made_of_documents_need_no_shuffle(spark):
+    """Words were shuffled by document and word, once tables are too large to be dealt by document."""
+    assert "Exchange" not in plan_of(catalog.raw_lines(spark, DATA))
+
+
 def test_scans_read_only_what_they_need(spark):
     docs = read_table(spark, DATA, "documents")
     plan = plan_of(bow_from_text(docs, unique=True))

@@ -111,6 +111,14 @@ def test_text_with_repeated_ids_is_merged(spark):
     assert rows_of(bow_from_text(table)) == expected
 
 
+def test_text_counts_can_keep_the_case(spark):
+    table = spark.createDataFrame([*TEXTS, (6, "A a\u00a0a A\n\n")], "doc_id long, text string")
+    expected = [(1, "A", 1), (1, "B", 1), (1, "a", 1), (1, "b", 2), (4, "x", 1), (5, "z", 1), (5, "Éa", 1), (5, "éA", 1)]
+    expected += [(6, "A", 2), (6, "a\u00a0a", 1)]
+    assert rows_of(bow_from_text(table, unique=True, lower=False)) == sorted(expected)
+    assert rows_of(bow_from_text(table, unique=False, lower=False)) == sorted(expected)
+
+
 PACKED = [("a", 1, [0, 17], [1.5, 2.0]), ("b", None, [], []), ("c", 0, [204], [-0.25])]
 PACKED_SCHEMA = "doc_id string, label int, indices array<int>, values array<double>"
 
