@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from bowline.operators.lookup import number_top
 from bowline.operators.vocabulary import WordTable
+from bowline.staging import stage
 
 
 def class_totals(docs: DataFrame, label: str = "label", doc: str = "doc_id") -> DataFrame:
@@ -92,10 +93,35 @@ def rank_features(scores: DataFrame, index: str = "word_index", score: str = "ch
     return scores.withColumn("_rank", F.round(score, digits)).orderBy(*rank_order(index)).drop("_rank")
 
 
+# Levels that a score passes while it grows e-fold.
+LEVELS = 64
+_TOP = 2**63 - 1
+
+
+def level_of(rank: Column) -> Column:
+    """A step function of the rank, which orders as the rank does: in a descending order NaN is first and null is last."""
+    rank = rank.cast("double")
+    level = F.floor(F.signum(rank) * F.log1p(F.abs(rank)) * LEVELS)
+    return F.when(F.isnan(rank), _TOP).otherwise(F.coalesce(level, F.lit(-_TOP)))
+
+
+def leading(ranked: DataFrame, k: int) -> DataFrame:
+    """The rows of the highest levels, as many as it takes to have the first ``k`` rows among them, ties included."""
+    counts = {r["_level"]: r["count"] for r in ranked.groupBy("_level").count().collect()}  # a row per level
+    seen = 0
+    for lowest in sorted(counts, reverse=True):
+        seen += counts[lowest]
+        if seen >= k:
+            return ranked.filter(F.col("_level") >= lowest)
+    return ranked
+
+
 def fit_selection(
     scores: DataFrame, k: int = 8000, index: str = "word_index", score: str = "chi2", weight: str = "doc_freq"
 ) -> WordTable:
     """The ``k`` best rows with ``feature`` = 0, 1, ... in ascending order of their index."""
+    # Written, as scores are costly and are read for their levels, for the bounds of the sort, and for the sort.
     ranked = scores.withColumn("_rank", F.round(score, 6))
-    table, size = number_top(ranked, rank_order(index), k, index, "feature", weight)
+    ranked = stage(ranked.withColumn("_level", level_of(F.col("_rank"))), "scores")
+    table, size = number_top(leading(ranked, k).drop("_level"), rank_order(index), k, index, "feature", weight)
     return WordTable(table.drop("_rank"), size)

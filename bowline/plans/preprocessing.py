@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import astuple, dataclass, replace
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,10 @@ from bowline.sources.processed import write_processed
 from bowline.sources.raw import TRAINING, VALIDATION, encode_labels, fit_labels, read_raw
 from bowline.staging import TableSize, broadcast_if_small, measure, size_columns, stage
 
+# So many classes are counted side by side; so few common words are a part of the plan.
+FEW_CLASSES = 32
+FEW_WORDS, FEW_WORD_BYTES = 2_000, 64 * 1024
+
 
 @dataclass(frozen=True)
 class PreprocessModel:
@@ -103,18 +109,18 @@ def fit_preprocessing(
 ) -> PreprocessModel:
     """Fit on a bag of words with one row per (document, word); rows without a label are left out.
 
-    ``bow`` is read three times, for the documents, for the words, and for the class totals: pass a written table.
+    ``bow`` is read four times, for the documents, the classes, the words, and the class totals: pass a written table.
     """
     bow = bow.filter(F.col(label).isNotNull())
     num_docs = bow.select(doc).distinct().count()
-    counted = count_by_class(bow.filter("word is not null"), label)
+    counted = count_by_class(bow.filter("word is not null"), label, few_classes(bow, label))
     statistics = stage(counted.withColumn("keep", is_rare("num_docs", drop_freq, num_docs)), "words")
     sizes = {
         row["keep"]: TableSize(*row[1:])
         for row in statistics.groupBy("keep").agg(*size_columns("word", "num_docs")).collect()
     }
     common = sizes.get(False, TableSize(0, 0))
-    survivors = drop_matching(bow, statistics.filter("not keep"), "word", common) if common.rows else bow
+    survivors = drop_common_words(bow, statistics.filter("not keep"), common) if common.rows else bow
     totals = fit_class_totals(survivors.filter("word is not null"), label, doc)
     if not totals:
         raise ValueError("no words are left to select features from")
@@ -125,11 +131,43 @@ def fit_preprocessing(
     return PreprocessModel(WordTable(statistics.select("word", "num_docs", "keep"), every), selected)
 
 
-def count_by_class(rows: DataFrame, label: str) -> DataFrame:
+def few_classes(rows: DataFrame, label: str) -> list | None:
+    """The classes in order, or None when there are more than ``FEW_CLASSES``."""
+    found = rows.select(label).distinct().limit(FEW_CLASSES + 1).collect()
+    return sorted(r[0] for r in found) if len(found) <= FEW_CLASSES else None
+
+
+def drop_common_words(rows: DataFrame, common: DataFrame, size: TableSize) -> DataFrame:
+    """Rows with a word that is not one of ``common``. A few words are compared in place, without a join."""
+    if size.rows <= FEW_WORDS and size.key_bytes <= FEW_WORD_BYTES:
+        words = common.select("word", F.is_valid_utf8("word")).collect()
+        if all(valid for _, valid in words):  # others would change on their way through Python
+            return rows.filter(~F.col("word").isin([word for word, _ in words]))
+    return drop_matching(rows, common, "word", size)
+
+
+def count_by_class(rows: DataFrame, label: str, classes: Sequence | None = None) -> DataFrame:
     """``(word, num_docs, doc_freq, cells)``: rows, documents, and documents per class, of every word.
 
-    Counted by (word, class) and then by word; ``cells`` holds at most one entry per class.
+    Counted by word, with a count for each of ``classes``, if these are given: all that there are. Otherwise counted by
+    (word, class) and then by word; ``cells`` holds at most one entry per class.
     """
+    if classes:
+        present = [F.count_if((F.col(label) == F.lit(c)) & (F.col("word_count") > 0)) for c in classes]
+        by_word = rows.groupBy("word").agg(
+            F.count("*").alias("num_docs"), *[p.alias(f"_present{i}") for i, p in enumerate(present)]
+        )
+        counts = [F.col(f"_present{i}") for i in range(len(classes))]
+        names = [F.lit(c).cast(rows.schema[label].dataType) for c in classes]
+        cells = F.array(
+            *[F.struct(c.alias("label"), n.alias("present")) for c, n in zip(names, counts, strict=True)]
+        )
+        return by_word.select(
+            "word",
+            "num_docs",
+            reduce(add, counts).alias("doc_freq"),
+            F.filter(cells, lambda c: c["present"] > 0).alias("cells"),
+        )
     by_class = rows.groupBy("word", label).agg(
         F.count("*").alias("rows"), F.count_if(F.col("word_count") > 0).alias("present")
     )

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from bowline.operators import selection, vocabulary, weighting
 from bowline.operators.docvectors import document_features, pack_documents, with_vector
 from bowline.operators.stages import idf_chi2_pipeline
+from bowline.plans import preprocessing
 from bowline.plans.preprocessing import PreprocessModel, fit_preprocessing, preprocess
+from bowline.staging import TableSize, stage
 from tests.conftest import rows_of
 
 SCHEMA = "doc_id string, label int, word string, word_count int"
@@ -136,6 +138,50 @@ def test_preprocessing_equals_brute_force(spark, seed, classes, k):
         assert [v for _, v in got[key]] == pytest.approx([v for _, v in vector], abs=1e-12)
 
 
+def test_few_and_many_classes_and_common_words_give_the_same(spark, monkeypatch):
+    rows = [*corpus(6, classes=3), ("d900", None, "w001", 1), ("d901", 0, None, 1), (None, 1, "w002", 1)]
+    rows += rows[:40]
+    df = spark.createDataFrame(rows, SCHEMA)
+
+    def fitted():
+        model = fit_preprocessing(df, drop_freq=0.3, num_top_features=20)
+        return rows_of(model.words.table), rows_of(model.selected.table)
+
+    few = fitted()
+    monkeypatch.setattr(preprocessing, "FEW_CLASSES", 2)
+    assert fitted() == few
+    monkeypatch.setattr(preprocessing, "FEW_WORDS", -1)
+    assert fitted() == few
+
+
+def test_common_words_that_python_would_change_are_joined(spark):
+    rows = spark.sql("SELECT cast(x AS string) AS word FROM VALUES (X'FF'), (X'61'), (X'62') AS t(x)")
+    common = stage(rows.filter("word <> 'b'"), "common")
+    left = preprocessing.drop_common_words(rows, common, TableSize(2, 2))
+    assert [r["word"] for r in left.collect()] == ["b"]
+
+
+@pytest.mark.parametrize("k", [0, 1, 10, 300, 1000])
+def test_only_leading_scores_are_sorted(spark, monkeypatch, k):
+    """All scores were sorted, twice computed, for the few that are taken."""
+    rng = random.Random(7)
+    scores = [rng.choice([0.0, 1e-7, 2.5, rng.random() * 100, -rng.random()]) for _ in range(480)]
+    scores += [float("nan"), float("inf"), None, -float("inf")] * 5
+    table = spark.createDataFrame(list(enumerate(scores)), "word_index long, chi2 double").withColumn("doc_freq", F.lit(1))
+    sorted_rows, number_top = [], selection.number_top
+
+    def recording(rows, *args):
+        sorted_rows.append(rows.count())
+        return number_top(rows, *args)
+
+    monkeypatch.setattr(selection, "number_top", recording)
+    got = [r["word_index"] for r in selection.fit_selection(table, k).table.orderBy("feature").collect()]
+    ranked = table.withColumn("r", F.round("chi2", 6)).orderBy(F.col("r").desc(), "word_index").limit(k)
+    assert got == sorted(r["word_index"] for r in ranked.collect())
+    if k <= 10:
+        assert sorted_rows[0] <= 20
+
+
 def test_transform_of_another_set(spark, tmp_path, monkeypatch):
     model = fit_preprocessing(spark.createDataFrame(corpus(4), SCHEMA), drop_freq=0.3, num_top_features=5)
     chosen = {r["word"]: (r["feature"], r["idf"]) for r in model.selected.table.collect()}

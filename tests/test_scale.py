@@ -10,7 +10,7 @@ from bowline.operators import vocabulary
 from bowline.operators.lookup import lookup_join
 from bowline.sources.text import bow_from_text, read_table
 from bowline.staging import TableSize, stage
-from bowline.plans import catalog
+from bowline.plans import catalog, preprocessing
 from tests.conftest import DATA
 
 TRAINED = {"train_softmax", "train_softmax_sparse", "train_shallow", "train_average", "train_deep", "train_languages", "predict_softmax", "job_classify", "losses_average", "losses_shallow", "predict_average", "dir_classify", "train_softmax_mlp", "softmax_gradient"}
@@ -56,6 +56,12 @@ def test_lines_made_of_documents_need_no_shuffle(spark):
     assert "Exchange" not in plan_of(catalog.raw_lines(spark, DATA))
 
 
+def test_words_of_a_few_classes_are_shuffled_once(spark):
+    bow = spark.createDataFrame([(1, 0, "a", 1), (2, 1, "a", 1)], "doc_id long, label int, word string, word_count int")
+    assert plan_of(preprocessing.count_by_class(bow, "label", [0, 1])).count("Exchange hashpartitioning") == 1
+    assert plan_of(preprocessing.count_by_class(bow, "label")).count("Exchange hashpartitioning") == 2
+
+
 def test_scans_read_only_what_they_need(spark):
     docs = read_table(spark, DATA, "documents")
     plan = plan_of(bow_from_text(docs, unique=True))
