@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.linalg import VectorUDT
@@ -159,13 +160,24 @@ def stage_vectors(df: DataFrame, num_features: int, classes: list, label: str, n
     return StagedVectors(df.sparkSession, path, vectors.schema)
 
 
-def spread_dense(rows: DataFrame, num_features: int) -> DataFrame:
-    """Rows that are to become dense in even parts of about ``DENSE_TASK`` bytes, if they are more than one.
+def spread_dense(rows: DataFrame, num_features: int, block: int) -> DataFrame:
+    """Rows that are to become dense in parts of whole blocks, of about ``DENSE_TASK`` bytes, if they are more than one.
 
-    Files of sparse rows say nothing of it: one of some MB may hold a GB of dense rows.
+    Files of sparse rows say nothing of it: one of some MB may hold a GB of dense rows. MLlib takes the mean of the means
+    of its blocks, so a block that is not full weighs its rows more; only the last one of all is not. ``rows`` is a
+    written table, whose rows are numbered by the places of its scan.
     """
-    tasks = -(-rows.count() * num_features * 8 // DENSE_TASK)  # a count of a written table reads no rows
-    return rows.repartition(max(tasks, rows.sparkSession.sparkContext.defaultParallelism)) if tasks > 1 else rows
+    size = max(1, DENSE_TASK // (8 * max(1, num_features) * block)) * block
+    placed = rows.withColumn("_place", F.monotonically_increasing_id())
+    piece = F.shiftright("_place", 33).cast("int")  # the row's number in the piece is in the low 33 bits
+    counts = {r["piece"]: r["count"] for r in placed.groupBy(piece.alias("piece")).count().collect()}
+    tasks = -(-sum(counts.values()) // size)
+    if tasks <= 1:
+        return rows
+    offsets = accumulate((counts.get(p, 0) for p in range(max(counts) + 1)), initial=0)
+    before = F.get(F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>"), piece)
+    number = before + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.repartitionById(tasks, F.floor(number / size).cast("int")).drop("_place")
 
 
 def run_softmax(
@@ -182,7 +194,7 @@ def run_softmax(
         )
     training, validation = (vectors.as_ml_vectors() for vectors in sets.values())
     rows = training.select("features", "class_id")
-    model = estimator.fit(rows if sparse else spread_dense(rows, num_features))
+    model = estimator.fit(rows if sparse else spread_dense(rows, num_features, estimator.getBlockSize()))
     return model, [model.transform(df).drop("rawPrediction", "probability") for df in (training, validation)]
 
 

@@ -361,13 +361,14 @@ def test_the_perceptron_gets_rows_dealt_by_their_dense_size(spark, monkeypatch):
         return fit(self, rows)
 
     monkeypatch.setattr(MultilayerPerceptronClassifier, "fit", recording)
-    rows = spark.createDataFrame(documents(1, 240, empty=False), SCHEMA).coalesce(1)
-    classify(rows, rows, 20, "softmax", 2, solver="mlp")
-    assert parts == [240]  # a few rows stay where they are
-    parts.clear()
-    monkeypatch.setattr(classification, "DENSE_TASK", 20 * 8 * 10)
-    classify(rows, rows, 20, "softmax", 2, solver="mlp")
-    assert sum(parts) == 240 and max(parts) <= 20
+    rows = spark.createDataFrame(documents(1, 700, empty=False), SCHEMA)
+    classify(rows.coalesce(1), rows, 20, "softmax", 2, solver="mlp")
+    assert parts == [700]  # a few rows stay where they are
+    monkeypatch.setattr(classification, "DENSE_TASK", 20 * 8 * 300)
+    for files in (1, 3):
+        parts.clear()
+        classify(rows.repartition(files), rows, 20, "softmax", 2, solver="mlp")
+        assert sorted(parts) == [188, 256, 256]  # whole blocks of 128 rows, but for the last
 
 
 def test_training_without_epochs_and_bad_arguments(spark):
