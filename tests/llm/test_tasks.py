@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -330,6 +331,104 @@ def test_gradient_by_finite_differences():
         assert math.isclose(slope, g[j], rel_tol=1e-3, abs_tol=1e-6)
 
 
+def plain_gradient(w, prior, x, y):
+    """Mean loss over the targets and its gradient, every array by its formula."""
+    d, lead, n = lm.WIDTH, lm.WINDOW - lm.STEP, len(x)
+    h0 = w["token"][x] + w["place"]
+    tail = h0[:, lead:]
+    q, k, v = tail @ w["query"], h0 @ w["key"], h0 @ w["value"]
+    hidden = (np.arange(lm.WINDOW)[None, :] > np.arange(lead, lm.WINDOW)[:, None]) | (x == lm.CLASSES)[:, None, :]
+    a = np.where(hidden, -np.inf, q @ k.transpose(0, 2, 1) / math.sqrt(d))
+    a = np.exp(a - a.max(2, keepdims=True))
+    a /= a.sum(2, keepdims=True)
+    c = a @ v
+    h1 = tail + c @ w["mix"]
+    z = np.maximum(h1 @ w["up"] + w["up_bias"], 0)
+    h2 = h1 + z @ w["down"]
+    g, loss, d_h2 = {name: np.zeros(shape) for name, shape in lm.shapes().items()}, 0.0, np.zeros_like(h2)
+    real = [(i, j) for i in range(n) for j in range(lm.STEP) if y[i, j] < lm.CLASSES]
+    for i, j in real:
+        before, (of, inside), state = x[i, lead + j], divmod(y[i, j], lm.MEMBERS), h2[i, j]
+        for name, logits, picked in (
+            ("group", state @ w["group"] + prior.group[before], of),
+            ("member", state @ w["member"][of] + prior.member[before * lm.GROUPS + of], inside),
+        ):
+            share = np.exp(logits - logits.max())
+            share /= share.sum()
+            loss -= math.log(share[picked]) / len(real)
+            share[picked] -= 1
+            to, slope = (w[name], g[name]) if name == "group" else (w[name][of], g[name][of])
+            slope += np.outer(state, share) / len(real)
+            d_h2[i, j] += to @ share / len(real)
+    over = lambda m, o: np.einsum("nij,nik->jk", m, o)
+    d_z = d_h2 @ w["down"].T * (z > 0)
+    d_h1 = d_h2 + d_z @ w["up"].T
+    d_c = d_h1 @ w["mix"].T
+    d_a = d_c @ v.transpose(0, 2, 1)
+    d_s = a * (d_a - (d_a * a).sum(2, keepdims=True)) / math.sqrt(d)
+    d_q, d_k, d_v = d_s @ k, d_s.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ d_c
+    d_h0 = d_k @ w["key"].T + d_v @ w["value"].T
+    d_h0[:, lead:] += d_h1 + d_q @ w["query"].T
+    np.add.at(g["token"], x, d_h0)
+    g["token"][lm.CLASSES] = 0
+    g |= {"place": d_h0.sum(0), "query": over(tail, d_q), "key": over(h0, d_k), "value": over(h0, d_v), "mix": over(c, d_h1)}
+    g |= {"up": over(h1, d_z), "up_bias": d_z.sum((0, 1)), "down": over(z, d_h2)}
+    return loss, np.concatenate([g[name].reshape(-1) for name in lm.shapes()])
+
+
+def some_windows(rng, sizes=(50, 3, 700, 0, 24)):
+    x, y, _ = lm.windows_of([rng.zipf(1.3, n).clip(1, lm.CLASSES).astype(np.int32) - 1 for n in sizes], 3, lm.CLASSES)
+    assert (x == lm.CLASSES).any() and (y == lm.CLASSES).any()
+    return x, y
+
+
+@pytest.mark.parametrize("size", [1, 30])  # 30: shares of attention and of classes that underflow without a shift by row
+def test_gradient_by_plain_formulas(size):
+    flat, prior, rng = small_model()
+    x, y = some_windows(rng)
+    w = lm.unpack(flat)
+    for name in ("query", "key", "group", "member"):
+        w[name][:] *= size
+    want, got = plain_gradient(w, prior, x, y), lm.gradient(w, prior, x, y)
+    assert math.isclose(want[0], got[0], rel_tol=1e-6)
+    assert np.allclose(want[1], got[1], rtol=1e-6, atol=1e-9 * np.abs(want[1]).max())
+
+
+def test_training_is_adam_on_the_gradients():
+    flat, prior, rng = small_model()
+    x, y = some_windows(rng)
+    options = lm.Training(batch=4)
+    assert len(x) % 4  # the last batch is smaller
+    want, first, second = flat.copy(), np.zeros_like(flat), np.zeros_like(flat)
+    order = np.random.default_rng(7).permutation(len(x))
+    for t, lo in enumerate(range(0, len(x), 4), 1):
+        rows = order[lo : lo + 4]
+        g = plain_gradient(lm.unpack(want), prior, x[rows], y[rows])[1]
+        first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
+        want -= options.rate * math.sqrt(1 - 0.99**t) / (1 - 0.9**t) * first / (np.sqrt(second) + 1e-8)
+    prepared, got = lm.PREPARED, []
+    for lm.PREPARED in (2, prepared):
+        got.append(lm.train(flat, prior, x, y, options, 7))
+    assert lm.PREPARED == prepared
+    assert (got[0] == got[1]).all() and np.abs(want - flat).max() > 1e-2
+    assert np.allclose(want, got[0], atol=1e-6)
+
+
+def test_training_steps_use_their_arrays_again():
+    flat, prior, rng = small_model()
+    flat, prior = flat.astype(np.float32), lm.Prior(prior.group.astype(np.float32), prior.member.astype(np.float32))
+    x, y = some_windows(rng, (400,))
+    step = lm.Gradient(lm.unpack(flat), prior, 16)
+    batches = list(lm.batches_of(x[None, :16], y[None, :16])) * 2
+    tracemalloc.start()
+    try:
+        for b in batches:
+            step(b)
+        assert tracemalloc.get_traced_memory()[1] < 300_000  # a step's arrays have some 2 MB
+    finally:
+        tracemalloc.stop()
+
+
 def test_scores_are_probabilities_and_causal():
     flat, prior, rng = small_model()
     w = lm.unpack(flat.astype(np.float32))
