@@ -30,6 +30,7 @@ from bowline.sources.raw import (
     fit_labels,
     malformed_lines,
     parse_lines,
+    raw_contents,
     raw_documents,
     read_raw,
     write_raw,
@@ -43,7 +44,7 @@ from bowline.sources.text import (
     read_labels,
     read_table,
 )
-from bowline.staging import BROADCAST_ROWS, stage, staged_folder
+from bowline.staging import BROADCAST_ROWS, release_staged, stage, staged_count, staged_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -751,12 +752,17 @@ def write_documents(spark: SparkSession, sf: str, marked: bool, sets: bool) -> s
     folder = F.expr(FOLDER_SQL)
     if sets:
         folder = F.concat(F.when(F.col("doc_id") % 5 != 0, TRAINING).otherwise(VALIDATION), F.lit("/"), folder)
-    bow = bow_from_text(read_documents(spark, sf, "doc_id", folder.alias("folder"), "text"), keep=["folder"])
+    docs = read_documents(spark, sf, "doc_id", folder.alias("folder"), "text")
     number = F.col("doc_id").cast("string")
     extra = F.concat(F.lit("doc#"), number, F.lit(" 1"), F.expr(BAD_LINES)) if marked else None
-    content = stage(raw_documents(bow, extra=extra), "raw-content")
+    if ids_unique(read_table(spark, sf, "documents", "doc_id"), "doc_id"):
+        documents = raw_contents(docs, extra=extra)
+    else:
+        documents = raw_documents(bow_from_text(docs, keep=["folder"], unique=False), extra=extra)
     directory = staged_folder(spark, "raw-files")
-    write_raw(content, directory)
+    since = staged_count()
+    write_raw(stage(documents, "raw-content"), directory)
+    release_staged(spark, since)  # the contents are in the files now
     return directory
 
 

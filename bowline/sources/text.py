@@ -73,15 +73,7 @@ def bow_from_text(
     if unique is None:
         unique = ids_unique(table, doc)
     if unique:
-        # inline() of a one-element array keeps the optimizer from copying the sort into each later use of it.
-        ordered = table.select(
-            doc, *keep, F.inline(F.array(F.struct(F.sort_array(split_words(text, lower)).alias("words"))))
-        )
-        starts = F.expr("filter(sequence(0, size(words) - 1), i -> i = 0 or words[i] <> words[i - 1])")
-        runs = ordered.filter(F.size("words") > 0).select(
-            doc, *keep, "words", F.inline(F.array(F.struct(starts.alias("starts"))))
-        )
-        return runs.select(doc, *keep, "words", "starts", F.posexplode("starts").alias("run", "start")).select(
+        return word_runs(table, doc, text, keep, lower).select(doc, *keep, "words", "starts", F.posexplode("starts").alias("run", "start")).select(
             doc,
             *keep,
             F.expr("words[start]").alias("word"),
@@ -92,6 +84,19 @@ def bow_from_text(
     return counted.withColumn("word_count", F.col("word_count").cast("int"))
 
 
+def word_runs(table: DataFrame, doc: str, text: str, keep: Sequence[str], lower: bool = True) -> DataFrame:
+    """``(doc, *keep, words, starts)``: each row's words in order, and where each run of equal ones begins; rows without
+    a word are left out."""
+    # inline() of a one-element array keeps the optimizer from copying the sort into each later use of it.
+    ordered = table.select(
+        doc, *keep, F.inline(F.array(F.struct(F.sort_array(split_words(text, lower)).alias("words"))))
+    )
+    starts = F.expr("filter(sequence(0, size(words) - 1), i -> i = 0 or words[i] <> words[i - 1])")
+    return ordered.filter(F.size("words") > 0).select(
+        doc, *keep, "words", F.inline(F.array(F.struct(starts.alias("starts"))))
+    )
+
+
 def document_bow(spark: SparkSession, directory: str, *keep: str) -> DataFrame:
     """Bag of words of the whole ``documents`` table."""
     docs = read_documents(spark, directory, "doc_id", *keep, "text")

@@ -11,6 +11,7 @@ from bowline.operators.docvectors import (
     to_csv_columns,
     with_vector,
 )
+from bowline.sources import raw as raw_files
 from bowline.sources.processed import read_processed, write_processed
 from bowline.sources.raw import encode_labels, fit_labels, malformed_lines, read_lines, read_raw, write_raw
 from bowline.sources.text import bow_from_text, ids_unique
@@ -167,3 +168,57 @@ def test_raw_files_are_one_per_document_without_companions(spark, tmp_path):
     assert sorted((f.parent.name, f.read_text()) for f in files) == sorted((d, (c or "") + "\n") for d, c in rows if d)
     with pytest.raises(FileExistsError):  # as before, nothing is added to files that are there
         write_raw(spark.createDataFrame(rows, "folder string, content string"), str(directory))
+
+
+def many_kinds(root) -> str:
+    texts = {
+        "classA/a b%20ü+#[1].res": "The 1\nthe 2\nb x\nc 2 3\nd\nE  4\n f 5\n\nbig 99999999999\n 7\n 8\nΑΣ 3\nας 4\nασ 1",
+        "classA/nothing.res": "", "classA/feed.res": "\n", "classAB/.hidden.res": "no 1", "classAB/_hidden.res": "no 1",
+        "classAB/x.txt": "no 1", "classAB/below/x.res": "no 1\n", "class/z.res": "no 1\n", "classAB/twice.res": "a 1\nA 2\na -5\nB 2\nx\n",
+        "classC/long.res": "".join(f"w{i % 50} {i}\n" for i in range(900)),
+    }
+    directory = tree(root, texts)
+    (root / "classA" / "marked.res").write_bytes(b"\xef\xbb\xbfone 1\r\ntwo 2\rthree 3\n\r\n\n")
+    (root / "classA" / "broken.res").write_bytes(b"\xe9t\xe9 1\n\xe9T\xe9 2\nx\xe2\x82\xc3 3\n")
+    return directory
+
+
+@pytest.mark.parametrize("whole", [8 << 20, 1000])
+def test_files_listed_and_read_by_tasks_give_the_rows_of_the_scan(spark, tmp_path, monkeypatch, whole):
+    """The driver held the name of every file; beyond the limit it holds none."""
+    directory = many_kinds(tmp_path / "kinds")
+
+    def scans(files):
+        lines = read_lines(spark, directory, files=files)
+        found = [lines, malformed_lines(spark, directory, files=files)]
+        found += [read_raw(spark, directory, merge=merge, files=files) for merge in (True, False)]
+        return lines, [rows_of(df) for df in [*found, read_raw(spark, directory, False, files=files or "*/*.res")]]
+
+    for files in (None, "*/*"):
+        monkeypatch.setattr(raw_files, "LISTED", 1000)
+        expected = scans(files)[1]
+        monkeypatch.setattr(raw_files, "LISTED", 5)
+        monkeypatch.setattr(raw_files, "WHOLE", whole)
+        lines, found = scans(files)
+        assert found == expected
+        leaves = lines._jdf.queryExecution().optimizedPlan().collectLeaves()
+        formats = [leaves.apply(i).relation().fileFormat().toString() for i in range(leaves.size())]
+        assert formats == ["Parquet"] + ["Text"] * (whole == 1000)  # the table of names; a file too long for a row
+
+
+def test_merging_a_file_inside_its_row_needs_no_shuffle_by_word(spark, tmp_path, monkeypatch):
+    directory = tree(tmp_path / "some", {f"classA/{n}.res": "A 1\na 2\nb 1" for n in range(9)})
+    monkeypatch.setattr(raw_files, "LISTED", 5)
+    rows = read_raw(spark, directory)
+    assert rows.count() == 18 and rows.agg(F.sum("word_count")).first()[0] == 36
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # of names, to tasks
+
+
+def test_contents_made_in_rows_are_those_made_of_words(spark):
+    texts = [(*row, f"class{row[0]}") for row in [*TEXTS, (6, "b b a")]]
+    table = spark.createDataFrame(texts, "doc_id long, text string, folder string")
+    extra = F.concat(F.lit("doc#"), "doc_id")
+    expected = rows_of(raw_files.raw_documents(bow_from_text(table, keep=["folder"]), extra=extra))
+    contents = raw_files.raw_contents(table, extra=extra)
+    assert rows_of(contents) == expected and len(expected) == 4
+    assert "Exchange" not in contents._jdf.queryExecution().executedPlan().toString()
