@@ -13,8 +13,10 @@ to their documents, once per epoch or after every few batches. A hash of each do
 
 from __future__ import annotations
 
+import os
 import sys
-from collections.abc import Iterator, Sequence
+import tempfile
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,6 +32,8 @@ BLOCK = 16_384  # parameters per block of the distributed sum
 AT_ONCE = 1 << 20  # parameters whose sum comes to the driver at once, 8 MiB; of more, block after block
 FAN_IN = 32  # tasks whose gradients are added up in one task of the first level
 CELLS = 1 << 22  # numbers in a temporary array of one gradient step
+# A layer of so many outputs takes its rows a few at once, in an array of about GATHERED numbers that stays in the cache.
+WIDE, GATHERED, WIDE_CELLS = 256, 1 << 17, 1 << 20
 # Weights go to every task and their gradient comes back through the driver as doubles: 512 MiB, half of Spark's
 # default spark.driver.maxResultSize. Averaging brings back twice as much.
 MAX_PARAMETERS = 1 << 26
@@ -119,13 +123,17 @@ class Rows:
         )
 
     def slices(self, width: int, max_rows: int | None = None) -> Iterator[Rows]:
-        """Consecutive slices whose entries times ``width`` stay within CELLS (or single rows), at most ``max_rows``."""
+        """Consecutive slices whose entries times ``width`` stay within CELLS (or single rows), at most ``max_rows``.
+
+        Of wide layers there is no array of all entries: their slices' rows times ``width`` stay within WIDE_CELLS.
+        """
         ends = np.cumsum(self.lengths)
-        budget = max(1, CELLS // max(1, width))
+        wide = width >= WIDE
+        budget = max(1, (WIDE_CELLS if wide else CELLS) // max(1, width))
         row, rows = 0, len(self.lengths)
         while row < rows:
             before = ends[row - 1] if row else 0
-            stop = max(row + 1, int(np.searchsorted(ends, before + budget, side="right")))
+            stop = rows if wide else max(row + 1, int(np.searchsorted(ends, before + budget, side="right")))
             # The row count is bounded too: rows without entries still need a dense activation each.
             stop = min(stop, rows, row + min(max_rows or budget, budget))
             until = ends[stop - 1]
@@ -140,6 +148,10 @@ class Rows:
     def dot(self, weights: np.ndarray) -> np.ndarray:
         """(rows x inputs) @ weights."""
         out = np.zeros((len(self.lengths), weights.shape[1]))
+        if weights.shape[1] >= WIDE:
+            ends = np.cumsum(self.lengths)
+            add_products(weights, self.indices, self.values, ends - self.lengths, ends, out, range(len(out)))
+            return out
         filled = self.lengths > 0
         if filled.any():
             starts = (np.cumsum(self.lengths) - self.lengths)[filled]
@@ -153,9 +165,29 @@ class Rows:
         order = np.argsort(self.indices, kind="stable")
         inputs, starts = np.unique(self.indices[order], return_index=True)
         of_row = np.repeat(np.arange(len(self.lengths)), self.lengths)[order]
+        if delta.shape[1] >= WIDE:
+            ends = np.append(starts[1:], len(order))
+            add_products(delta, of_row, self.values[order], starts, ends, into, inputs.tolist())
+            return
         into[inputs] += np.add.reduceat(delta[of_row] * self.values[order][:, None], starts, axis=0)
 
 
+def add_products(
+    table: np.ndarray, places: np.ndarray, factors: np.ndarray, starts: np.ndarray, ends: np.ndarray, into: np.ndarray, rows: Iterable[int]
+) -> None:
+    """Add to each of ``rows`` of ``into`` its run of ``factors`` times the rows of ``table`` at its run of ``places``."""
+    if len(places) and (places.min() < 0 or places.max() >= len(table)):
+        raise IndexError(f"places from {places.min()} to {places.max()} of {len(table)}")
+    most = max(1, GATHERED // table.shape[1])
+    room = np.empty((most, table.shape[1]), table.dtype)
+    for row, start, end in zip(rows, starts.tolist(), ends.tolist(), strict=True):
+        total = into[row]
+        for lo in range(start, end, most):
+            hi = min(lo + most, end)
+            some = np.take(table, places[lo:hi], axis=0, out=room[: hi - lo], mode="clip")
+            total += np.dot(factors[lo:hi], some)
+
+
 def log_probabilities(network: Network, flat: np.ndarray, rows: Rows) -> tuple[np.ndarray, list[np.ndarray]]:
     """Class log-probabilities, and the outputs of the hidden layers."""
     layers = network.unpack(flat)
@@ -259,12 +291,14 @@ def adder(size: int):
 
 
 def gathered_blocks(parts: DataFrame, size: int) -> Iterator[Row]:
-    """The sum over all partitions by block, one partition of them at a time on the driver when the vector is long."""
+    """The sum over all partitions by block, one partition of them at a time on the driver when the vector is long: about
+    AT_ONCE numbers, however small they are as Spark packs them."""
     add_up = adder(size)
     near = parts.withColumn("group", F.floor(F.spark_partition_id() / FAN_IN))
-    near = near.repartition("block", "group").select("block", "places", "numbers", "loss", "docs")
-    summed = near.mapInArrow(add_up, PART_SCHEMA).repartition("block").mapInArrow(add_up, PART_SCHEMA)
-    return iter(summed.collect()) if size <= AT_ONCE else summed.toLocalIterator()
+    count = [-(-size // AT_ONCE)] if size > AT_ONCE else []
+    near = near.repartition(*count, "block", "group").select("block", "places", "numbers", "loss", "docs")
+    summed = near.mapInArrow(add_up, PART_SCHEMA).repartition(*count, "block").mapInArrow(add_up, PART_SCHEMA)
+    return summed.toLocalIterator() if count else iter(summed.collect())
 
 
 def gather(parts: DataFrame, size: int) -> tuple[np.ndarray, float, int]:
@@ -432,9 +466,12 @@ def local_training(network: Network, weights: np.ndarray, speed: np.ndarray, bat
 def gradient_parts(data: DataFrame, network: Network, shared: Broadcast) -> DataFrame:
     """The blocks of every task's summed gradient at the weights ``shared``; one pass over ``data``.
 
-    Rows stay as sparse as they are: a task multiplies the entries of an Arrow batch and adds up one gradient.
+    Rows stay as sparse as they are: a task multiplies the entries of an Arrow batch and adds up one gradient. A long
+    gradient is sent out once for each core, however many files there are.
     """
     width = max(network.layers[1:])
+    if network.num_parameters > AT_ONCE:
+        data = data.coalesce(data.sparkSession.sparkContext.defaultParallelism)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gradient, loss, docs = np.zeros(network.num_parameters), 0.0, 0
@@ -489,6 +526,15 @@ def full_batch_step(data: DataFrame, docs: int, network: Network, flat: np.ndarr
     return loss / docs + penalty
 
 
+def mapped(numbers: np.ndarray) -> np.ndarray:
+    """A copy in a temporary file that has no name, whose pages the system can write down when memory is short."""
+    with tempfile.TemporaryFile() as file:
+        os.posix_fallocate(file.fileno(), 0, max(1, numbers.nbytes))  # a full disk is an error here, not later
+        copy = np.asarray(np.memmap(file, numbers.dtype, "r+", shape=numbers.shape))
+    copy[:] = numbers
+    return copy
+
+
 def two_loops(gradient: np.ndarray, steps: list[np.ndarray], changes: list[np.ndarray]) -> np.ndarray:
     """The inverse Hessian, as far as the last steps and the changes of the gradient tell it, times the gradient."""
     q, factors = gradient.copy(), []
@@ -592,6 +638,9 @@ def fit_network(
         docs = data.count() if epochs else 0
         if epochs and not docs:
             raise ValueError("there are no training documents")
+        if epochs and len(flat) > AT_ONCE:  # the driver goes through them block by block
+            flat = mapped(flat)
+            velocity = mapped(velocity)
         losses = [full_batch_step(data, docs, network, flat, velocity) for _ in range(epochs)]
         return TrainedNetwork(network, flat, losses)
     for _ in range(epochs):

@@ -415,3 +415,49 @@ def test_full_batch_steps_hold_no_third_vector_on_the_driver(spark):
     assert np.array_equal(trained.flat, flat)
     assert trained.losses == pytest.approx(losses, abs=1e-12)
     assert peak < 3.5 * flat.nbytes
+
+
+def test_wide_layers_take_rows_a_few_at_once(monkeypatch):
+    """All entries of a slice times the layer's width were an array, several times over."""
+    rng = np.random.default_rng(2)
+    lengths = np.array([1500, 0, 1, 1200, 1299])
+    indices = np.concatenate([np.sort(rng.permutation(1600)[:n]) for n in lengths]).astype(np.int32)
+    rows = trainer.Rows(indices, rng.normal(size=len(indices)), lengths, np.array([0, 1, 1, 0, 1]))
+    network = Network((1600, 1000, 2, 2))
+    flat = network.initial()
+
+    def gradient() -> tuple[float, np.ndarray, int]:
+        into = np.zeros(network.num_parameters)
+        tracemalloc.start()
+        loss = sum(trainer.add_gradient(network, flat, some, into) for some in rows.slices(1000))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return loss, into, peak
+
+    loss, found, peak = gradient()
+    monkeypatch.setattr(trainer, "WIDE", 1 << 30)
+    expected_loss, expected, whole = gradient()
+    assert np.isclose(loss, expected_loss, rtol=1e-12) and np.allclose(found, expected, rtol=1e-9, atol=1e-12)
+    assert peak < 8 << 20 < 32 << 20 <= whole
+    with pytest.raises(IndexError):
+        trainer.add_products(flat.reshape(-1, 1), np.array([len(flat)]), np.ones(1), np.array([0]), np.array([1]), np.zeros((1, 1)), [0])
+
+
+def test_long_gradients_are_one_per_core_and_reach_the_driver_in_parts(spark, monkeypatch):
+    """Every file sent out a gradient of its own, and small parts were brought together before they came."""
+    rows = [([i % 50], [1.0], i % 2) for i in range(400)]
+    data = spark.createDataFrame(rows, "indices array<int>, values array<double>, class_id int").repartition(40)
+    network = Network((50, 30, 2, 2))
+    expected = fit_network(data, network, 2).flat
+    sizes = []
+    original = trainer.gradient_parts
+
+    def recording(*args):
+        sizes.append((parts := original(*args)).rdd.getNumPartitions())
+        return parts
+
+    monkeypatch.setattr(trainer, "gradient_parts", recording)
+    monkeypatch.setattr(trainer, "AT_ONCE", 100)
+    monkeypatch.setattr(trainer, "BLOCK", 64)
+    assert np.allclose(fit_network(data, network, 2).flat, expected, rtol=1e-12)
+    assert sizes == [spark.sparkContext.defaultParallelism] * 2
